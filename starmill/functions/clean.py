@@ -1,9 +1,12 @@
-"""Column expressions that turn feed text into typed values.
+"""Expressions that turn feed text into typed values, and the small formulas of the marts.
 
-Every function takes and returns a ``Column``; all of them are built-ins, so
-they stay inside whole-stage code generation. A text that cannot be read as the
-wanted type gives NULL; the caller compares with ``blank_to_null`` to tell
-"blank" from "unreadable".
+All of them are built-ins, so they stay inside whole-stage code generation.
+
+The rules for feed text are SQL text (``str`` to ``str``): a feed has dozens of
+columns, and one call that takes a finished expression is far cheaper for the
+driver than a dozen calls per column. A text that cannot be read as the wanted
+type gives NULL; the feed reader compares with the text itself to tell "blank"
+from "unreadable".
 """
 
 from __future__ import annotations
@@ -14,43 +17,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Plain decimal notation. Java's number parser also takes "1d", "0x1p3" and
-# "NaN", none of which is a number in a feed.
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# "NaN", none of which is a number in a feed. The exponent is kept short enough
+# for every accepted text to be finite.
+NUMBER = r"^([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]{1,2})?)$"
+WHOLE = r"^([+-]?[0-9]+)(?:\.0*)?$"
 
 # English (US) notations first; the list is a parameter wherever it is used.
 DATE_FORMATS = ("yyyy-MM-dd", "M/d/yyyy", "d-MMM-yy", "d-MMM-yyyy")
 
 
-def blank_to_null(text: Column) -> Column:
-    return F.nullif(F.trim(text), F.lit(""))
+def blank_to_null(text: str) -> str:
+    return f"nullif(trim({text}), '')"
 
 
-def to_double(text: Column) -> Column:
-    t = blank_to_null(text)
-    value = F.when(t.rlike(NUMBER), t.try_cast("double"))
-    return F.when(F.abs(value) < F.lit(float("inf")), value)
+def to_double(text: str) -> str:
+    return f"try_cast(regexp_extract(trim({text}), r'{NUMBER}', 1) AS double)"
 
 
-def to_whole(text: Column, type_name: str = "int") -> Column:
+def to_whole(text: str, type_name: str = "int") -> str:
     """Whole number; "3.0" is read as 3 because nothing is lost, "3.5" is not read."""
-    t = blank_to_null(text)
-    number = to_double(text)
-    return F.coalesce(t.try_cast(type_name), F.when(number % 1 == 0, number.try_cast(type_name)))
+    return f"try_cast(regexp_extract(trim({text}), r'{WHOLE}', 1) AS {type_name})"
 
 
-def to_date(text: Column, formats: Sequence[str] = DATE_FORMATS) -> Column:
-    t = blank_to_null(text)
-    return F.coalesce(*[F.try_to_date(t, f) for f in formats])
+def to_date(text: str, formats: Sequence[str] = DATE_FORMATS) -> str:
+    tries = [f'try_to_date(trim({text}), "{f}")' for f in formats]
+    return f"coalesce({', '.join(tries)})"
 
 
-def to_flag(text: Column) -> Column:
+def to_flag(text: str) -> str:
     """"0"/"1" text to boolean through an integer."""
-    return to_whole(text).cast("boolean")
+    return f"cast({to_whole(text)} AS boolean)"
 
 
-def yes_flag(text: Column) -> Column:
+def yes_flag(text: str) -> str:
     """"yes" in any case is true; everything else is unknown, never false."""
-    return F.when(F.lower(F.trim(text)) == "yes", F.lit(True))
+    return f"CASE WHEN lower(trim({text})) = 'yes' THEN true END"
 
 
 def fold_key(text: Column) -> Column:

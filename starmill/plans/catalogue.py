@@ -386,15 +386,15 @@ ORDER_FEED = FeedSpec(
 @query
 def scalar_clean(spark, sf_dir):
     """Each cleaning expression by itself."""
-    return _as_text(spark, sf_dir).select(
-        clean.to_whole(F.col("order_key"), "bigint").alias("order_key"),
-        clean.blank_to_null(F.col("priority")).alias("priority"),
-        clean.to_whole(F.col("rank")).alias("rank"),
-        clean.to_date(F.col("ordered")).alias("ordered"),
-        clean.to_flag(F.col("open")).alias("open"),
-        clean.yes_flag(F.col("urgent")).alias("urgent"),
-        (F.length("priority") > 15).alias("too_wide"),
-        clean.fold_key(F.col("priority")).alias("folded"),
+    return _as_text(spark, sf_dir).selectExpr(
+        clean.to_whole("order_key", "bigint") + " AS order_key",
+        clean.blank_to_null("priority") + " AS priority",
+        clean.to_whole("rank") + " AS rank",
+        clean.to_date("ordered") + " AS ordered",
+        clean.to_flag("open") + " AS open",
+        clean.yes_flag("urgent") + " AS urgent",
+        "length(priority) > 15 AS too_wide",
+        "lower(rtrim(priority)) AS folded",
     )
 
 

@@ -99,12 +99,8 @@ def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"c_name": "startup_name", "c_mktsegment": "industry", "n_name": "pitchers_state", "r_name": "pitchers_city"}
     )
     have = set(rows.columns)
-    return rows.select(
-        [
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in CONFIG.feed.typed_schema
-        ]
-    )
+    types = [(f.name, f.dataType.simpleString()) for f in CONFIG.feed.typed_schema]
+    return rows.selectExpr(*[f"cast({n if n in have else 'NULL'} AS {t}) AS {n}" for n, t in types])
 
 
 def with_keys(rows: DataFrame) -> DataFrame:
@@ -181,15 +177,10 @@ def business_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_feed_text(rows: DataFrame) -> DataFrame:
     """Typed feed rows as the text columns, under the headings, of a feed file."""
-    columns = []
-    for f in CONFIG.feed.fields:
-        value = F.col(f.name)
-        if f.kind == "flag":
-            value = value.cast("int")
-        elif f.kind == "yes":
-            value = F.when(value, F.lit("yes"))
-        columns.append(value.cast("string").alias(f.header))
-    return rows.select(*columns)
+    values = {"flag": "cast({} AS int)", "yes": "CASE WHEN {} THEN 'yes' END"}
+    return rows.selectExpr(
+        *[f"cast({values.get(f.kind, '{}').format(f.name)} AS string) AS `{f.header}`" for f in CONFIG.feed.fields]
+    )
 
 
 _stars: dict[tuple[str, str], Star] = {}

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,10 @@ _TYPES = {
 }
 
 
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
 @dataclass(frozen=True)
 class Field:
     """One feed column: heading, kind of value, widest text that is accepted."""
@@ -44,17 +48,18 @@ class Field:
     def data_type(self) -> T.DataType:
         return _TYPES[self.kind]
 
-    def value(self, formats: Sequence[str]) -> Column:
-        text = F.col(self.name)
+    def value(self, formats: Sequence[str]) -> str:
+        """SQL text of the typed value."""
+        text = quoted(self.name)
         return {
-            "string": lambda: clean.blank_to_null(text),
-            "int": lambda: clean.to_whole(text, "int"),
-            "long": lambda: clean.to_whole(text, "bigint"),
-            "double": lambda: clean.to_double(text),
-            "date": lambda: clean.to_date(text, formats),
-            "flag": lambda: clean.to_flag(text),
-            "yes": lambda: clean.yes_flag(text),
-        }[self.kind]()
+            "string": clean.blank_to_null(text),
+            "int": clean.to_whole(text, "int"),
+            "long": clean.to_whole(text, "bigint"),
+            "double": clean.to_double(text),
+            "date": clean.to_date(text, formats),
+            "flag": clean.to_flag(text),
+            "yes": clean.yes_flag(text),
+        }[self.kind]
 
     @property
     def can_be_unreadable(self) -> bool:
@@ -102,7 +107,7 @@ def _decode(df: DataFrame, encoding: str) -> DataFrame:
     if encoding.lower() not in ("cp1252", "windows-1252"):
         return df
     latin, windows = _cp1252_pairs()
-    return df.select([F.translate(F.col(c), latin, windows).alias(c) for c in df.columns])
+    return df.selectExpr(*[f"translate({quoted(c)}, '{latin}', '{windows}') AS {quoted(c)}" for c in df.columns])
 
 
 def spans_lines(spark: SparkSession, path) -> bool:
@@ -151,35 +156,36 @@ def read_text(spark: SparkSession, path, spec: FeedSpec, encoding: str = "cp1252
 def classify(text: DataFrame, spec: FeedSpec) -> DataFrame:
     """Typed columns plus the first reason, if any, why a row is not accepted."""
 
-    def reject(reason: str, column: str | None) -> Column:
-        return F.struct(F.lit(reason).alias("reason"), F.lit(column).cast("string").alias("column"))
+    def reject(condition: str, reason: str, column: str | None = None) -> str:
+        name = f"'{column}'" if column else "cast(NULL AS string)"
+        return f"CASE WHEN {condition} THEN named_struct('reason', '{reason}', 'column', {name}) END"
+
+    def is_blank(f: Field) -> str:
+        return f"({quoted(f.name)} IS NULL OR trim({quoted(f.name)}) = '')"
 
-    malformed = F.when(F.col(RAW).isNotNull(), reject("malformed", None))
-    too_wide = [F.when(F.length(f.name) > f.width, reject("too_wide", f.name)) for f in spec.fields]
+    def typed(f: Field) -> str:
+        return quoted(f"_typed_{f.name}")
+
+    # each value is computed once here and only compared below
+    values = text.selectExpr("*", *[f"{f.value(spec.date_formats)} AS {typed(f)}" for f in spec.fields])
+
+    malformed = reject(f"{RAW} IS NOT NULL", "malformed")
+    too_wide = [reject(f"length({quoted(f.name)}) > {f.width}", "too_wide", f.name) for f in spec.fields]
     unreadable = [
-        F.when(
-            clean.blank_to_null(F.col(f.name)).isNotNull() & f.value(spec.date_formats).isNull(),
-            reject("unreadable", f.name),
-        )
-        for f in spec.fields
-        if f.can_be_unreadable
-    ]
-    missing = [
-        F.when(clean.blank_to_null(F.col(f.name)).isNull(), reject("missing", f.name))
-        for f in spec.fields
-        if f.required
+        reject(f"{typed(f)} IS NULL AND NOT {is_blank(f)}", "unreadable", f.name) for f in spec.fields if f.can_be_unreadable
     ]
-    problem = F.coalesce(malformed, *too_wide, *unreadable, *missing)
-    line = F.coalesce(F.col(RAW), F.to_csv(F.struct(*spec.names)))
-    return text.select(
-        *[f.value(spec.date_formats).alias(f.name) for f in spec.fields],
-        problem.alias("_problem"),
-        line.alias("_line"),
-    ).select(
-        *spec.names,
-        F.col("_problem.reason").alias("reject_reason"),
-        F.col("_problem.column").alias("reject_column"),
-        F.when(F.col("_problem").isNotNull(), F.col("_line")).alias("raw_line"),
+    missing = [reject(is_blank(f), "missing", f.name) for f in spec.fields if f.required]
+    problem = f"coalesce({', '.join([malformed, *too_wide, *unreadable, *missing])})"
+    # One expression over all columns. The partition id makes it non-deterministic
+    # in the optimizer's eyes: without that, its constraint rules substitute every
+    # alias below in every combination, which does not end for a wide feed.
+    judged = values.selectExpr("*", f"CASE WHEN spark_partition_id() >= 0 THEN {problem} END AS _problem")
+    line = f"coalesce({RAW}, to_csv(struct({', '.join(map(quoted, spec.names))})))"
+    return judged.selectExpr(
+        *[f"{typed(f)} AS {quoted(f.name)}" for f in spec.fields],
+        "_problem.reason AS reject_reason",
+        "_problem.column AS reject_column",
+        f"CASE WHEN _problem IS NOT NULL THEN {line} END AS raw_line",
     )
 
 

@@ -77,38 +77,45 @@ class Warehouse:
         return self.read_state(name, state, parts)
 
     def read_state(self, name: str, state: dict, parts: Iterable[int] | None = None) -> DataFrame:
-        folders = state.get("folders", {})
-        wanted = [f for p, f in folders.items() if parts is None or p == "" or int(p) in set(parts)]
+        wanted = None if parts is None else {str(p) for p in parts}
+        folders = [f["path"] for p, f in state.get("folders", {}).items() if wanted is None or p in wanted]
         schema = self.schema(name)
-        if not wanted:
+        if not folders:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/dwh/{name}")
-        return reader.parquet(*[f"{self.root}/dwh/{name}/{f}" for f in wanted]).select(schema.fieldNames())
+        return reader.parquet(*[f"{self.root}/dwh/{name}/{f}" for f in folders]).select(schema.fieldNames())
 
     def table(self, name: str) -> DataFrame:
         df = self.stored(name)
         return df.drop(STORED_BY[name]) if name in STORED_BY else df
 
-    def write(self, name: str, df: DataFrame, key: str, untouched: Mapping[str, str] | None = None) -> dict:
+    def write(self, name: str, df: DataFrame, key: str, untouched: Mapping[str, dict] | None = None) -> dict:
         """Write a new version and return its state; ``untouched`` folders of older versions stay part of it."""
-        version = uuid.uuid4().hex
-        folder = f"v={version}"
+        folder = f"v={uuid.uuid4().hex}"
         by = STORED_BY.get(name)
         df = df.select(self.schema(name).fieldNames())
         path = f"{self.root}/dwh/{name}/{folder}"
         if by:
             # evens out file sizes: a season with most of the rows gets many files, small ones get one
             df.hint("rebalance", by).write.partitionBy(by).parquet(path)
-            parts = [n for n in files.list_names(self.spark, path) if n.startswith(f"{by}=")]
-            folders = {n.split("=", 1)[1]: f"{folder}/{n}" for n in parts}
         else:
             df.hint("rebalance").write.parquet(path)
-            folders = {"": folder}
-        state = {"folders": {**(untouched or {}), **folders}}
-        totals = self.read_state(name, state).agg(F.count(F.lit(1)), F.max(key)).first()
-        return {**state, "rows": totals[0], "max_key": totals[1] or 0}
-
-    def folders(self, name: str) -> dict[str, str]:
+        part = F.col(by).cast("string") if by else F.lit("")
+        # one row per stored season, from the key column of what was just written
+        found = self.spark.read.schema(df.schema).parquet(path).groupBy(part.alias("part"))
+        sizes = found.agg(F.count(F.lit(1)).alias("rows"), F.max(key).alias("max_key")).collect()
+        if by:
+            written = {r["part"]: {"path": f"{folder}/{by}={r['part']}", "rows": r["rows"]} for r in sizes}
+        else:
+            written = {"": {"path": folder, "rows": sum(r["rows"] for r in sizes)}}
+        folders = {**(untouched or {}), **written}
+        return {
+            "folders": folders,
+            "rows": sum(f["rows"] for f in folders.values()),
+            "max_key": max([self.max_key(name), *[r["max_key"] for r in sizes]]),
+        }
+
+    def folders(self, name: str) -> dict[str, dict]:
         return dict(self.snapshot()["tables"].get(name, {}).get("folders", {}))
 
     # -- staging --------------------------------------------------------------
