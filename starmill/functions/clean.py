@@ -59,9 +59,9 @@ def fold_key(text: Column) -> Column:
     return F.lower(F.rtrim(text))
 
 
-def safe_ratio(part: Column, whole: Column) -> Column:
-    """``part / whole`` as double, NULL where ``whole`` is zero."""
-    return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+def ratio(part: str, whole: str) -> str:
+    """SQL text of ``part / whole`` as double, NULL where ``whole`` is zero."""
+    return f"cast({part} AS double) / nullif(cast({whole} AS double), 0D)"
 
 
 def percent_to_fraction(value: Column) -> Column:
@@ -85,9 +85,5 @@ MONEY = "decimal(18,4)"
 FRACTION = "decimal(18,10)"
 
 
-def exact_sum(value: Column, type_name: str = MONEY) -> Column:
-    return F.sum(value.cast(type_name))
-
-
-def exact_avg(value: Column, type_name: str = MONEY) -> Column:
-    return exact_sum(value, type_name).cast("double") / F.nullif(F.count(value).cast("double"), F.lit(0.0))
+def exact_sum(value: str, type_name: str = MONEY) -> str:
+    return f"sum(cast({value} AS {type_name}))"

@@ -22,9 +22,16 @@ class Upsert(NamedTuple):
     changed: DataFrame
     kept: DataFrame
 
-    @property
-    def table(self) -> DataFrame:
-        return self.kept.unionByName(self.changed.select(self.kept.columns))
+    def table(self, stored_by: str | None = None) -> DataFrame:
+        """The whole new table.
+
+        ``stored_by`` names the column whose values get folders of their own:
+        the changed rows are gathered by it, with large values split over
+        several tasks. The kept rows come from such folders already and stay
+        where they are.
+        """
+        changed = self.changed.select(self.kept.columns)
+        return self.kept.unionByName(changed.hint("rebalance", stored_by) if stored_by else changed)
 
 
 def _folded(df: DataFrame, natural_key: Sequence[str], fold: Sequence[str]) -> Mapping[str, Column]:

@@ -15,7 +15,7 @@ from starmill.operators.upsert import upsert_type1
 from starmill.plans import load, marts
 from starmill.plans import orders_feed as feed
 from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, main_measures
-from starmill.session import scratch_path
+from starmill.session import scratch_path, written
 from starmill.sources.feed import RAW, FeedSpec, Field, classify, read_feed, read_text, split_rows, stamp, typed_rows
 from starmill.sources.files import make_folder
 from starmill.streaming.ingest import ingest_stream
@@ -140,6 +140,7 @@ def latest_per_key(spark, sf_dir):
 
 def _ordinal(spark, sf_dir, **options):
     rows = staged_with_business(spark, sf_dir).select("season_number", "episode_number", "pitch_number", "startup_name")
+    rows = written(rows, "rows")
     parent = ["season_number", "episode_number"]
     return reshape.ordinal_within(rows, parent, ["pitch_number", "startup_name"], "pitch_order_in_episode", **options)
 
@@ -269,12 +270,13 @@ def _upsert(name: str, key: str, rows: DataFrame, old: dict[str, Column], new: d
     Present rows have the key ``k + 1``.
     """
     natural = NATURAL_KEYS[name]
+    rows = written(rows, "rows")
     before = rows.filter(F.col("k") % 3 != 0)
     target = stamp(before.select((F.col("k") + 1).alias(key), *natural, *[c.alias(n) for n, c in old.items()]), OLD)
     source = rows.filter(F.col("k") % 2 == 0).select(*natural, *[c.alias(n) for n, c in new.items()])
     fold = [c for c in natural if c in FOLDED_KEYS]
     result = upsert_type1(target, source, natural, key, F.lit(NEW).cast("timestamp"), fold=fold, **options)
-    return result.table.withColumn("import_date", F.to_date("import_date"))
+    return result.table().withColumn("import_date", F.to_date("import_date"))
 
 
 @query
@@ -343,7 +345,7 @@ def upsert_no_retract(spark, sf_dir):
     amount = F.col("total_deal_amount")
     table = _upsert("fact_pitch", "pitch_id", orders, {"deal_amount": amount}, {"deal_amount": amount + 1})
     return table.groupBy("import_date").agg(
-        F.count(F.lit(1)).alias("n_rows"), clean.exact_sum(F.col("deal_amount")).cast("double").alias("total_amount")
+        F.count(F.lit(1)).alias("n_rows"), F.expr(clean.exact_sum("deal_amount")).cast("double").alias("total_amount")
     )
 
 
@@ -427,7 +429,7 @@ def safe_ratio(spark, sf_dir):
     rows = staged_with_business(spark, sf_dir).groupBy("o_custkey").agg(
         F.count_if("got_deal").alias("deals"), F.count_if("royalty_deal").alias("royalties")
     )
-    return rows.select("o_custkey", clean.safe_ratio(F.col("deals"), F.col("royalties")).alias("deals_per_royalty"))
+    return rows.select("o_custkey", F.expr(clean.ratio("deals", "royalties")).alias("deals_per_royalty"))
 
 
 @query

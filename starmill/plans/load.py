@@ -12,7 +12,7 @@ from starmill.operators.calendar import extend_calendar
 from starmill.operators.lookup import lookup, lookup_date, lookup_key
 from starmill.operators.reshape import entity_names, latest_per_key, ordinal_within, split_entities
 from starmill.operators.upsert import Upsert, upsert_type1
-from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, SURROGATE_KEYS, LoadConfig, main_measures
+from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, STORED_BY, SURROGATE_KEYS, LoadConfig, main_measures
 from starmill.session import scratch_scope, written
 from starmill.sources import files
 from starmill.sources.feed import REJECT_COLUMNS, read_text, stamp, typed_rows
@@ -38,7 +38,7 @@ def stage_rows(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str |
     stamped.write.mode("overwrite").partitionBy("rejected").parquet(path)
     staged = warehouse.spark.read.schema(stamped.schema).parquet(path)
     bad = staged.filter("rejected").select("import_date", *REJECT_COLUMNS)
-    bad.coalesce(8).write.mode("overwrite").parquet(f"{warehouse.root}/quarantine/batch={batch}")
+    bad.write.mode("overwrite").parquet(f"{warehouse.root}/quarantine/batch={batch}")
     return batch
 
 
@@ -274,7 +274,8 @@ class _Load:
         )
         folders = self.warehouse.folders(name)
         untouched = {} if parts is None else {p: f for p, f in folders.items() if int(p) not in parts}
-        self.states[name] = self.warehouse.write(name, result.table, SURROGATE_KEYS[name], untouched)
+        table = result.table(STORED_BY.get(name))
+        self.states[name] = self.warehouse.write(name, table, SURROGATE_KEYS[name], untouched)
         return result
 
     def table(self, name: str) -> DataFrame:

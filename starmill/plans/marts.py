@@ -12,10 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.clean import FRACTION, MONEY, exact_sum, join_text, safe_ratio
+from starmill.functions.clean import FRACTION, MONEY, exact_sum, join_text, ratio
 from starmill.operators.lookup import lookup, salted_join
 
 # Measures that add up over rows. The first three count a pitch once, the
@@ -65,27 +65,30 @@ def deal_flags(star: Star) -> DataFrame:
     )
 
 
+MARKS = {
+    "has_royalties": "is_royalty_deal",
+    "has_advisory_shares": "advisory_shares > 0",
+    "has_conditions": "deal_has_conditions",
+}
+
+
 def _episode_metrics(star: Star, by: Sequence[str]) -> DataFrame:
     """Additive measures per episode (and pitch-level columns ``by``)."""
-    columns = ["pitch_id", "episode_id", "is_deal", "is_royalty_deal", "advisory_shares", "deal_has_conditions", "deal_amount"]
-    base = star.pitches.select(*columns, *by).join(deal_flags(star), "pitch_id", "left")
-    fan = F.coalesce("deal_rows", F.lit(1))
-    amount = F.col("deal_amount").cast(MONEY)
-    marks = {
-        "has_royalties": F.col("is_royalty_deal"),
-        "has_advisory_shares": F.col("advisory_shares") > 0,
-        "has_conditions": F.col("deal_has_conditions"),
-    }
-    return base.groupBy("episode_id", *by).agg(
-        F.count(F.lit(1)).alias("total_pitches"),
-        F.count_if("is_deal").alias("total_deals"),
-        F.count_if("has_main_shark").alias("main_shark_deals"),
-        F.count_if("has_guest_shark").alias("guest_shark_deals"),
-        F.sum(amount * fan).alias("total_investment"),
-        F.sum(amount).alias("total_investment_per_pitch"),
-        *[F.sum(F.when(mark, fan).otherwise(F.lit(0))).alias(name) for name, mark in marks.items()],
-        *[F.count_if(mark).alias(f"{name}_per_pitch") for name, mark in marks.items()],
-    )
+    columns = ["pitch_id", "episode_id", "is_deal", "is_royalty_deal", "advisory_shares", "deal_has_conditions"]
+    pitches = star.pitches.select(*columns, *by, F.col("deal_amount").cast(MONEY).alias("amount"))
+    base = pitches.join(deal_flags(star), "pitch_id", "left")
+    fan = "coalesce(deal_rows, 1)"
+    aggregates = [
+        "count(*) AS total_pitches",
+        "count_if(is_deal) AS total_deals",
+        "count_if(has_main_shark) AS main_shark_deals",
+        "count_if(has_guest_shark) AS guest_shark_deals",
+        f"sum(amount * {fan}) AS total_investment",
+        "sum(amount) AS total_investment_per_pitch",
+        *[f"sum(if({mark}, {fan}, 0)) AS {name}" for name, mark in MARKS.items()],
+        *[f"count_if({mark}) AS {name}_per_pitch" for name, mark in MARKS.items()],
+    ]
+    return base.groupBy("episode_id", *by).agg(*map(F.expr, aggregates))
 
 
 def _sharks_by_episode(star: Star, by: Sequence[str]) -> DataFrame:
@@ -126,48 +129,41 @@ def metric_block(
     season = ["season_id"] if "season_id" in metrics.columns and "season_id" not in group_cols else []
     # one row per group and episode, since every other group column depends on the episode
     parts = [
-        metrics.select(*group_cols, *season, *measures, F.lit(1).cast("bigint").alias("total_episodes")),
-        sharks.select(*group_cols, F.lit(1).cast("bigint").alias("sharks_in_deals")),
+        metrics.selectExpr(*group_cols, *season, *measures, "1L AS total_episodes"),
+        sharks.selectExpr(*group_cols, "1L AS sharks_in_deals"),
     ]
     if viewers is not None:
-        parts.append(
-            viewers.groupBy(*group_cols).agg(
-                exact_sum(F.col("us_viewership")).alias("_viewers"), F.count("us_viewership").alias("_viewed")
-            )
-        )
+        sums = [f"{exact_sum('us_viewership')} AS viewers", "count(us_viewership) AS viewed"]
+        parts.append(viewers.groupBy(*group_cols).agg(*map(F.expr, sums)))
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.unionByName(part, allowMissingColumns=True)
 
-    def total(name: str) -> Column:
-        return F.coalesce(F.sum(name), F.lit(0)).alias(name)
-
-    aggregates = [total("total_episodes"), *map(total, COUNTS), total("sharks_in_deals"), *map(total, FANNED)]
-    aggregates += [F.sum(c).cast("double").alias(c) for c in ("total_investment", "total_investment_per_pitch")]
-    aggregates += [total(f"{m}_per_pitch") for m in FANNED]
+    counted = ["total_episodes", *COUNTS, "sharks_in_deals", *FANNED, *[f"{m}_per_pitch" for m in FANNED]]
+    aggregates = [f"coalesce(sum({c}), 0) AS {c}" for c in counted]
+    aggregates += [f"cast(sum({c}) AS double) AS {c}" for c in ("total_investment", "total_investment_per_pitch")]
     if season:
-        aggregates.append(F.count_distinct("season_id").alias("total_seasons"))
+        aggregates.append("count(DISTINCT season_id) AS total_seasons")
     if viewers is not None:
-        aggregates.append(safe_ratio(F.sum("_viewers"), F.sum("_viewed")).alias("avg_us_viewership"))
-    grouped = rows.groupBy(*group_cols).agg(*aggregates)
+        aggregates.append(f"{ratio('sum(viewers)', 'sum(viewed)')} AS avg_us_viewership")
+    grouped = rows.groupBy(*group_cols).agg(*map(F.expr, aggregates))
     if group_cols:
-        grouped = grouped.filter(F.col("total_pitches") > 0)
+        grouped = grouped.filter("total_pitches > 0")
     return with_rates(grouped)
 
 
 def with_rates(df: DataFrame) -> DataFrame:
-    pitches, deals, episodes = F.col("total_pitches"), F.col("total_deals"), F.col("total_episodes")
     rates = {
-        "deal_rate": safe_ratio(deals, pitches),
-        "main_shark_deal_share": safe_ratio(F.col("main_shark_deals"), deals),
-        "guest_shark_deal_share": safe_ratio(F.col("guest_shark_deals"), deals),
-        "pitches_per_episode": safe_ratio(pitches, episodes),
-        "deals_per_episode": safe_ratio(deals, episodes),
+        "deal_rate": ratio("total_deals", "total_pitches"),
+        "main_shark_deal_share": ratio("main_shark_deals", "total_deals"),
+        "guest_shark_deal_share": ratio("guest_shark_deals", "total_deals"),
+        "pitches_per_episode": ratio("total_pitches", "total_episodes"),
+        "deals_per_episode": ratio("total_deals", "total_episodes"),
     }
     if "total_seasons" in df.columns:
-        rates["pitches_per_season"] = safe_ratio(pitches, F.col("total_seasons"))
-        rates["deals_per_season"] = safe_ratio(deals, F.col("total_seasons"))
-    return df.withColumns(rates)
+        rates["pitches_per_season"] = ratio("total_pitches", "total_seasons")
+        rates["deals_per_season"] = ratio("total_deals", "total_seasons")
+    return df.selectExpr("*", *[f"{formula} AS {name}" for name, formula in rates.items()])
 
 
 SHARED = ("total_pitches", "total_deals", "deal_rate", "total_investment", "sharks_in_deals", *FANNED)
@@ -227,18 +223,18 @@ def mart_episode(star: Star, extra: bool = False) -> DataFrame:
 def mart_shark(star: Star) -> DataFrame:
     """One row per investor; the facts are reduced to investors before the dimension is joined."""
     per_key = star.deals.groupBy("shark_id").agg(
-        F.count(F.lit(1)).alias("pitches"),  # (pitch_id, shark_id) is unique
-        exact_sum(F.col("investment_amount")).alias("amount"),
-        F.count("investment_amount").alias("amounts"),
-        exact_sum(F.col("investment_equity_pct"), FRACTION).alias("equity"),
-        F.count("investment_equity_pct").alias("equities"),
+        F.expr("count(*) AS pitches"),  # (pitch_id, shark_id) is unique
+        F.expr(f"{exact_sum('investment_amount')} AS amount"),
+        F.expr("count(investment_amount) AS amounts"),
+        F.expr(f"{exact_sum('investment_equity_pct', FRACTION)} AS equity"),
+        F.expr("count(investment_equity_pct) AS equities"),
     )
     named = per_key.join(star.sharks.select("shark_id", "shark_name", "is_main_shark"), "shark_id")
     return named.groupBy("shark_name", "is_main_shark").agg(
-        F.sum("pitches").alias("total_deals_participated"),
-        safe_ratio(F.sum("amount"), F.sum("amounts")).alias("avg_investment_amount"),
-        F.sum("amount").cast("double").alias("total_investment_amount"),
-        safe_ratio(F.sum("equity"), F.sum("equities")).alias("avg_equity_pct_per_deal"),
+        F.expr("sum(pitches) AS total_deals_participated"),
+        F.expr(f"{ratio('sum(amount)', 'sum(amounts)')} AS avg_investment_amount"),
+        F.expr("cast(sum(amount) AS double) AS total_investment_amount"),
+        F.expr(f"{ratio('sum(equity)', 'sum(equities)')} AS avg_equity_pct_per_deal"),
     )
 
 

@@ -13,8 +13,12 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # joins whose hash tables are known to be small need no sort
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # recording a call site for every column expression makes wide plans slow to build
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -103,7 +103,7 @@ def _cp1252_pairs() -> tuple[str, str]:
     return "".join(latin), "".join(windows)
 
 
-def _decode(df: DataFrame, encoding: str) -> DataFrame:
+def decode(df: DataFrame, encoding: str) -> DataFrame:
     if encoding.lower() not in ("cp1252", "windows-1252"):
         return df
     latin, windows = _cp1252_pairs()
@@ -150,7 +150,7 @@ def read_text(spark: SparkSession, path, spec: FeedSpec, encoding: str = "cp1252
     if multi_line is None:
         multi_line = spans_lines(spark, path)
     raw = spark.read.schema(spec.text_schema).options(**csv_options(encoding, multi_line)).csv(path)
-    return _decode(raw, encoding)
+    return decode(raw, encoding)
 
 
 def classify(text: DataFrame, spec: FeedSpec) -> DataFrame:

@@ -95,11 +95,8 @@ class Warehouse:
         by = STORED_BY.get(name)
         df = df.select(self.schema(name).fieldNames())
         path = f"{self.root}/dwh/{name}/{folder}"
-        if by:
-            # evens out file sizes: a season with most of the rows gets many files, small ones get one
-            df.hint("rebalance", by).write.partitionBy(by).parquet(path)
-        else:
-            df.hint("rebalance").write.parquet(path)
+        writer = df.write.partitionBy(by) if by else df.write
+        writer.parquet(path)
         part = F.col(by).cast("string") if by else F.lit("")
         # one row per stored season, from the key column of what was just written
         found = self.spark.read.schema(df.schema).parquet(path).groupBy(part.alias("part"))
@@ -118,6 +115,17 @@ class Warehouse:
     def folders(self, name: str) -> dict[str, dict]:
         return dict(self.snapshot()["tables"].get(name, {}).get("folders", {}))
 
+    def remove_unused(self) -> list[str]:
+        """Delete folders that the newest snapshot does not name; not while older readers or a load are at work."""
+        removed = []
+        for name in TABLES:
+            used = {f["path"].split("/")[0] for f in self.folders(name).values()}
+            for folder in files.list_names(self.spark, f"{self.root}/dwh/{name}"):
+                if folder.startswith("v=") and folder not in used:
+                    files.remove_folder(self.spark, f"{self.root}/dwh/{name}/{folder}")
+                    removed.append(f"{name}/{folder}")
+        return removed
+
     # -- staging --------------------------------------------------------------
 
     def pending_batches(self) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from starmill.plans.load import load_warehouse, stage_rows
 from starmill.plans.model import LoadConfig
-from starmill.sources.feed import FeedSpec, _decode, csv_options, typed_rows
+from starmill.sources.feed import FeedSpec, csv_options, decode, typed_rows
 from starmill.sources.store import Warehouse
 
 
@@ -35,7 +35,7 @@ def read_feed_stream(
     if max_files:
         options["maxFilesPerTrigger"] = str(max_files)
     raw = spark.readStream.schema(spec.text_schema).options(**options).csv(folder)
-    return typed_rows(_decode(raw, encoding), spec)
+    return typed_rows(decode(raw, encoding), spec)
 
 
 def ingest_stream(

@@ -49,7 +49,7 @@ def test_small_formulas(spark):
     df = spark.sql("SELECT 'Acme  ' AS a, 1 AS one, 0 AS zero, cast(NULL AS int) AS none, true AS deal")
     row = df.select(
         clean.fold_key(F.col("a")).alias("folded"),
-        clean.safe_ratio(F.col("one"), F.col("zero")).alias("ratio"),
+        F.expr(clean.ratio("one", "zero")).alias("ratio"),
         clean.join_text("S", F.col("one"), "E", F.col("none")).alias("label"),
         clean.default_when(F.col("deal"), F.col("none"), 0).alias("with_deal"),
         clean.default_when(~F.col("deal"), F.col("none"), 0).alias("without_deal"),

@@ -137,7 +137,7 @@ def upsert(spark, source, **options):
 
 def test_upsert(spark, rows):
     result = upsert(spark, [("ACME ", None, 1), ("Beta", "new", 2), ("delta", "d", 3), ("Ceta", "c", 4)])
-    assert rows(result.table) == [
+    assert rows(result.table()) == [
         (1, "ACME ", None, NEW),
         (2, "Beta", "new", NEW),
         (3, "Gone", "z", OLD),
@@ -149,19 +149,19 @@ def test_upsert(spark, rows):
 
 def test_upsert_keeps_the_first_spelling(spark, rows):
     result = upsert(spark, [("ACME ", None, 1)], keep_on_match=["name"])
-    assert rows(result.table, "name") == [("Acme",), ("Beta",), ("Gone",)]
+    assert rows(result.table(), "name") == [("Acme",), ("Beta",), ("Gone",)]
 
 
 @pytest.mark.parametrize("source_rows", [2, 10**9])
 def test_upsert_of_a_small_and_a_large_source(spark, rows, source_rows):
     result = upsert(spark, [("beta", "b", 1), ("new", "n", 2)], source_rows=source_rows)
-    assert rows(result.table, "id", "attribute") == [(1, "x"), (2, "b"), (3, "z"), (4, "n")]
+    assert rows(result.table(), "id", "attribute") == [(1, "x"), (2, "b"), (3, "z"), (4, "n")]
 
 
 def test_upsert_duplicates(spark, rows):
     twice = [("new", "first", 1), ("NEW", "second", 2)]
     with pytest.raises(Exception, match="more than one source row"):
-        upsert(spark, twice).table.collect()
+        upsert(spark, twice).table().collect()
     latest = upsert(spark, twice, on_duplicate="latest", order_by=["seen"])
     assert rows(latest.changed, "attribute") == [("second",)]
 
@@ -170,7 +170,7 @@ def test_upsert_into_an_empty_table(spark, rows):
     empty = target(spark).limit(0)
     source = spark.createDataFrame([("b", "1"), ("a", "2")], "name string, attribute string")
     result = upsert_type1(empty, source, ["name"], "id", F.lit(NEW).cast("timestamp"))
-    assert rows(result.table, "id", "name") == [(1, "a"), (2, "b")]
+    assert rows(result.table(), "id", "name") == [(1, "a"), (2, "b")]
 
 
 def test_checks(spark, rows):

@@ -84,7 +84,6 @@ def test_nothing_happens_without_a_file_or_a_calendar(spark, tmp_path):
     load.ingest_file(empty, drop(tmp_path / "drop", "feed.csv", *PITCHES), None, FIRST, CONFIG)
     assert load.load_warehouse(empty, CONFIG) is None
     assert empty.pending_batches() != [] and empty.table("dim_shark").count() == 0
-    load.open_warehouse(spark, str(tmp_path / "empty")).create_databases()
 
 
 def test_ingest_archives_and_quarantines(warehouse, tmp_path, rows):
@@ -162,6 +161,10 @@ def test_later_batches(warehouse, tmp_path, rows):
     same = [p for p in new_folders if old_folders.get(p) == new_folders[p]]
     assert len(new_folders) == 3 and len(same) == 2
 
+    after = everything(warehouse)
+    assert any(f.startswith("dim_business/") for f in warehouse.remove_unused())
+    assert everything(warehouse) == after and warehouse.remove_unused() == []
+
 
 def test_a_business_twice_in_an_episode(warehouse, tmp_path, rows):
     twice = [line(startup_name="Acme", pitch_number=n, original_ask_amount=n) for n in (1, 2)]
@@ -217,6 +220,9 @@ def test_views_and_tables(loaded, spark):
     loaded.register_tables()
     marts.register_marts(marts.star_of(loaded))
     assert spark.sql("SELECT count(*) FROM vw_episode_summary").first()[0] == 3
+    loaded.create_databases()
+    marts.save_marts(marts.star_of(loaded))
+    assert spark.sql("SELECT total_pitches FROM analytics.vw_alltime_summary").first()[0] == 4
     assert spark.sql("SELECT count(*) FROM fact_pitch p JOIN dim_business b ON p.business_id = b.business_id").first()[0] == 4
 
 
