@@ -31,6 +31,9 @@ def build_session(name: str = "starmill", master: str | None = None, **settings)
     return builder.getOrCreate()
 
 
+_own_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's ``spark.checkpoint.dir``.
 
@@ -41,9 +44,10 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="starmill-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="starmill-")
+    return _own_roots[application]
 
 
 _scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)

@@ -11,7 +11,7 @@ from starmill.operators.keys import assign_keys
 from starmill.operators.lookup import hot_keys, lookup, lookup_key, salted_join
 from starmill.operators.reshape import allocate_evenly, latest_per_key, ordinal_within, split_entities, unpivot_measures
 from starmill.operators.upsert import upsert_type1
-from starmill.session import scratch_scope, written
+from starmill.session import scratch_root, scratch_scope, written
 
 OLD, NEW = datetime(2020, 1, 1), datetime(2021, 1, 1)
 
@@ -189,3 +189,18 @@ def test_scratch_scope_removes_its_tables(spark):
         assert written(spark.range(3), "three").count() == 3
         assert path_exists(spark, folder)
     assert not path_exists(spark, folder)
+
+
+class FakeSession:
+    """As much of a session as ``scratch_root`` looks at."""
+
+    def __init__(self, master, folder):
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": f"app-{master}"})
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: folder or default)})
+
+
+def test_scratch_root():
+    assert scratch_root(FakeSession("yarn", "hdfs:///shared/")) == "hdfs:///shared"
+    assert scratch_root(FakeSession("local[2]", None)) == scratch_root(FakeSession("local[2]", None))
+    with pytest.raises(RuntimeError):
+        scratch_root(FakeSession("yarn", None))
