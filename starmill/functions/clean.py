@@ -11,6 +11,7 @@ from "unreadable".
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -39,8 +40,34 @@ def to_whole(text: str, type_name: str = "int") -> str:
     return f"try_cast(regexp_extract(trim({text}), r'{WHOLE}', 1) AS {type_name})"
 
 
+_DATE_PARTS = {
+    "yyyy": "[0-9]{4}",
+    "yy": "[0-9]{2}",
+    "MMM": "[A-Za-z]{3}",
+    "MM": "[0-9]{2}",
+    "M": "[0-9]{1,2}",
+    "dd": "[0-9]{2}",
+    "d": "[0-9]{1,2}",
+}
+
+
+def date_shape(fmt: str) -> str | None:
+    """Regular expression that every text in a date notation matches; None for notations with other letters."""
+    parts = re.findall(r"y+|M+|d+|[^yMd]+", fmt)
+    known = [_DATE_PARTS.get(p) or (None if re.search(r"[A-Za-z'\[]", p) else re.escape(p)) for p in parts]
+    return None if None in known else f"^{''.join(known)}$"
+
+
 def to_date(text: str, formats: Sequence[str] = DATE_FORMATS) -> str:
-    tries = [f'try_to_date(trim({text}), "{f}")' for f in formats]
+    """Date in the first notation that fits.
+
+    A failed parse costs an exception per row, so a notation is only tried on
+    text of its shape.
+    """
+    tries = []
+    for fmt in formats:
+        shape, parsed = date_shape(fmt), f'try_to_date(trim({text}), "{fmt}")'
+        tries.append(f"CASE WHEN trim({text}) RLIKE r'{shape}' THEN {parsed} END" if shape else parsed)
     return f"coalesce({', '.join(tries)})"
 
 

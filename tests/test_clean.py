@@ -36,6 +36,13 @@ def test_date(spark, text, day):
     assert (found and str(found)) == day
 
 
+def test_date_notations(spark):
+    assert clean.date_shape("d.M.yyyy") == r"^[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}$"
+    assert clean.date_shape("d. MMMM yyyy") is None and clean.date_shape("yyyy-MM-dd'T'HH") is None
+    expression = clean.to_date("t", ["d.M.yyyy", "d. MMMM yyyy"])
+    assert [str(value(spark, expression, t)) for t in ("9.8.2009", "9. August 2009", "2009-08-09")] == ["2009-08-09", "2009-08-09", "None"]
+
+
 def test_flags(spark):
     assert [value(spark, clean.to_flag("t"), t) for t in ("1", "0", "1.0", "", None)] == [True, False, True, None, None]
     assert [value(spark, clean.yes_flag("t"), t) for t in ("yes", " YES ", "no", "", None)] == [True, True, None, None, None]
