@@ -215,8 +215,8 @@ def episode_dim(spark, sf_dir):
 
 @query
 def key_lookup_left(spark, sf_dir):
-    """Business keys by name from a dimension that lacks every third business."""
-    known = feed.read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    """Business keys by name from a dimension that lacks one segment."""
+    known = feed.read(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
     dim = known.select(clean.fold_key(F.col("c_name")).alias("folded"), (F.col("c_custkey") + 1).alias("business_id"))
     rows = staged_with_business(spark, sf_dir).select("pitch_number", clean.fold_key(F.col("startup_name")).alias("folded"))
     return lookup.lookup_key(rows, dim, ["folded"], "business_id")
@@ -224,9 +224,9 @@ def key_lookup_left(spark, sf_dir):
 
 @query
 def episode_lookup(spark, sf_dir):
-    """Episode keys by season and episode number; every fourth episode is unknown."""
+    """Episode keys by season and episode number; the last months are unknown."""
     rows = feed.pitch_rows(spark, sf_dir).select("pitch_number", "season_number", "episode_number")
-    dim = rows.select("season_number", "episode_number").distinct().filter(F.col("episode_number") % 4 != 0)
+    dim = rows.select("season_number", "episode_number").distinct().filter("episode_number <= 9")
     dim = dim.withColumn("episode_id", (F.col("season_number") * 100 + F.col("episode_number")).cast("bigint"))
     return lookup.lookup_key(rows, dim, ["season_number", "episode_number"], "episode_id")
 
@@ -263,17 +263,23 @@ def surrogate_keys(spark, sf_dir):
     return keys.assign_keys(names, ["c_name"], "business_id", start_after=1000)
 
 
-def _upsert(name: str, key: str, rows: DataFrame, old: dict[str, Column], new: dict[str, Column], **options) -> DataFrame:
-    """Upsert of every second row into a table of two rows in three.
+# The rows come in two deliveries that overlap and together are the whole table.
+EARLY, LATE = "season_number <= 5", "season_number >= 4"
 
-    ``rows`` has ``k``, the number behind the natural key, and the natural key.
-    Present rows have the key ``k + 1``.
+
+def _upsert(
+    name: str, key: str, rows: DataFrame, early: str, late: str, old: dict[str, Column], new: dict[str, Column], **options
+) -> DataFrame:
+    """Upsert of the late delivery, with changed attributes, into a table that holds the early one.
+
+    ``rows`` has the natural key and ``k``, the number behind it; present rows
+    have the key ``k + 1``.
     """
     natural = NATURAL_KEYS[name]
     rows = written(rows, "rows")
-    before = rows.filter(F.col("k") % 3 != 0)
+    before = rows.filter(early)
     target = stamp(before.select((F.col("k") + 1).alias(key), *natural, *[c.alias(n) for n, c in old.items()]), OLD)
-    source = rows.filter(F.col("k") % 2 == 0).select(*natural, *[c.alias(n) for n, c in new.items()])
+    source = rows.filter(late).select(*natural, *[c.alias(n) for n, c in new.items()])
     fold = [c for c in natural if c in FOLDED_KEYS]
     result = upsert_type1(target, source, natural, key, F.lit(NEW).cast("timestamp"), fold=fold, **options)
     return result.table().withColumn("import_date", F.to_date("import_date"))
@@ -281,9 +287,12 @@ def _upsert(name: str, key: str, rows: DataFrame, old: dict[str, Column], new: d
 
 @query
 def upsert_entity(spark, sf_dir):
-    rows = feed.read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("shark_name"))
+    rows = feed.read(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("k"), F.col("s_name").alias("shark_name"), "s_nationkey"
+    )
     main = F.col("k") % 10 < 6
-    return _upsert("dim_shark", "shark_id", rows, {"is_main_shark": main}, {"is_main_shark": ~main})
+    early, late = "s_nationkey <= 15", "s_nationkey >= 10"
+    return _upsert("dim_shark", "shark_id", rows, early, late, {"is_main_shark": main}, {"is_main_shark": ~main})
 
 
 @query
@@ -295,7 +304,8 @@ def upsert_business(spark, sf_dir):
     old = {"industry": F.col("c_mktsegment"), "entrepreneur_state": F.col("n_name"), "entrepreneur_city": F.col("r_name")}
     industry = F.when(F.col("k") % 5 != 0, F.lower("c_mktsegment"))
     new = {"industry": industry, "entrepreneur_state": F.col("n_name"), "entrepreneur_city": F.upper("n_name")}
-    return _upsert("dim_business", "business_id", rows, old, new, keep_on_match=["business_name"])
+    early, late = "r_name <> 'ASIA'", "r_name IN ('ASIA', 'EUROPE')"
+    return _upsert("dim_business", "business_id", rows, early, late, old, new, keep_on_match=["business_name"])
 
 
 @query
@@ -305,7 +315,7 @@ def upsert_season(spark, sf_dir):
     day = F.year("first") * 10000 + 101
     old = {"season_label": clean.join_text("Season ", F.col("season_number")), "season_start_date_id": day}
     new = {"season_label": clean.join_text("S", F.col("season_number")), "season_start_date_id": day + 1}
-    return _upsert("dim_season", "season_id", rows, old, new)
+    return _upsert("dim_season", "season_id", rows, EARLY, LATE, old, new)
 
 
 @query
@@ -315,27 +325,30 @@ def upsert_episode(spark, sf_dir):
         (F.col("season_number") * 100 + F.col("episode_number")).cast("bigint").alias("k"),
         F.col("season_number").cast("bigint").alias("season_id"),
         F.col("episode_number").alias("episode_in_season_num"),
+        "season_number",
         "v",
     )
-    return _upsert("dim_episode", "episode_id", rows, {"us_viewership": F.col("v")}, {"us_viewership": F.col("v") + 1})
+    viewers = F.col("v")
+    return _upsert("dim_episode", "episode_id", rows, EARLY, LATE, {"us_viewership": viewers}, {"us_viewership": viewers + 1})
 
 
 @query
 def upsert_pitch(spark, sf_dir):
     rows = feed.with_keys(feed.pitch_rows(spark, sf_dir)).withColumn("k", F.col("pitch_id"))
     amount, deal = F.col("total_deal_amount"), F.col("got_deal")
-    return _upsert(
-        "fact_pitch", "pitch_id", rows, {"is_deal": deal, "deal_amount": amount}, {"is_deal": ~deal, "deal_amount": amount * 2}
-    )
+    old, new = {"is_deal": deal, "deal_amount": amount}, {"is_deal": ~deal, "deal_amount": amount * 2}
+    return _upsert("fact_pitch", "pitch_id", rows, EARLY, LATE, old, new)
 
 
 @query
 def upsert_deal(spark, sf_dir):
-    rows = feed.star(spark, sf_dir).deals.withColumn("k", F.col("pitch_id") * 10 + F.col("shark_id"))
+    star = feed.star(spark, sf_dir)
+    season = star.pitches.select("pitch_id", F.expr("episode_id DIV 100 AS season_number"))
+    rows = star.deals.join(season, "pitch_id").withColumn("k", F.col("pitch_id") * 10 + F.col("shark_id"))
     amount, equity = F.col("investment_amount"), F.col("investment_equity_pct")
     old = {"investment_amount": amount, "investment_equity_pct": equity}
     new = {"investment_amount": amount * 2, "investment_equity_pct": F.lit(None).cast("double")}
-    return _upsert("fact_deal_shark", "deal_shark_id", rows, old, new)
+    return _upsert("fact_deal_shark", "deal_shark_id", rows, EARLY, LATE, old, new)
 
 
 @query
@@ -343,7 +356,7 @@ def upsert_no_retract(spark, sf_dir):
     """Rows per stamp after an upsert: untouched rows keep the old one."""
     orders = feed.with_keys(feed.pitch_rows(spark, sf_dir)).withColumn("k", F.col("pitch_id"))
     amount = F.col("total_deal_amount")
-    table = _upsert("fact_pitch", "pitch_id", orders, {"deal_amount": amount}, {"deal_amount": amount + 1})
+    table = _upsert("fact_pitch", "pitch_id", orders, EARLY, LATE, {"deal_amount": amount}, {"deal_amount": amount + 1})
     return table.groupBy("import_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.expr(clean.exact_sum("deal_amount")).cast("double").alias("total_amount")
     )
@@ -450,8 +463,8 @@ def integrity_duplicates(spark, sf_dir):
 
 @query
 def integrity_orphans(spark, sf_dir):
-    """Customers without an order are no orphans; orders of every third customer are made so."""
-    known = feed.read(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    """Customers without an order are no orphans; orders of one segment are made so."""
+    known = feed.read(spark, sf_dir, "customer").filter("c_mktsegment <> 'BUILDING'")
     orders = feed.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return checks.orphans(orders, known, "c_custkey", unknown=None)
 
@@ -565,9 +578,9 @@ def _loaded(spark, sf_dir):
     """A warehouse loaded in two batches that overlap."""
     warehouse = load.open_warehouse(spark, scratch_path(spark, "warehouse"))
     load.populate_calendar(warehouse, *order_years(spark, sf_dir))
-    rows, key = feed.staged_rows(spark, sf_dir), F.col("pitch_number")
-    load.stage_typed(warehouse, rows.filter(key % 3 != 0), OLD)
-    load.stage_typed(warehouse, rows.filter(key % 2 == 0), NEW)
+    rows = written(feed.staged_rows(spark, sf_dir), "rows")
+    load.stage_typed(warehouse, rows.filter(EARLY), OLD)
+    load.stage_typed(warehouse, rows.filter(LATE), NEW)
     load.load_warehouse(warehouse, feed.CONFIG)
     return warehouse
 
