@@ -71,14 +71,16 @@ def ingest_file(
     encoding: str = "cp1252",
     multi_line: bool | None = None,
 ) -> str | None:
-    """Stage a dropped file and archive it. No file is no error: nothing is done."""
+    """Stage a dropped file, or all that match a glob, and archive it. No file is no error: nothing is done."""
     spark = warehouse.spark
-    if not files.path_exists(spark, path):
+    dropped = files.matching(spark, path)
+    if not dropped:
         return None
-    text = read_text(spark, path, config.feed, encoding, multi_line)
+    text = read_text(spark, dropped, config.feed, encoding, multi_line)
     batch = stage_rows(warehouse, typed_rows(text, config.feed, strict), at)
     if archive_dir:
-        files.archive_file(spark, path, archive_dir, at)
+        for each in dropped:
+            files.archive_file(spark, each, archive_dir, at)
     return batch
 
 

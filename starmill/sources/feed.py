@@ -110,15 +110,20 @@ def decode(df: DataFrame, encoding: str) -> DataFrame:
     return df.selectExpr(*[f"translate({quoted(c)}, '{latin}', '{windows}') AS {quoted(c)}" for c in df.columns])
 
 
-def spans_lines(spark: SparkSession, path) -> bool:
-    """Whether any record of the feed may run over several lines.
+# More files than this with records over several lines: all files are read whole.
+MAX_SPANNING_FILES = 1_000
 
-    The first line of such a record has an odd number of quotes. When no line
-    has, every record ends at its line end and large files can be split.
+
+def spanning_files(spark: SparkSession, path) -> list[str]:
+    """Files in which a record may run over several lines, at most one more than the limit.
+
+    The first line of such a record has an odd number of quotes. A file without
+    such lines has one record per line and can be split.
     """
     lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not lines.filter(quotes % 2 == 1).isEmpty()
+    quotes = "length(value) - length(replace(value, '\"', ''))"
+    found = lines.filter(f"({quotes}) % 2 = 1").select("_metadata.file_path").distinct()
+    return [r.file_path for r in found.limit(MAX_SPANNING_FILES + 1).collect()]
 
 
 def csv_options(encoding: str, multi_line: bool) -> dict:
@@ -144,12 +149,21 @@ def csv_options(encoding: str, multi_line: bool) -> dict:
 def read_text(spark: SparkSession, path, spec: FeedSpec, encoding: str = "cp1252", multi_line: bool | None = None) -> DataFrame:
     """All columns as text plus the raw line of records with a wrong number of fields.
 
-    ``multi_line=None`` looks into the feed: files are read whole only when a
-    record really runs over a line end.
+    ``multi_line=None`` looks into the feed: only files in which a record
+    really may run over a line end are read whole, the others in splits.
     """
-    if multi_line is None:
-        multi_line = spans_lines(spark, path)
-    raw = spark.read.schema(spec.text_schema).options(**csv_options(encoding, multi_line)).csv(path)
+
+    def read(whole_files: bool) -> DataFrame:
+        return spark.read.schema(spec.text_schema).options(**csv_options(encoding, whole_files)).csv(path)
+
+    spanning = spanning_files(spark, path) if multi_line is None else []
+    if not spanning:
+        raw = read(bool(multi_line))
+    elif len(spanning) > MAX_SPANNING_FILES:
+        raw = read(True)
+    else:
+        is_spanning = F.col("_metadata.file_path").isin(spanning)
+        raw = read(True).filter(is_spanning).union(read(False).filter(~is_spanning))
     return decode(raw, encoding)
 
 

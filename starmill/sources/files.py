@@ -14,11 +14,14 @@ def _fs(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file, folder or glob matches anything."""
+def matching(spark: SparkSession, path: str) -> list[str]:
+    """The files and folders that a path or glob names."""
     fs, hadoop_path = _fs(spark, path)
-    found = fs.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    return sorted(s.getPath().toString() for s in fs.globStatus(hadoop_path) or [])
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(matching(spark, path))
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:

@@ -4,7 +4,7 @@ import pytest
 
 from starmill.plans.model import MAIN_SHARKS, pitch_feed
 from starmill.sources import files
-from starmill.sources.feed import FeedSpec, Field, read_feed, spans_lines
+from starmill.sources.feed import FeedSpec, Field, read_feed, spanning_files
 
 SPEC = FeedSpec((Field("Name", "string", 20, required=True), Field("Amount", "double"), Field("Count", "int")))
 
@@ -67,11 +67,23 @@ def test_windows_text(spark, tmp_path, rows):
 
 
 def test_line_breaks_inside_fields_are_found(spark, tmp_path, rows):
-    plain = feed(tmp_path, "a,1,2", '"say ""x""",1,2', name="plain.csv")
-    broken = feed(tmp_path, '"two\r\nlines",1,2', "b,1,2", name="broken.csv")
-    assert not spans_lines(spark, plain)
-    assert spans_lines(spark, broken)
+    plain = feed(tmp_path, "a,1,2", '"say ""x""",1,2', "short,1", name="plain one.csv")
+    broken = feed(tmp_path, '"two\r\nlines",1,2', "b,1,2", name="broken one.csv")
+    assert spanning_files(spark, plain) == []
+    assert len(spanning_files(spark, [plain, broken])) == 1
     assert rows(read_feed(spark, broken, SPEC).good, "count") == [(2,), (2,)]
+    # each file is read in the way it needs
+    both = read_feed(spark, str(tmp_path / "*.csv"), SPEC)
+    names = [r[0].split()[0] for r in rows(both.good, "name")]
+    assert names == ["a", "b", "say", "two"] and both.quarantine.count() == 1
+
+
+@pytest.mark.parametrize("limit", [0, 10])
+def test_many_files_with_line_breaks(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr("starmill.sources.feed.MAX_SPANNING_FILES", limit)
+    for i in range(3):
+        feed(tmp_path, f'"two\r\nlines {i}",1,2', "b,1,2", name=f"f{i}.csv")
+    assert read_feed(spark, str(tmp_path), SPEC).good.count() == 6
 
 
 def test_strict_fails_on_a_value_but_not_on_a_shape(spark, tmp_path):
