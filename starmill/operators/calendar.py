@@ -15,7 +15,7 @@ def calendar(spark: SparkSession, start_year: int, end_year: int | None = None)
     """One row per day from 1 January of the first to 31 December of the last year."""
     end_year = start_year if end_year is None else end_year
     if end_year < start_year:
-        raise ValueError("end_year cannot be before start_year")
+        raise ValueError(f"no years from {start_year} to {end_year}")
     first, last = F.make_date(F.lit(start_year), F.lit(1), F.lit(1)), F.make_date(F.lit(end_year), F.lit(12), F.lit(31))
     # one row per year first, so that a long span is generated by several tasks
     days = spark.range(start_year, end_year + 1).select(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.functions.clean import default_when, fold_key, join_text, percent_to_fraction
+from starmill.functions.clean import default_when, fold_key, percent_to_fraction
 from starmill.operators.calendar import extend_calendar
 from starmill.operators.lookup import lookup, lookup_date, lookup_key
 from starmill.operators.reshape import entity_names, latest_per_key, ordinal_within, split_entities
@@ -298,25 +300,36 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | N
     load = _Load(warehouse, config, at)
     calendar, days = load.table("dim_date"), load.rows("dim_date")
 
-    load.upsert("dim_shark", shark_source(stage, config))
-    load.upsert(
-        "dim_business",
-        business_source(stage),
-        keep_on_match=["business_name"],
-        on_duplicate="latest",
-        order_by=["original_air_date", "pitch_number"],
-        source_rows=rows,
-    )
-    load.upsert("dim_season", season_source(stage, calendar, days), source_rows=rows)
-    seasons, n_seasons = load.table("dim_season"), load.rows("dim_season")
-    load.upsert("dim_episode", episode_source(stage, seasons, calendar, n_seasons, days), source_rows=rows)
+    def sharks() -> None:
+        load.upsert("dim_shark", shark_source(stage, config))
+
+    def businesses() -> None:
+        load.upsert(
+            "dim_business",
+            business_source(stage),
+            keep_on_match=["business_name"],
+            on_duplicate="latest",
+            order_by=["original_air_date", "pitch_number"],
+            source_rows=rows,
+        )
+
+    def seasons_then_episodes() -> None:
+        load.upsert("dim_season", season_source(stage, calendar, days), source_rows=rows)
+        source = episode_source(stage, load.table("dim_season"), calendar, load.rows("dim_season"), days)
+        load.upsert("dim_episode", source, source_rows=rows)
+
+    # these do not depend on each other, so their jobs share the cluster
+    with ThreadPoolExecutor() as pool:
+        running = [pool.submit(copy_context().run, each) for each in (sharks, businesses, seasons_then_episodes)]
+    for each in running:
+        each.result()
 
     if config.on_duplicate == "latest":
         business = fold_key(F.col("startup_name"))
         keyed = stage.withColumn("_business", business)
         appearance = ["_business", "season_number", "episode_number"]
         stage = latest_per_key(keyed, appearance, ["original_air_date", "pitch_number"]).drop("_business")
-    episodes = episode_numbers(load.table("dim_episode"), seasons, n_seasons)
+    episodes = episode_numbers(load.table("dim_episode"), load.table("dim_season"), load.rows("dim_season"))
     resolved = resolve_keys(stage, load.table("dim_business"), episodes, load.rows("dim_business"), load.rows("dim_episode"))
     resolved = written(resolved, "resolved")
     found = [r[0] for r in resolved.select("season_id").distinct().limit(MAX_PARTS + 1).collect()]

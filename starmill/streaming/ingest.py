@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import UTC, datetime
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -73,13 +74,14 @@ def poll_warehouse(
 ) -> StreamingQuery:
     """Stage, and unless ``load`` is off load, every micro-batch of a drop folder.
 
-    The staged batch is named by the micro-batch number, so a repeated
-    micro-batch replaces its own staging, and the upsert by natural key makes
-    the repeated load have no further effect.
+    The staged batch is named by the stream and the micro-batch number, so a
+    repeated micro-batch replaces its own staging, and the upsert by natural
+    key makes the repeated load have no further effect.
     """
+    stream = f"stream_{crc32(checkpoint.encode()):08x}"
 
     def on_batch(rows: DataFrame, number: int) -> None:
-        batch = stage_rows(warehouse, rows, clock(), f"stream_{number:012d}")
+        batch = stage_rows(warehouse, rows, clock(), f"{stream}_{number:012d}")
         if load:
             load_warehouse(warehouse, config, batch)
 
