@@ -23,7 +23,8 @@ from starmill.streaming.ingest import ingest_stream
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-OLD, NEW = datetime(2001, 1, 1), datetime(2002, 1, 1)
+# noon, so that the day is the same in every time zone a session may have
+OLD, NEW = datetime(2001, 1, 1, 12), datetime(2002, 1, 1, 12)
 
 
 def query(function: Query) -> Query:
