@@ -28,7 +28,9 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
 
     The hot rows of ``dim`` (at most ``1 / share`` keys) are repeated once per
     part. A fact row finds its part by a hash of the whole row, so a repeated
-    task puts it in the same place.
+    task puts it in the same place. Exact copies of a row share a part; if they
+    are very many, adaptive execution splits that part by map output, since
+    only the fact side is large.
     """
     if how not in ("left", "inner"):
         raise ValueError("only left and inner joins keep each fact row in one part")
