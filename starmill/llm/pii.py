@@ -79,13 +79,13 @@ class PiiModel:
     documents: int = 300
     window: int = 48
     stride: int = 24
-    hidden: int = 24
-    steps: int = 260
+    hidden: int = 16
+    steps: int = 240
     batch: int = 64
     rate: float = 0.02
     seed: int = 11
-    #: Mean log-odds of a span's characters against being outside.
-    least_score: float = 1.0
+    #: Mean probability of a span's tags from which it is proposed.
+    least_score: float = 0.6
 
 
 #: Symbols: each of these characters, then lower-case letters, then classes.
@@ -133,19 +133,20 @@ class Tagger:
             self.barred[:, inner] = True
             self.barred[[inner - 1, inner], inner] = False
 
-    def _run(self, x: np.ndarray, d: str) -> tuple[np.ndarray, list]:
-        h, c = np.zeros((x.shape[1], self.h)), np.zeros((x.shape[1], self.h))
-        out, kept = np.empty((*x.shape, self.h)), []
-        for t in range(len(x)):
-            z = self.p[f"x{d}"][x[t]] + h @ self.p[f"h{d}"] + self.p[f"c{d}"]
-            i, f, o = (_sigmoid(z[:, k * self.h : (k + 1) * self.h]) for k in (0, 1, 2))
-            g = np.tanh(z[:, 3 * self.h :])
-            before, c = c, f * c + i * g
-            tc = np.tanh(c)
-            kept.append((h, before, i, f, o, g, tc))
-            h = o * tc
-            out[t] = h
-        return out, kept
+    def _run(self, x: np.ndarray, d: str) -> tuple[np.ndarray, tuple]:
+        n, width, h = len(x), x.shape[1], self.h
+        inputs = self.p[f"x{d}"][x] + self.p[f"c{d}"]
+        out, gates = np.zeros((n + 1, width, h)), np.empty((n, width, 4 * h))
+        cells, squashed = np.zeros((n + 1, width, h)), np.empty((n, width, h))
+        for t in range(n):
+            z = inputs[t] + out[t] @ self.p[f"h{d}"]
+            z[:, : 3 * h] = _sigmoid(z[:, : 3 * h])
+            z[:, 3 * h :] = np.tanh(z[:, 3 * h :])
+            cells[t + 1] = z[:, h : 2 * h] * cells[t] + z[:, :h] * z[:, 3 * h :]
+            squashed[t] = np.tanh(cells[t + 1])
+            out[t + 1] = z[:, 2 * h : 3 * h] * squashed[t]
+            gates[t] = z
+        return out[1:], (out[:-1], gates, cells, squashed)
 
     def emissions(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
         a, ka = self._run(x, "f")
@@ -156,55 +157,62 @@ class Tagger:
     def _transitions(self) -> np.ndarray:
         return np.where(self.barred, -1e4, self.p["t"])
 
-    def _back(self, x: np.ndarray, kept: list, dout: np.ndarray, d: str, grads: dict) -> None:
-        dx, dh_w, dc_b = np.zeros_like(self.p[f"x{d}"]), np.zeros_like(self.p[f"h{d}"]), np.zeros(4 * self.h)
-        dh, dc = np.zeros((x.shape[1], self.h)), np.zeros((x.shape[1], self.h))
+    @property
+    def _first(self) -> np.ndarray:
+        tags = np.arange(_TAGS)
+        return np.where((tags > 0) & (tags % 2 == 0), -1e4, 0.0)
+
+    def _back(self, x: np.ndarray, kept: tuple, dout: np.ndarray, d: str, grads: dict) -> None:
+        (before, gates, cells, squashed), h = kept, self.h
+        dz = np.empty_like(gates)
+        dh, dc = np.zeros_like(before[0]), np.zeros_like(before[0])
         for t in range(len(x) - 1, -1, -1):
-            h, before, i, f, o, g, tc = kept[t]
+            i, f, o, g = (gates[t, :, k * h : (k + 1) * h] for k in range(4))
             dh = dh + dout[t]
-            dc = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate([dc * g * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - g * g)], axis=1)
-            np.add.at(dx, x[t], dz)
-            dh_w += h.T @ dz
-            dc_b += dz.sum(0)
-            dh, dc = dz @ self.p[f"h{d}"].T, dc * f
-        grads[f"x{d}"], grads[f"h{d}"], grads[f"c{d}"] = dx, dh_w, dc_b
+            dc = dc + dh * o * (1 - squashed[t] ** 2)
+            dz[t] = np.concatenate([dc * g * i * (1 - i), dc * cells[t] * f * (1 - f), dh * squashed[t] * o * (1 - o), dc * i * (1 - g * g)], axis=1)
+            dh, dc = dz[t] @ self.p[f"h{d}"].T, dc * f
+        flat = dz.reshape(-1, 4 * h)
+        shown = np.zeros((len(flat), _N_SYMBOLS))
+        shown[np.arange(len(flat)), x.ravel()] = 1
+        grads[f"x{d}"], grads[f"h{d}"], grads[f"c{d}"] = shown.T @ flat, before.reshape(-1, h).T @ flat, flat.sum(0)
+
+    def _sums(self, e: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Forward and backward sums over tag sequences, each step scaled to one: alpha, beta, scale, exp(e), exp(transitions), largest e."""
+        n, top = len(e), e.max(2, keepdims=True)
+        pe, pt = np.exp(e - top), np.exp(self._transitions())
+        alpha, beta, scale = np.empty_like(e), np.ones_like(e), np.empty((n, e.shape[1], 1))
+        for t in range(n):
+            a = pe[t] * (alpha[t - 1] @ pt if t else np.exp(self._first))
+            scale[t] = a.sum(1, keepdims=True)
+            alpha[t] = a / scale[t]
+        for t in range(n - 2, -1, -1):
+            beta[t] = (pe[t + 1] * beta[t + 1]) @ pt.T / scale[t + 1]
+        return alpha, beta, scale, pe, pt, top
 
     def loss(self, x: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
         """Mean negative log-likelihood of the tag sequences ``y`` and its gradients."""
         e, (both, ka, kb) = self.emissions(x)
-        tr, n, B = self._transitions(), len(x), x.shape[1]
-        lse = lambda a, axis: np.log(np.exp(a - (m := a.max(axis, keepdims=True))).sum(axis)) + m.squeeze(axis)
-        first = np.where(self.barred.all(0) | (np.arange(_TAGS) % 2 == 0) & (np.arange(_TAGS) > 0), -1e4, 0.0)
-        alpha, beta = np.empty_like(e), np.zeros_like(e)
-        alpha[0] = e[0] + first
-        for t in range(1, n):
-            alpha[t] = lse(alpha[t - 1][:, :, None] + tr, 1) + e[t]
-        for t in range(n - 2, -1, -1):
-            beta[t] = lse(tr[None] + (e[t + 1] + beta[t + 1])[:, None, :], 2)
-        z = lse(alpha[-1], 1)
-        de = np.exp(alpha + beta - z[None, :, None])
-        dt = np.zeros_like(tr)
-        for t in range(n - 1):
-            dt += np.exp(alpha[t][:, :, None] + tr + (e[t + 1] + beta[t + 1])[:, None, :] - z[:, None, None]).sum(0)
-        rows = np.arange(B)
-        gold = sum(e[t, rows, y[t]] for t in range(n)) + sum(tr[y[t], y[t + 1]] for t in range(n - 1))
-        for t in range(n):
-            de[t, rows, y[t]] -= 1
-            if t + 1 < n:
-                np.add.at(dt, (y[t], y[t + 1]), -1)
-        de, dt = de / B, np.where(self.barred, 0, dt / B)
-        grads = {"w": np.einsum("tbi,tbj->ij", both, de), "e": de.sum((0, 1)), "t": dt}
+        tr, width = self._transitions(), x.shape[1]
+        alpha, beta, scale, pe, pt, top = self._sums(e)
+        after = pe[1:] * beta[1:] / scale[1:]
+        dt = pt * (alpha[:-1].reshape(-1, _TAGS).T @ after.reshape(-1, _TAGS))
+        gold = np.take_along_axis(e, y[:, :, None], 2).sum() + tr[y[:-1], y[1:]].sum() + self._first[y[0]].sum()
+        loss = (np.log(scale).sum() + top.sum() - gold) / width
+        known = np.eye(_TAGS)[y]
+        de = (alpha * beta - known) / width
+        dt = np.where(self.barred, 0, (dt - known[:-1].reshape(-1, _TAGS).T @ known[1:].reshape(-1, _TAGS)) / width)
+        grads = {"w": both.reshape(-1, 2 * self.h).T @ de.reshape(-1, _TAGS), "e": de.sum((0, 1)), "t": dt}
         dboth = de @ self.p["w"].T
         self._back(x, ka, dboth[:, :, : self.h], "f", grads)
         self._back(x[::-1], kb, dboth[::-1, :, self.h :], "b", grads)
-        return float((z - gold).mean()), grads
+        return float(loss), grads
 
     def decode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Best tag sequences, and the log-odds of each tag chosen against being outside."""
+        """Best tag sequences, and the probability of the tag chosen for each character."""
         e, _ = self.emissions(x)
         tr, n = self._transitions(), len(x)
-        score = e[0] + np.where((np.arange(_TAGS) % 2 == 0) & (np.arange(_TAGS) > 0), -1e4, 0.0)
+        score = e[0] + self._first
         come = np.empty(e.shape, np.int8)
         for t in range(1, n):
             through = score[:, :, None] + tr
@@ -215,7 +223,8 @@ class Tagger:
         rows = np.arange(x.shape[1])
         for t in range(n - 1, 0, -1):
             tags[t - 1] = come[t, rows, tags[t]]
-        return tags, np.take_along_axis(e, tags[:, :, None].astype(int), 2)[:, :, 0] - e[:, :, 0]
+        alpha, beta, *_ = self._sums(e)
+        return tags, np.take_along_axis(alpha * beta, tags[:, :, None].astype(int), 2)[:, :, 0]
 
 
 def window_starts(text: str, how: PiiModel) -> list[int]:
@@ -303,7 +312,7 @@ def train(samples: list[str], how: PiiModel) -> Tagger:
     return model
 
 
-def _proposals(tags: np.ndarray, odds: np.ndarray, start: int, size: int, whole: int, least: float) -> list[tuple[int, int, str, float]]:
+def _proposals(tags: np.ndarray, sure: np.ndarray, start: int, size: int, whole: int, least: float) -> list[tuple[int, int, str, float]]:
     """Spans of one decoded window as (start, end, kind, score); those cut off by the window's edge are left to its neighbour."""
     out, i = [], 0
     while i < size:
@@ -314,7 +323,7 @@ def _proposals(tags: np.ndarray, odds: np.ndarray, start: int, size: int, whole:
         while j < size and tags[j] == 2 * kind + 2:
             j += 1
         cut = (i == 0 and start > 0) or (j == size and start + size < whole)
-        if not cut and (mean := float(odds[i:j].mean())) >= least:
+        if not cut and (mean := float(sure[i:j].mean())) >= least:
             out.append((start + i, start + j, KINDS[kind], mean * (j - i)))
         i = j
     return out
@@ -363,10 +372,10 @@ def find_spans(texts: list[str], model: Tagger, how: PiiModel, block: int = 2048
     proposed: dict[int, list] = {}
     for k in range(0, len(places), block):
         part = places[k : k + block]
-        tags, odds = model.decode(_coded([texts[i][at : at + how.window] for i, at in part], how.window))
+        tags, sure = model.decode(_coded([texts[i][at : at + how.window] for i, at in part], how.window))
         for column, (i, at) in enumerate(part):
             size = min(how.window, len(texts[i]) - at)
-            proposed.setdefault(i, []).extend(_proposals(tags[:, column], odds[:, column], at, size, len(texts[i]), how.least_score))
+            proposed.setdefault(i, []).extend(_proposals(tags[:, column], sure[:, column], at, size, len(texts[i]), how.least_score))
     out = []
     for i, text in enumerate(texts):
         spans = base_spans(text)
