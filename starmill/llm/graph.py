@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import fitting, written
@@ -63,7 +63,13 @@ def connected_components(links: DataFrame, longest: int = 100) -> DataFrame:
 
 
 
-def link_buckets(members: DataFrame, likely: Callable[[DataFrame], DataFrame], confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def link_buckets(
+    members: DataFrame,
+    likely: Callable[[DataFrame], DataFrame],
+    confirm: Callable[[DataFrame], DataFrame],
+    weigh: Callable[[DataFrame], DataFrame] | None = None,
+    can_link: Callable[[str, str], Column] | None = None,
+) -> DataFrame:
     """node, component of all nodes that are linked, given ``members`` (doc_id, bucket).
 
     Two nodes that share a bucket are linked if ``likely`` keeps their pair
@@ -73,7 +79,9 @@ def link_buckets(members: DataFrame, likely: Callable[[DataFrame], DataFrame], c
     them apart. A link inside a component can't change it, so that the buckets
     compared further are those of three nodes or more that still lie in several
     components, and the pairs those between them. Which is every pair that can
-    matter, without a cap.
+    matter, without a cap. ``weigh`` may give columns for those nodes (doc_id)
+    from which ``can_link`` tells that a pair can't be a link; it gets the
+    aliases of the two sides.
     """
     buckets = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
     buckets = written(buckets.where("least < most").select("bucket", "least", "n"), "buckets")
@@ -87,10 +95,18 @@ def link_buckets(members: DataFrame, likely: Callable[[DataFrame], DataFrame], c
     shared = members.join(fitting(buckets.where("n > 2").select("bucket")), "bucket")
     shared = _grouped(shared, connected_components(links))
     mixed = shared.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    shared = written(shared.join(fitting(written(mixed, "mixed-buckets")), "bucket"), "mixed-members")
-    x, y = shared.alias("x"), shared.alias("y")
-    rest = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.doc_id") < F.col("y.doc_id")))
-    rest = rest.select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
+    shared = shared.join(fitting(written(mixed, "mixed-buckets")), "bucket")
+    nodes = written(shared.groupBy("doc_id", "component").agg(F.collect_set("bucket").alias("buckets")), "mixed-members")
+    if weigh is not None:
+        nodes = written(nodes.join(fitting(written(weigh(nodes.select("doc_id")), "weights")), "doc_id"), "weighed-members")
+    each = nodes.withColumn("bucket", F.explode("buckets"))
+    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & (F.col("x.doc_id") < F.col("y.doc_id"))
+    if can_link is not None:
+        apart &= can_link("x", "y")
+    # a pair that meets in several buckets is taken from one
+    apart &= F.array_min(F.array_intersect("x.buckets", "y.buckets")) == F.col("x.bucket")
+    rest = each.alias("x").join(each.alias("y"), apart).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
+    rest = rest.join(stars, ["a", "b"], "left_anti")
     last = written(confirm(written(likely(rest), "rest-pairs")), "links-last")
     return written(connected_components(links.unionByName(last)), "components")
 

@@ -16,7 +16,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
@@ -33,8 +33,8 @@ class MinHash:
     percent: int = 75
     bands: int = 72
     rows: int = 6
-    #: Pairs whose signatures agree in a smaller share are not looked at further: over six deviations below 0.75.
-    least_agreement: float = 0.6
+    #: Pairs whose signatures put their similarity lower are not looked at further: nearly five deviations below 0.75.
+    least_agreement: float = 0.64
     seed: int = 20240229
 
     @property
@@ -50,7 +50,7 @@ class MinHash:
 class _WordHashes(dict):
     """Hashes of the words met so far; emptied when it holds ``limit`` words."""
 
-    limit = 200_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -111,31 +111,34 @@ def _sign(batches: Iterator[pa.RecordBatch], how: MinHash) -> Iterator[pa.Record
                 key = _mixed(key * _M + least[:, row])
             keys.append(blake2b(shingles.tobytes(), digest_size=16).digest())
             bands.append(key.view(np.int64))
-            marks.append(least.astype(np.uint8).tobytes())  # lowest eight bits of each minimum
+            marks.append(least.astype(np.uint8).ravel().view(np.int64))  # lowest eight bits of each minimum
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
+            [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(marks, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
             names=["doc_id", "n_shingles", "set_key", "marks", "bands"],
         )
 
 
 def sign(docs: DataFrame, how: MinHash) -> DataFrame:
-    """doc_id, n_shingles, set_key (equal for equal sets), marks (a byte of each minimum), bands (bucket keys)."""
+    """doc_id, n_shingles, set_key (equal for equal sets), marks (a byte of each minimum, eight to a long), bands (bucket keys)."""
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return map_arrow(thin, lambda batches: _sign(batches, how), "doc_id long, n_shingles long, set_key binary, marks binary, bands array<long>")
+    return map_arrow(thin, lambda batches: _sign(batches, how), "doc_id long, n_shingles long, set_key binary, marks array<long>, bands array<long>")
+
+
+def _agreement(a: Column, b: Column, how: MinHash) -> Column:
+    """Estimated similarity: minima that differ still agree in half of their bits."""
+    other_bits = F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    return 1 - 2 * other_bits / F.lit(8 * how.size)
+
+
+def _near_in_size(a: Column, b: Column, how: MinHash) -> Column:
+    return 100 * F.least(a, b) >= how.percent * F.greatest(a, b)
 
 
 def _agreeing(pairs: DataFrame, nodes: DataFrame, how: MinHash) -> DataFrame:
     """Pairs (a, b) whose sizes allow a link and whose signatures agree enough."""
     side = lambda x: nodes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"), F.col("marks").alias(f"marks_{x}"))
-    close = pairs.join(side("a"), "a").join(side("b"), "b").where(100 * F.least("n_a", "n_b") >= how.percent * F.greatest("n_a", "n_b"))
-
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [np.frombuffer(b"".join(batch.column(f"marks_{x}").to_pylist()), np.uint8).reshape(-1, how.size) for x in "ab"]
-            good = (rows[0] == rows[1]).mean(axis=1) >= how.least_agreement
-            yield batch.select(["a", "b"]).filter(pa.array(good))
-
-    return map_arrow(close.select("a", "b", "marks_a", "marks_b"), agree, "a long, b long")
+    close = pairs.join(side("a"), "a").join(side("b"), "b").where(_near_in_size(F.col("n_a"), F.col("n_b"), how))
+    return close.where(_agreement(F.col("marks_a"), F.col("marks_b"), how) >= how.least_agreement).select("a", "b")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
@@ -162,6 +165,33 @@ def _linked(pairs: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
     return map_arrow(both.select("a", "text_a", "text_b", "b"), check, "u long, v long").distinct()
 
 
+def _common_shingles(ids: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
+    """doc_id, size, common: shingles of each of these documents, and those of them that another one has too."""
+    ids = fitting(written(ids, "compared-ids"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).join(ids, "doc_id", "left_semi")
+
+    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), how.shingle, hashes).view(np.int64) for t in batch.column("text")]
+            yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+
+    each = written(map_arrow(texts, spell, "doc_id long, shingles array<long>"), "shingle-sets").select("doc_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    several = each.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("shingle")
+    return each.join(several, "shingle").groupBy("doc_id").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("common"))
+
+
+def _may_link(x: str, y: str, how: MinHash) -> Column:
+    """Sizes, what the sets can share at most, and signatures allow a link.
+
+    Two sets share no more than either has in common with any other; a link of
+    sets a and b shares percent / (100 + percent) of a + b at least.
+    """
+    size_x, size_y, most = F.col(f"{x}.size"), F.col(f"{y}.size"), F.least(F.col(f"{x}.common"), F.col(f"{y}.common"))
+    enough = (100 + how.percent) * most >= how.percent * (size_x + size_y)
+    return _near_in_size(size_x, size_y, how) & enough & (_agreement(F.col(f"{x}.marks"), F.col(f"{y}.marks"), how) >= how.least_agreement)
+
+
 def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -178,7 +208,13 @@ def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
     # every node once: the smallest of a group of equal sets, and all that stand alone
     nodes = signed.where("doc_id is not null and n_shingles > 0").join(groups, "set_key", "left").where("node is null or node = doc_id")
     members = nodes.select("doc_id", F.explode("bands").alias("bucket"))
-    components = link_buckets(members, lambda pairs: _agreeing(pairs, nodes, how), lambda pairs: _linked(pairs, docs, how))
+    components = link_buckets(
+        members,
+        lambda pairs: _agreeing(pairs, nodes, how),
+        lambda pairs: _linked(pairs, docs, how),
+        lambda ids: _common_shingles(ids, docs, how).join(nodes.select("doc_id", "marks"), "doc_id"),
+        lambda x, y: _may_link(x, y, how),
+    )
 
     out = signed.select("doc_id", "n_shingles", "set_key").join(groups, "set_key", "left")
     out = out.withColumn("at", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("node", "doc_id")))
