@@ -61,7 +61,7 @@ def _rarest(index: PositionalIndex, units: DataFrame, rarest: int) -> tuple[Data
     return words, written(windows.select("unit", F.slice(order, 1, rarest)["place"].alias("places")), "rarest-places")
 
 
-def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: int = 3, slop: int = 20) -> tuple[DataFrame, DataFrame]:
+def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: int = 2, slop: int = 20) -> tuple[DataFrame, DataFrame]:
     """Phrase matches and proximity matches of the windows of ``items`` (item_id, text).
 
     Phrase: doc_id, key, unit, item, positions - the words of the document that
@@ -70,15 +70,17 @@ def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: i
     in a phrase. An item of fewer words than ``length`` is one window; one
     without words matches nothing. Items with one id and different texts are
     units of their own, repeated ones are one unit; a null id is a null item.
+    Proximity matches are computed only if they are used.
     """
     units = written(_units(items, length), "units")
     words, windows = _rarest(index, units, rarest)
-    needed = fitting(written(windows.groupBy("unit").agg(F.collect_set("places").alias("needed")), "needed-places"))
+    sets = windows.groupBy("unit").agg(F.collect_set("places").alias("needed"), F.min(F.size("places")).alias("least"))
+    needed = fitting(written(sets, "needed-places"))
     places = windows.select("unit", F.explode("places").alias("place")).distinct()
     wanted = fitting(written(places.join(words.select("unit", "place", "term"), ["unit", "place"]), "rarest-terms"))
     shifted = index.postings.join(wanted, "term").select("doc_id", "key", "unit", (F.col("at") - F.col("place")).alias("begins"), "place")
     lists = written(shifted.groupBy("doc_id", "key", "unit", "begins").agg(F.collect_set("place").alias("found")), "shifted-lists")
-    whole = F.expr("exists(needed, n -> size(array_except(n, found)) = 0)")
+    whole = F.expr("size(found) >= least AND exists(needed, n -> size(array_except(n, found)) = 0)")
     starts = lists.join(needed, "unit").where(whole).select("doc_id", "key", "unit", "begins")
 
     # the words that stand where a start puts the item
@@ -102,8 +104,8 @@ def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: i
     return phrases.join(ids, "unit"), near.join(ids, "unit")
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, proximity: bool = False) -> DataFrame:
+    """One row per row of ``docs``: doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, and with ``proximity`` n_near_items.
 
     Null and empty texts have no words and no hits. Items with a null id hit
     words, but are not counted or named. Other columns are left out.
@@ -117,10 +119,12 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFr
         F.size(F.collect_set("item")).cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"),
     )
-    close = near.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_near_items"))
+    parts = [sizes, found]
+    if proximity:
+        parts.append(near.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_near_items")))
     every = index.documents
     out = every
-    for part in (sizes, found, close):
+    for part in parts:
         out = out.join(part, same(every, part, "doc_id", "key"), "left").drop(part["doc_id"]).drop(part["key"])
     zero = F.lit(0).cast("long")
     return out.select(
@@ -131,7 +135,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFr
         F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
-        F.coalesce("n_near_items", zero).alias("n_near_items"),
+        *([F.coalesce("n_near_items", zero).alias("n_near_items")] if proximity else []),
     )
 
 

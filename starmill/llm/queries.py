@@ -40,7 +40,7 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).drop("key", "n_near_items")
+    return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).drop("key")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
