@@ -60,7 +60,7 @@ def escape(text: Column, template: ChatTemplate) -> Column:
     """Doubles backslashes and puts one after the first character of every control string."""
     anywhere = "|".join(_quoted(m[1:]) for m in template.controls)
     heads = "|".join(sorted({_quoted(m[0]) for m in template.controls}))
-    return F.regexp_replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE * 2)), f"({heads})(?=(?:{anywhere}))", r"$1\\\\")
+    return F.regexp_replace(F.replace(text, F.lit(ESCAPE), F.lit(ESCAPE * 2)), f"({heads})(?=(?:{anywhere}))", r"$1\\")
 
 
 def unescape(text: Column) -> Column:
