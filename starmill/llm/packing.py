@@ -7,7 +7,9 @@ pieces of one length.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,33 +23,64 @@ from starmill.llm.common import map_arrow, written
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, place long"
 
 
+#: Letters whose lower case and composition are the same for everyone: ASCII and Latin-1. Apostrophes may begin a suffix and are left out.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_PLAIN = re.compile(rf"([{_LETTERS}]*)([!-&(-/:-@\[-`{{-~]*)")
+
+
 class ChunkIds(dict):
     """Ids of a run of characters without ASCII white space, as packed little-endian uint32.
 
-    The vocabulary's tokens never hold white space, so such runs are encoded
-    one by one; most occur many times. Emptied when it holds ``limit`` runs.
+    No token of the vocabulary holds white space, so such runs are encoded one
+    by one; most occur many times. A run of letters with signs behind it is two
+    words to this kind of tokenizer, which go straight to its merges; any other
+    run goes through all of it. The first ``limit`` runs and words are kept.
     """
 
-    limit, longest = 200_000, 64
+    limit, longest = 400_000, 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
+        self.bytes = self.tokenizer.pre_tokenizer[1] if self._words_by_pattern() else None
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _words_by_pattern(self) -> bool:
+        """Whether letters with signs behind them really are cut and encoded as assumed."""
+        pre = self.tokenizer.pre_tokenizer
+        cut = [w for w, _ in pre.pre_tokenize_str("ab\u00e9..,")]
+        return type(pre).__name__ == "Sequence" and len(cut) == 2 and cut[1] == "..,"
 
     def encode(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def _word(self, word: str) -> bytes:
+        if (ids := self.words.get(word)) is None:
+            spelled = word if word.isascii() else self.bytes.pre_tokenize_str(word)[0][0]
+            ids = np.asarray([t.id for t in self.merges.tokenize(spelled)], "<u4").tobytes()
+            if len(self.words) < self.limit:
+                self.words[word] = ids
+        return ids
+
     def __missing__(self, chunk: str) -> bytes:
-        ids = self.encode(chunk)
-        if len(chunk) <= self.longest:
-            if len(self) >= self.limit:
-                self.clear()
+        if len(chunk) > self.longest:
+            return self.encode(chunk)
+        plain = _PLAIN.fullmatch(chunk) if self.bytes is not None else None
+        ids = self._word(plain[1].lower()) + self._word(plain[2]) if plain else self.encode(chunk)
+        if len(self) < self.limit:
             self[chunk] = ids
         return ids
 
 
+@lru_cache(maxsize=2)
+def chunk_ids(path: str) -> ChunkIds:
+    """One for each tokenizer and process, which a Python worker keeps from task to task."""
+    return ChunkIds(path)
+
+
 def token_ids(text: str, chunks: ChunkIds, end: int) -> bytes:
     text = text.replace("\n", " ").replace("\t", " ").replace("\r", " ")
     ids = b"".join(map(chunks.__getitem__, text.split(" ")))
@@ -66,7 +99,7 @@ def cuts(n: int, longest: int) -> list[tuple[int, int]]:
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, longest: int, end: int) -> Iterator[pa.RecordBatch]:
-    chunks, part = ChunkIds(path), TaskContext.get().partitionId()
+    chunks, part = chunk_ids(path), TaskContext.get().partitionId()
     placed = dict.fromkeys((1 << i for i in range(longest.bit_length())), 0)
     for batch in batches:
         rows: list[list] = [[] for _ in range(7)]
