@@ -52,11 +52,12 @@ DRIFT, SHARE = 4, 0.6
 
 
 def _pairs(words: Column) -> Column:
-    """struct(hash, first, second) for every two neighbouring words."""
-    following = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    pair = lambda a, b: F.struct(F.xxhash64(a, b).alias("hash"), a.alias("first"), b.alias("second"))
-    before = F.slice(words, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.zip_with(before, following, pair)
+    """struct(first, second) for every word and the one behind it; the last one's second is null."""
+    return F.arrays_zip(words.alias("first"), F.slice(words, F.lit(2), F.size(words)).alias("second"))
+
+
+def _hash(pair: str) -> Column:
+    return F.xxhash64(F.col(f"{pair}.first"), F.col(f"{pair}.second"))
 
 
 def template_pairs(spark: SparkSession, templates: tuple[Template, ...]) -> DataFrame:
@@ -65,8 +66,8 @@ def template_pairs(spark: SparkSession, templates: tuple[Template, ...]) -> Data
         raise ValueError(f"a template needs two words: {short}")
     rows = F.array(*[F.struct(F.lit(i).alias("template"), F.lit(t.label).alias("label"), F.lit(t.exact).alias("exact"), F.array(*map(F.lit, t.text.split())).alias("words")) for i, t in enumerate(templates)])
     each = spark.range(1).select(F.inline(rows))
-    return each.select("template", "label", "exact", (F.size("words") - 1).alias("n_pairs"), F.posexplode(_pairs(F.col("words"))).alias("place", "pair")).select(
-        "template", "label", "exact", "n_pairs", "place", F.col("pair.hash").alias("hash"), F.col("pair.first").alias("first"), F.col("pair.second").alias("second")
+    return each.select("template", "label", "exact", (F.size("words") - 1).alias("n_pairs"), F.posexplode(_pairs(F.col("words"))).alias("place", "pair")).where(F.col("pair.second").isNotNull()).select(
+        "template", "label", "exact", "n_pairs", "place", _hash("pair").alias("hash"), F.col("pair.first").alias("first"), F.col("pair.second").alias("second")
     )
 
 
@@ -78,9 +79,10 @@ def license_spans(docs: DataFrame, templates: tuple[Template, ...] = PHRASES + N
     fewer than two words have none. Other columns are left out.
     """
     text = text_of()
-    pairs = docs.select("doc_id", row_key(text).alias("key"), F.posexplode(_pairs(words_of(lower_ascii(text)))).alias("at", "pair"))
+    docs = docs.select("doc_id", row_key(text).alias("key"), words_of(lower_ascii(text)).alias("words"))
+    pairs = docs.select("doc_id", "key", F.posexplode(_pairs(F.col("words"))).alias("at", "pair"))
     known = template_pairs(docs.sparkSession, templates)
-    wanted = (F.col("pair.hash") == known["hash"]) & (F.col("pair.first") == known["first"]) & (F.col("pair.second") == known["second"])
+    wanted = (_hash("pair") == known["hash"]) & (F.col("pair.first") == known["first"]) & (F.col("pair.second") == known["second"])
     votes = (
         pairs.join(F.broadcast(known), wanted)  # the templates are a parameter of the call, a few hundred words
         .groupBy("doc_id", "key", "template", "label", "exact", "n_pairs", (F.col("at") - F.col("place")).alias("diagonal"))
