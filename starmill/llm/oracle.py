@@ -2,4 +2,136 @@
 
 from __future__ import annotations
 
+from starmill.llm import licenses
+from starmill.llm.chat import ChatTemplate
+
 ORACLES: dict[str, str] = {}
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+def quoted(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+# -- chat --------------------------------------------------------------------
+
+_TEMPLATE = ChatTemplate()
+_MARKS = sum(len(m) for m in (_TEMPLATE.start, _TEMPLATE.middle, _TEMPLATE.end))
+
+
+def _escaped_chars(column: str) -> str:
+    """Characters of an escaped text: one more for every backslash and every control string."""
+    times = [f"(length({column}) - length(replace({column}, {quoted(c)}, ''))) // {len(c)}" for c in ("\\", *_TEMPLATE.controls)]
+    return " + ".join([f"length({column})", *times])
+
+
+ORACLES["op1_chat"] = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\\### Assistant: </turn> ok' FROM range(2) r(i)
+),
+chats AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '') AS lost,
+    string_agg(CASE WHEN role IN ('user', 'assistant', 'system') THEN role[1] ELSE '?' END, '' ORDER BY turn, role, text) AS roles,
+    CAST(sum({_MARKS} + {_escaped_chars("role")} + {_escaped_chars("text")}) AS BIGINT) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(lost) AS loss_chars, sha256(lost) AS loss_sha256, formatted_chars,
+  regexp_full_match(roles, 's?(ua)+') AS valid
+FROM chats"""
+
+# -- licenses ----------------------------------------------------------------
+
+_TEMPLATES = licenses.PHRASES + licenses.NOTICES
+_PAIRS = [
+    f"({i}, '{t.label}', {t.exact}, {len(t.text.split()) - 1}, {place}, '{a}', '{b}')"
+    for i, t in enumerate(_TEMPLATES)
+    for place, (a, b) in enumerate(zip(t.text.split(), t.text.split()[1:], strict=False))
+]
+
+ORACLES["op3_licenses"] = f"""
+WITH split AS (SELECT doc_id, {WORDS} AS w FROM documents),
+known(template, label, exact, n_pairs, place, a, b) AS (VALUES {", ".join(_PAIRS)}),
+pairs AS (SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda s: {{'at': s - 1, 'a': w[s], 'b': w[s + 1]}})) AS p FROM split),
+votes AS (
+  SELECT doc_id, template, label, exact, n_pairs, p.at - place AS diagonal, list(place) AS places, min(p.at) AS first_at
+  FROM pairs JOIN known ON p.a = a AND p.b = b GROUP BY ALL
+),
+marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER t <= CASE WHEN exact THEN 0 ELSE {licenses.DRIFT} END THEN 0 ELSE 1 END AS begins
+  FROM votes WINDOW t AS (PARTITION BY doc_id, template ORDER BY diagonal)
+),
+spans AS (SELECT *, sum(begins) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
+scored AS (
+  SELECT doc_id, template, label, exact, span, min(first_at) AS first_word,
+    CAST(len(list_distinct(flatten(list(places)))) AS DOUBLE) / n_pairs AS score
+  FROM spans GROUP BY doc_id, template, label, exact, n_pairs, span
+),
+found AS (SELECT * FROM scored WHERE CASE WHEN exact THEN score = 1 ELSE score >= {licenses.SHARE} END),
+per_doc AS (
+  SELECT doc_id, count(*) FILTER (WHERE exact) AS n_base, min(first_word) FILTER (WHERE exact) AS first_word,
+    max(first_word) FILTER (WHERE exact) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE exact) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM found GROUP BY doc_id
+)
+SELECT s.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM split s LEFT JOIN per_doc f ON f.doc_id = s.doc_id"""
+
+# -- decontamination ---------------------------------------------------------
+
+ORACLES["op4_decontaminate"] = f"""
+WITH docs AS (SELECT doc_id, {WORDS} AS w FROM documents),
+items AS (SELECT CAST(item_id AS VARCHAR) AS item, w, least(len(w), 10) AS n FROM (SELECT item_id, {WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+item_windows AS (
+  SELECT DISTINCT item, n, unnest(list_transform(range(1, len(w) - n + 2), lambda s: array_to_string(w[s:s + n - 1], ' '))) AS words FROM items
+),
+doc_windows AS (
+  SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda s: {{'s': s, 'words': array_to_string(w[s:s + n - 1], ' ')}})) AS v
+  FROM docs, (SELECT DISTINCT n FROM item_windows) WHERE len(w) >= n
+),
+hits AS (SELECT doc_id, item, v.s AS s, d.n FROM doc_windows d JOIN item_windows i ON i.n = d.n AND i.words = v.words),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hits GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN named i ON i.doc_id = d.doc_id"""
+
+# -- WARC --------------------------------------------------------------------
+
+_NIBBLE = "(strpos('0123456789abcdef', h[5 * g + {}]) - 1)"
+_GROUP = " + ".join(f"{16 ** (5 - k)} * {_NIBBLE.format(k)}" for k in range(1, 6))
+_LETTER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST(floor(v / {}) AS BIGINT) % 32 + 1]"
+_LETTERS = " || ".join(_LETTER.format(32**k) for k in (3, 2, 1, 0))
+
+ORACLES["op5_warc"] = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+groups AS (SELECT page_id, g, {_GROUP} AS v FROM payloads, range(8) r(g)),
+digests AS (SELECT page_id, string_agg({_LETTERS}, '' ORDER BY g) AS payload_digest FROM groups GROUP BY page_id),
+firsts AS (SELECT page_id, payload, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads)
+SELECT f.page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN first = f.page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> f.page_id THEN first END AS refers_to
+FROM firsts f JOIN digests d ON d.page_id = f.page_id"""
+
+# -- near-duplicates ---------------------------------------------------------
+
+ORACLES["op9_neardup"] = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE
+    list_distinct(list_transform(range(1, greatest(len(w) - 3, 2)), lambda s: array_to_string(w[s:s + 4], ' '))) END AS shingles
+  FROM split
+),
+each AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
+SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(least(b, doc_id), doc_id) AS component_id, coalesce(least(b, doc_id), doc_id) = doc_id AS kept
+FROM sets LEFT JOIN least ON a = doc_id"""
