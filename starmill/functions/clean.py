@@ -107,9 +107,11 @@ def join_text(*parts) -> Column:
 
 
 # Money is added up as a decimal so that a sum does not depend on the order in
-# which tasks finish.
-MONEY = "decimal(18,4)"
-FRACTION = "decimal(18,10)"
+# which tasks finish. Twelve places keep what a double of this size says; the
+# sixteen before them leave room for a sum, and for a product with a row count,
+# within the 38 digits of a decimal.
+MONEY = "decimal(28,12)"
+FRACTION = "decimal(28,18)"
 
 
 def exact_sum(value: str, type_name: str = MONEY) -> str:

@@ -7,9 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A lookup table holds keys and one or two attributes, a few hundred bytes a
-# row, so this many rows stay within some tens of megabytes.
-BROADCAST_ROWS = 100_000
+
+def broadcast_limit(df: DataFrame) -> int:
+    """Bytes up to which the session broadcasts a table."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's estimate: the size of the files read, and what the plan makes of it. Runs nothing."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> list[int]:
@@ -46,45 +52,33 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "
     return salted_fact.join(salted_dim, [*on, "_salt"], how).drop("_salt")
 
 
-def lookup(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    how: str = "left",
-    dim_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", broadcast_bytes: int | None = None) -> DataFrame:
     """Join ``fact`` to a lookup table that is unique on ``on``.
 
-    ``dim`` is broadcast only when its row count, given or counted here, is
-    within the limit; beyond that it is a shuffle join with salted hot keys.
+    A ``dim`` whose estimated size is within the session's broadcast limit (or
+    ``broadcast_bytes``) is left to Spark's own broadcast; a larger one is a
+    shuffle join with salted hot keys.
     """
     same_type = dim.select(
         [F.col(c).cast(fact.schema[c].dataType).alias(c) if c in on else F.col(c) for c in dim.columns]
     )
-    rows = dim.count() if dim_rows is None else dim_rows
-    if rows <= broadcast_rows:
-        return fact.join(F.broadcast(same_type), list(on), how)
+    limit = broadcast_limit(fact) if broadcast_bytes is None else broadcast_bytes
+    if estimated_bytes(same_type) <= limit:
+        return fact.join(same_type, list(on), how)
     return salted_join(fact, same_type, on, how)
 
 
 def lookup_key(
-    df: DataFrame,
-    dim: DataFrame,
-    on: Sequence[str],
-    key: str,
-    unknown: int | None = 0,
-    dim_rows: int | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    df: DataFrame, dim: DataFrame, on: Sequence[str], key: str, unknown: int | None = 0, broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Attach the surrogate ``key`` of ``dim``; rows without a match get ``unknown``."""
-    joined = lookup(df, dim.select(*on, key), on, "left", dim_rows, broadcast_rows)
+    joined = lookup(df, dim.select(*on, key), on, "left", broadcast_bytes)
     if unknown is None:
         return joined
     return joined.withColumn(key, F.coalesce(key, F.lit(unknown).cast(dim.schema[key].dataType)))
 
 
-def lookup_date(df: DataFrame, calendar: DataFrame, date_col: str, key: str, calendar_rows: int | None = None) -> DataFrame:
+def lookup_date(df: DataFrame, calendar: DataFrame, date_col: str, key: str) -> DataFrame:
     """Attach the calendar's date key under a role name; dates outside the calendar get NULL."""
     role = calendar.select(F.col("date").alias(date_col), F.col("date_id").alias(key))
-    return lookup(df, role, [date_col], "left", calendar_rows)
+    return lookup(df, role, [date_col], "left")

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from starmill.session import written
 
-# Rows of one parent that a single task may sort; larger parents are split.
-WINDOW_ROWS = 2_000_000
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order_by`` values per key; NULL is the smallest value.
@@ -33,8 +30,8 @@ def _same_parent(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> C
     return condition
 
 
-def _ordinal_across_tasks(df: DataFrame, parent: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
-    """Ordinal for parents of any size.
+def ordinal_within(df: DataFrame, parent: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
+    """Position 1, 2, ... of each row within its parent, for parents of any size.
 
     The rows are range-partitioned by parent and order, so a large parent lies
     in several neighbouring partitions. Each task numbers its own stretch, and
@@ -60,24 +57,6 @@ def _ordinal_across_tasks(df: DataFrame, parent: Sequence[str], order_by: Sequen
     return joined.select(*[numbered[c] for c in df.columns], ordinal)
 
 
-def ordinal_within(
-    df: DataFrame,
-    parent: Sequence[str],
-    order_by: Sequence[str],
-    name: str,
-    window_rows: int = WINDOW_ROWS,
-) -> DataFrame:
-    """Position 1, 2, ... of each row within its parent.
-
-    A plain window where the largest parent fits one task; otherwise the
-    parents are split over tasks. Both give the same numbers.
-    """
-    largest = df.groupBy(*parent).count().agg(F.max("count")).first()[0] or 0
-    if largest > window_rows:
-        return _ordinal_across_tasks(df, parent, order_by, name)
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*parent).orderBy(*order_by)))
-
-
 def unpivot_measures(
     df: DataFrame,
     id_cols: Sequence[str],

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from starmill.functions.clean import fold_key
 from starmill.operators.keys import assign_keys, max_key
-from starmill.operators.lookup import BROADCAST_ROWS
 from starmill.operators.reshape import latest_per_key
 from starmill.session import written
 
@@ -70,7 +69,6 @@ def upsert_type1(
     order_by: Sequence[str] = (),
     stamp_col: str = "import_date",
     start_after: int | None = None,
-    source_rows: int | None = None,
 ) -> Upsert:
     """Match ``source`` to ``target`` on the natural key.
 
@@ -83,16 +81,11 @@ def upsert_type1(
 
     Because a match overwrites all attributes, only the keys of the target are
     joined to the source, and the target itself is anti-joined. So a source
-    that is small enough to be broadcast (``source_rows`` within the limit, or
-    Spark's own size check) never makes Spark shuffle the target, as one full
-    outer join would.
+    that Spark's size check lets it broadcast never makes it shuffle the target,
+    as one full outer join would.
     """
     target_keys, source_keys = _folded(target, natural_key, fold), _folded(source, natural_key, fold)
     folded = list(source_keys)
-    small = source_rows is not None and source_rows <= BROADCAST_ROWS
-
-    def of_source(keys: DataFrame) -> DataFrame:
-        return F.broadcast(keys) if small else keys
 
     known = target.select(
         *[c.alias(n) for n, c in target_keys.items()],
@@ -100,7 +93,7 @@ def upsert_type1(
         *[F.col(c).alias(f"_kept_{c}") for c in keep_on_match],
     )
     wanted = source.select(*[c.alias(n) for n, c in source_keys.items()]).distinct()
-    hits = known.join(of_source(wanted), folded, "left_semi")
+    hits = known.join(wanted, folded, "left_semi")
 
     src = one_row_per_key(source.withColumns(source_keys), folded, on_duplicate, order_by)
     matched = src.join(hits, folded, "left").withColumn(stamp_col, stamp)
@@ -113,5 +106,5 @@ def upsert_type1(
     numbered = assign_keys(matched.filter(~is_match).drop(key), folded, key, first_free)
     changed = matched.filter(is_match).unionByName(numbered).select(key, stamp_col, *source.columns)
 
-    untouched = target.withColumns(target_keys).join(of_source(matched.select(*folded)), folded, "left_anti")
+    untouched = target.withColumns(target_keys).join(matched.select(*folded), folded, "left_anti")
     return Upsert(changed, untouched.select(*target.columns))

@@ -59,6 +59,12 @@ def mart_season(spark, sf_dir):
     return marts.mart_season(feed.star(spark, sf_dir))
 
 
+@query
+def mart_by_season_range(spark, sf_dir):
+    """The season mart over a range of seasons, of which alone the facts are read."""
+    return marts.mart_season(marts.in_seasons(feed.star(spark, sf_dir), 3, 5))
+
+
 @query
 def mart_alltime(spark, sf_dir):
     return marts.mart_alltime(feed.star(spark, sf_dir))
@@ -93,6 +99,16 @@ def mart_fanout_equiv(spark, sf_dir):
     return marts.mart_episode(feed.star(spark, sf_dir), extra=True).select("season_number", "episode_in_season_num", *columns)
 
 
+@query
+def deal_value(spark, sf_dir):
+    """Value of the deal fact by season and kind of investor: all line items of orders that are deals."""
+    star = feed.star(spark, sf_dir)
+    season = star.pitches.select("pitch_id", F.expr(f"episode_id DIV {feed.SEASON} AS season_number"))
+    deals = star.deals.join(season, "pitch_id").join(star.sharks, "shark_id")
+    total = F.round(F.expr(clean.exact_sum("investment_amount")), 2).cast("double")
+    return deals.groupBy("season_number", "is_main_shark").agg(total.alias("deal_value"))
+
+
 @query
 def deal_flags(spark, sf_dir):
     return marts.deal_flags(feed.star(spark, sf_dir))
@@ -139,22 +155,19 @@ def latest_per_key(spark, sf_dir):
     return reshape.latest_per_key(rows, ["o_custkey"], ["original_air_date", "pitch_number"])
 
 
-def _ordinal(spark, sf_dir, **options):
-    rows = staged_with_business(spark, sf_dir).select("season_number", "episode_number", "pitch_number", "startup_name")
-    rows = written(rows, "rows")
-    parent = ["season_number", "episode_number"]
-    return reshape.ordinal_within(rows, parent, ["pitch_number", "startup_name"], "pitch_order_in_episode", **options)
-
-
 @query
 def ordinal_in_parent(spark, sf_dir):
-    return _ordinal(spark, sf_dir)
+    rows = staged_with_business(spark, sf_dir).select("season_number", "episode_number", "pitch_number", "startup_name")
+    parent = ["season_number", "episode_number"]
+    return reshape.ordinal_within(rows, parent, ["pitch_number", "startup_name"], "pitch_order_in_episode")
 
 
 @query
 def ordinal_across_tasks(spark, sf_dir):
-    """The same numbers with every parent too large for one task."""
-    return _ordinal(spark, sf_dir, window_rows=0)
+    """One parent for all rows, which so lies in every partition."""
+    rows = staged_with_business(spark, sf_dir).select("season_number", "episode_number", "pitch_number", "startup_name")
+    everything = rows.withColumn("series", F.lit("the only one"))
+    return reshape.ordinal_within(everything, ["series"], ["pitch_number", "startup_name"], "pitch_order").drop("series")
 
 
 def _guest_rows(spark, sf_dir):
@@ -225,10 +238,10 @@ def key_lookup_left(spark, sf_dir):
 
 @query
 def episode_lookup(spark, sf_dir):
-    """Episode keys by season and episode number; the last months are unknown."""
+    """Episode keys by season and episode number; the last days of a season are unknown."""
     rows = feed.pitch_rows(spark, sf_dir).select("pitch_number", "season_number", "episode_number")
-    dim = rows.select("season_number", "episode_number").distinct().filter("episode_number <= 9")
-    dim = dim.withColumn("episode_id", (F.col("season_number") * 100 + F.col("episode_number")).cast("bigint"))
+    dim = rows.select("season_number", "episode_number").distinct().filter("episode_number <= 270")
+    dim = dim.withColumn("episode_id", feed.episode_key())
     return lookup.lookup_key(rows, dim, ["season_number", "episode_number"], "episode_id")
 
 
@@ -245,7 +258,7 @@ def salted_lookup(spark, sf_dir):
 
 @query
 def deal_fact(spark, sf_dir):
-    return feed.star(spark, sf_dir).deals
+    return feed.star(spark, sf_dir).deals.select("pitch_id", "shark_id", "investment_amount", "investment_equity_pct")
 
 
 @query
@@ -323,7 +336,7 @@ def upsert_season(spark, sf_dir):
 def upsert_episode(spark, sf_dir):
     aired = feed.pitch_rows(spark, sf_dir).groupBy("season_number", "episode_number").agg(F.max("us_viewership").alias("v"))
     rows = aired.select(
-        (F.col("season_number") * 100 + F.col("episode_number")).cast("bigint").alias("k"),
+        feed.episode_key().alias("k"),
         F.col("season_number").cast("bigint").alias("season_id"),
         F.col("episode_number").alias("episode_in_season_num"),
         "season_number",
@@ -344,7 +357,7 @@ def upsert_pitch(spark, sf_dir):
 @query
 def upsert_deal(spark, sf_dir):
     star = feed.star(spark, sf_dir)
-    season = star.pitches.select("pitch_id", F.expr("episode_id DIV 100 AS season_number"))
+    season = star.pitches.select("pitch_id", F.expr(f"episode_id DIV {feed.SEASON} AS season_number"))
     rows = star.deals.join(season, "pitch_id").withColumn("k", F.col("pitch_id") * 10 + F.col("shark_id"))
     amount, equity = F.col("investment_amount"), F.col("investment_equity_pct")
     old = {"investment_amount": amount, "investment_equity_pct": equity}
@@ -539,26 +552,38 @@ def ingest_csv_roundtrip(spark, sf_dir):
     return read_feed(spark, path, CUSTOMER_FEED).good
 
 
+@query
+def quarantine_files(spark, sf_dir):
+    """Customers written as lines of text, some of them short, long or over-wide, and read back from the files."""
+    path = scratch_path(spark, "customer-lines")
+    key, name = F.col("c_custkey"), F.col("c_name")
+    wide = F.when(key % 19 == 0, F.rpad(name, 260, "x")).otherwise(name)
+    fields = [key.cast("string"), wide, F.col("c_mktsegment"), F.col("c_acctbal").cast("string")]
+    line = (
+        F.when(key % 7 == 0, F.concat_ws(",", *fields[:3]))  # a field is missing
+        .when(key % 11 == 0, F.concat_ws(",", *fields, F.lit("more")))
+        .otherwise(F.concat_ws(",", *fields))
+    )
+    # a heading over the one column is the heading of the file
+    heading = ",".join(f.header for f in CUSTOMER_FEED.fields)
+    lines = feed.read(spark, sf_dir, "customer").select(line.alias(heading))
+    lines.write.option("header", True).option("sep", "|").option("quote", "").csv(path)
+    rows = classify(read_text(spark, path, CUSTOMER_FEED), CUSTOMER_FEED)
+    return rows.groupBy("reject_reason", "reject_column").agg(F.count(F.lit(1)).alias("n_rows"), F.count("raw_line").alias("n_raw_lines"))
+
+
 def _feed_files(spark, sf_dir, path: str) -> None:
     text = feed.as_feed_text(feed.staged_rows(spark, sf_dir))
     text.write.option("header", True).option("escape", '"').csv(path)
 
 
-def _feed_view(rows: DataFrame) -> DataFrame:
-    return rows.select(
-        "season_number", "startup_name", "episode_number", "pitch_number", "original_air_date", "industry", "us_viewership",
-        "total_deal_amount", "got_deal", "royalty_deal", "advisory_shares_equity", "deal_has_conditions",
-        "investor_0_investment_amount", "investor_5_investment_equity", "guest_name", "guest_investment_amount",
-    )
-
-
 @query
 def ingest_feed(spark, sf_dir):
     """The whole feed layout, written as files and read back."""
     path = scratch_path(spark, "feed-csv")
     _feed_files(spark, sf_dir, path)
     rows = typed_rows(read_text(spark, path, feed.CONFIG.feed), feed.CONFIG.feed)
-    return _feed_view(split_rows(rows, feed.CONFIG.feed).good)
+    return split_rows(rows, feed.CONFIG.feed).good
 
 
 @query
@@ -571,8 +596,10 @@ def stream_ingest(spark, sf_dir):
         split_rows(rows, feed.CONFIG.feed).good.write.mode("overwrite").parquet(f"{out}/micro_batch={number}")
 
     make_folder(spark, out)
-    ingest_stream(spark, path, scratch_path(spark, "progress"), feed.CONFIG.feed, keep, max_files=4).awaitTermination()
-    return _feed_view(spark.read.schema(feed.CONFIG.feed.typed_schema).parquet(out))
+    # an archive folder makes the source move each file away once a later run has begun
+    archive, progress = scratch_path(spark, "archive"), scratch_path(spark, "progress")
+    ingest_stream(spark, path, progress, feed.CONFIG.feed, keep, archive, max_files=4).awaitTermination()
+    return spark.read.schema(feed.CONFIG.feed.typed_schema).parquet(out).select(*feed.CONFIG.feed.names)
 
 
 def _loaded(spark, sf_dir):
@@ -586,6 +613,19 @@ def _loaded(spark, sf_dir):
     return warehouse
 
 
+@query
+def two_schedules(spark, sf_dir):
+    """A file's batch staged before an older batch of a stream: they are loaded by their stamps, so the file's wins."""
+    warehouse = load.open_warehouse(spark, scratch_path(spark, "warehouse"))
+    load.populate_calendar(warehouse, *order_years(spark, sf_dir))
+    rows = written(feed.staged_rows(spark, sf_dir), "rows")
+    load.stage_typed(warehouse, rows.filter(LATE).withColumn("industry", F.lit("newer")), NEW)
+    load.stage_typed(warehouse, rows.withColumn("industry", F.lit("older")), OLD, "stream_0001")
+    load.load_warehouse(warehouse, feed.CONFIG)
+    business = warehouse.table("dim_business")
+    return business.groupBy("industry", F.to_date("import_date").alias("batch_date")).agg(F.count(F.lit(1)).alias("n_businesses"))
+
+
 @query
 def warehouse_load(spark, sf_dir):
     """Staging to star and season mart, with surrogate keys, in two overlapping batches."""

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from datetime import datetime
+from hashlib import sha256
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,21 +21,24 @@ from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, STORED_BY, SURROGATE
 from starmill.session import scratch_scope, written
 from starmill.sources import files
 from starmill.sources.feed import REJECT_COLUMNS, read_text, stamp, typed_rows
-from starmill.sources.store import MAX_PARTS, Warehouse
+from starmill.sources.store import LoadConflict, Warehouse
 
 # ---------------------------------------------------------------------------
 # feed -> staging
 
 
-def batch_id(at: datetime) -> str:
-    return f"{at:%Y%m%d_%H%M%S_%f}"
+def batch_id(at: datetime, sources: Sequence[str] = ()) -> str:
+    """Name of a batch: its stamp, and a digest of the files it comes from or else a number of its own."""
+    digest = sha256("\n".join(sorted(sources)).encode()).hexdigest()[:16] if sources else uuid4().hex[:16]
+    return f"{at:%Y%m%d_%H%M%S_%f}_{digest}"
 
 
 def stage_rows(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str | None = None) -> str:
-    """Stage classified feed rows as one batch; staging the same batch again replaces it.
+    """Stage classified feed rows as one batch; staging a batch of the same name again replaces it.
 
     The feed is parsed once: accepted and rejected rows go to two folders of
-    one write, and the few rejected ones are copied to the quarantine.
+    one write, and the few rejected ones are copied to the quarantine. The
+    batch exists for a load when its commit marker is written, after both.
     """
     batch = batch or batch_id(at)
     path = warehouse.batch_path(batch)
@@ -41,6 +47,7 @@ def stage_rows(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str |
     staged = warehouse.spark.read.schema(stamped.schema).parquet(path)
     bad = staged.filter("rejected").select("import_date", *REJECT_COLUMNS)
     bad.write.mode("overwrite").parquet(f"{warehouse.root}/quarantine/batch={batch}")
+    warehouse.commit_batch(batch, at.isoformat())
     return batch
 
 
@@ -79,7 +86,7 @@ def ingest_file(
     if not dropped:
         return None
     text = read_text(spark, dropped, config.feed, encoding, multi_line)
-    batch = stage_rows(warehouse, typed_rows(text, config.feed, strict), at)
+    batch = stage_rows(warehouse, typed_rows(text, config.feed, strict), at, batch_id(at, dropped))
     if archive_dir:
         for each in dropped:
             files.archive_file(spark, each, archive_dir, at)
@@ -116,10 +123,10 @@ def business_source(stage: DataFrame) -> DataFrame:
     )
 
 
-def season_source(stage: DataFrame, calendar: DataFrame, calendar_rows: int | None = None) -> DataFrame:
+def season_source(stage: DataFrame, calendar: DataFrame) -> DataFrame:
     spans = stage.select("season_number", "season_start", "season_end").distinct()
-    spans = lookup_date(spans, calendar, "season_start", "start_id", calendar_rows)
-    spans = lookup_date(spans, calendar, "season_end", "end_id", calendar_rows)
+    spans = lookup_date(spans, calendar, "season_start", "start_id")
+    spans = lookup_date(spans, calendar, "season_end", "end_id")
     number = F.col("season_number").cast("string")
     return spans.groupBy("season_number").agg(
         F.min("start_id").alias("season_start_date_id"), F.max("end_id").alias("season_end_date_id")
@@ -132,35 +139,27 @@ def season_source(stage: DataFrame, calendar: DataFrame, calendar_rows: int | No
     )
 
 
-def episode_source(
-    stage: DataFrame, seasons: DataFrame, calendar: DataFrame, season_rows: int | None = None, calendar_rows: int | None = None
-) -> DataFrame:
+def episode_source(stage: DataFrame, seasons: DataFrame, calendar: DataFrame) -> DataFrame:
     aired = stage.groupBy("season_number", "episode_number", "original_air_date").agg(F.max("us_viewership").alias("us_viewership"))
-    aired = lookup_key(aired, seasons, ["season_number"], "season_id", None, season_rows)
-    aired = lookup_date(aired, calendar, "original_air_date", "air_date_id", calendar_rows)
+    aired = lookup_key(aired, seasons, ["season_number"], "season_id", None)
+    aired = lookup_date(aired, calendar, "original_air_date", "air_date_id")
     return aired.groupBy("season_id", F.col("episode_number").alias("episode_in_season_num")).agg(
         F.max("air_date_id").alias("air_date_id"), F.max("us_viewership").alias("us_viewership")
     )
 
 
-def episode_numbers(episodes: DataFrame, seasons: DataFrame, season_rows: int | None = None) -> DataFrame:
+def episode_numbers(episodes: DataFrame, seasons: DataFrame) -> DataFrame:
     """Episode keys by season number and episode number."""
-    numbered = lookup(episodes, seasons.select("season_id", "season_number"), ["season_id"], "inner", season_rows)
+    numbered = lookup(episodes, seasons.select("season_id", "season_number"), ["season_id"], "inner")
     return numbered.select("season_number", F.col("episode_in_season_num").alias("episode_number"), "episode_id", "season_id")
 
 
-def resolve_keys(
-    stage: DataFrame,
-    businesses: DataFrame,
-    episodes: DataFrame,
-    business_rows: int | None = None,
-    episode_rows: int | None = None,
-) -> DataFrame:
+def resolve_keys(stage: DataFrame, businesses: DataFrame, episodes: DataFrame) -> DataFrame:
     """Attach business, episode and season keys; 0 where the dimension has no row."""
     folded = businesses.select(fold_key(F.col("business_name")).alias("_business"), "business_id")
     named = stage.withColumn("_business", fold_key(F.col("startup_name")))
-    keyed = lookup_key(named, folded, ["_business"], "business_id", 0, business_rows)
-    keyed = lookup(keyed, episodes, ["season_number", "episode_number"], "left", episode_rows)
+    keyed = lookup_key(named, folded, ["_business"], "business_id", 0)
+    keyed = lookup(keyed, episodes, ["season_number", "episode_number"], "left")
     return keyed.withColumns({k: F.coalesce(k, F.lit(0).cast("bigint")) for k in ("episode_id", "season_id")}).drop("_business")
 
 
@@ -236,13 +235,13 @@ def named_deals(pitches: DataFrame, id_cols: list[str], config: LoadConfig) -> D
     return opened.filter(F.col("investment_amount").isNotNull())
 
 
-def deal_source(pitches: DataFrame, sharks: DataFrame, config: LoadConfig, shark_rows: int | None = None) -> DataFrame:
+def deal_source(pitches: DataFrame, sharks: DataFrame, config: LoadConfig) -> DataFrame:
     """Deal fact rows; ``pitches`` has pitch and season keys and the investor columns."""
     known = pitches.filter((F.col("business_id") != 0) & (F.col("episode_id") != 0))
-    deals = named_deals(known, ["pitch_id", "season_id"], config)
+    deals = named_deals(known, ["pitch_id", "episode_id", "season_id"], config)
     deals = deals.withColumn("_shark", fold_key(F.col("shark_name"))).drop("shark_name")
     keys = sharks.select(fold_key(F.col("shark_name")).alias("_shark"), "shark_id")
-    return lookup(deals, keys, ["_shark"], "inner", shark_rows).drop("_shark")
+    return lookup(deals, keys, ["_shark"], "inner").drop("_shark")
 
 
 # ---------------------------------------------------------------------------
@@ -293,12 +292,13 @@ class _Load:
 
 
 def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | None:
+    warehouse = warehouse.pin()  # all of a load works on one state, and is published only on top of it
     stage = staged(warehouse, batch, config)
-    rows, at = stage.agg(F.count(F.lit(1)), F.max("import_date")).first()
+    at = stage.agg(F.max("import_date")).first()[0]
     if at is None:
         return None
     load = _Load(warehouse, config, at)
-    calendar, days = load.table("dim_date"), load.rows("dim_date")
+    calendar = load.table("dim_date")
 
     def sharks() -> None:
         load.upsert("dim_shark", shark_source(stage, config))
@@ -310,13 +310,12 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | N
             keep_on_match=["business_name"],
             on_duplicate="latest",
             order_by=["original_air_date", "pitch_number"],
-            source_rows=rows,
         )
 
     def seasons_then_episodes() -> None:
-        load.upsert("dim_season", season_source(stage, calendar, days), source_rows=rows)
-        source = episode_source(stage, load.table("dim_season"), calendar, load.rows("dim_season"), days)
-        load.upsert("dim_episode", source, source_rows=rows)
+        load.upsert("dim_season", season_source(stage, calendar))
+        source = episode_source(stage, load.table("dim_season"), calendar)
+        load.upsert("dim_episode", source)
 
     # these do not depend on each other, so their jobs share the cluster
     with ThreadPoolExecutor() as pool:
@@ -329,14 +328,15 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | N
         keyed = stage.withColumn("_business", business)
         appearance = ["_business", "season_number", "episode_number"]
         stage = latest_per_key(keyed, appearance, ["original_air_date", "pitch_number"]).drop("_business")
-    episodes = episode_numbers(load.table("dim_episode"), load.table("dim_season"), load.rows("dim_season"))
-    resolved = resolve_keys(stage, load.table("dim_business"), episodes, load.rows("dim_business"), load.rows("dim_episode"))
+    episodes = episode_numbers(load.table("dim_episode"), load.table("dim_season"))
+    resolved = resolve_keys(stage, load.table("dim_business"), episodes)
     resolved = written(resolved, "resolved")
-    found = [r[0] for r in resolved.select("season_id").distinct().limit(MAX_PARTS + 1).collect()]
-    parts = found if len(found) <= MAX_PARTS else None
+    # of the batch's seasons, those that are stored already: as many as the snapshot names at most
+    held = [int(p) for name in STORED_BY for p in warehouse.folders(name)]
+    parts = [r[0] for r in resolved.select("season_id").distinct().filter(F.col("season_id").isin(sorted(set(held)))).collect()]
 
-    pitches = load.upsert("fact_pitch", pitch_source(resolved, config), parts, source_rows=rows).changed
-    deals = deal_source(pitches, load.table("dim_shark"), config, load.rows("dim_shark"))
+    pitches = load.upsert("fact_pitch", pitch_source(resolved, config), parts).changed
+    deals = deal_source(pitches, load.table("dim_shark"), config)
     if config.on_duplicate == "latest":
         load.upsert("fact_deal_shark", deals, parts, on_duplicate="latest", order_by=["investment_amount"])
     else:
@@ -344,22 +344,38 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | N
     return warehouse.publish(load.states)
 
 
+class BatchesFailed(RuntimeError):
+    """Some batches could not be loaded; all others were."""
+
+
 def load_warehouse(warehouse: Warehouse, config: LoadConfig = LoadConfig(), batch: str | None = None) -> int | None:
-    """Load one staged batch, or all pending ones in order; returns the last published version.
+    """Load one staged batch, or all pending ones in the order of their stamps; returns the last published version.
 
     Does nothing while nothing is staged or the calendar is empty. Dimensions
     come before facts, seasons before episodes, pitches before deals. The
     staged rows are released only when all tables of the load are published;
-    loading the same batch again gives the same tables.
+    loading the same batch again gives the same tables. A batch that fails is
+    set aside with its error, so that it doesn't hold up the later ones, and
+    reported at the end; naming it loads it again. If another load publishes in
+    the meantime, ``LoadConflict`` is raised and everything is left as it was.
     """
     pending = [batch] if batch else warehouse.pending_batches()
     if not pending or warehouse.rows("dim_date") == 0:
         return None
-    version = None
+    version, failed = None, {}
     for each in pending:
-        with scratch_scope(warehouse.spark):
-            version = _load_batch(warehouse, each, config) or version
+        try:
+            with scratch_scope(warehouse.spark):
+                version = _load_batch(warehouse, each, config) or version
+        except LoadConflict:
+            raise
+        except Exception as error:  # whatever is wrong with a batch, the others are not to blame
+            warehouse.set_aside(each, f"{type(error).__name__}: {error}")
+            failed[each] = error
+            continue
         warehouse.release(each)
+    if failed:
+        raise BatchesFailed("; ".join(f"{b}: {e}" for b, e in failed.items())) from next(iter(failed.values()))
     return version
 
 

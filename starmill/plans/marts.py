@@ -10,13 +10,15 @@ views, which see a pitch once per investor; ``*_per_pitch`` columns count it onc
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.clean import FRACTION, MONEY, exact_sum, join_text, ratio
 from starmill.operators.lookup import lookup, salted_join
+from starmill.plans.model import PUBLISHED
 
 # Measures that add up over rows. The first three count a pitch once, the
 # others once per investor row.
@@ -26,8 +28,7 @@ FANNED = ("has_royalties", "has_advisory_shares", "has_conditions")
 
 @dataclass(frozen=True)
 class Star:
-    """The tables a mart reads. ``rows``: known row counts by table, to decide on broadcasts without
-    counting. ``salt``: look for pitches with very many investor rows and salt the fact-to-fact join."""
+    """The tables a mart reads. ``salt``: look for pitches with very many investor rows and salt the fact-to-fact join."""
 
     pitches: DataFrame
     deals: DataFrame
@@ -36,28 +37,36 @@ class Star:
     seasons: DataFrame
     calendar: DataFrame
     businesses: DataFrame | None = None
-    rows: dict[str, int] = field(default_factory=dict)
     salt: bool = False
 
 
 def star_of(warehouse) -> Star:
+    """The newest state of the tables, all of one snapshot."""
+    warehouse = warehouse.pin()
     return Star(
-        pitches=warehouse.table("fact_pitch"),
-        deals=warehouse.table("fact_deal_shark"),
+        pitches=warehouse.stored("fact_pitch"),
+        deals=warehouse.stored("fact_deal_shark"),
         sharks=warehouse.table("dim_shark"),
         episodes=warehouse.table("dim_episode"),
         seasons=warehouse.table("dim_season"),
         calendar=warehouse.table("dim_date"),
         businesses=warehouse.table("dim_business"),
-        rows={n: warehouse.rows(n) for n in ("dim_shark", "dim_episode", "dim_season", "dim_date", "dim_business")},
         salt=True,
     )
 
 
+def in_seasons(star: Star, first: int, last: int) -> Star:
+    """The star with the seasons of these numbers only. Facts are stored by season, so no other is read."""
+    seasons = star.seasons.filter(F.col("season_number").between(first, last))
+    ids = [r[0] for r in seasons.select("season_id").collect()]  # no more than there are numbers in the range
+    only = {n: getattr(star, n).filter(F.col("season_id").isin(ids)) for n in ("pitches", "deals", "episodes")}
+    return replace(star, seasons=seasons, **only)
+
+
 def deal_flags(star: Star) -> DataFrame:
     """Per pitch: number of investor rows, and whether a main or a guest investor is among them."""
     flags = star.sharks.select("shark_id", "is_main_shark")
-    deals = lookup(star.deals.select("pitch_id", "shark_id"), flags, ["shark_id"], "left", star.rows.get("dim_shark"))
+    deals = lookup(star.deals.select("pitch_id", "shark_id"), flags, ["shark_id"], "left")
     return deals.groupBy("pitch_id").agg(
         F.count(F.lit(1)).alias("deal_rows"),
         F.max(F.coalesce("is_main_shark", F.lit(False))).alias("has_main_shark"),
@@ -77,7 +86,7 @@ def _episode_metrics(star: Star, by: Sequence[str]) -> DataFrame:
     columns = ["pitch_id", "episode_id", "is_deal", "is_royalty_deal", "advisory_shares", "deal_has_conditions"]
     pitches = star.pitches.select(*columns, *by, F.col("deal_amount").cast(MONEY).alias("amount"))
     base = pitches.join(deal_flags(star), "pitch_id", "left")
-    fan = "coalesce(deal_rows, 1)"
+    fan = "cast(coalesce(deal_rows, 1) AS decimal(9,0))"
     aggregates = [
         "count(*) AS total_pitches",
         "count_if(is_deal) AS total_deals",
@@ -85,14 +94,16 @@ def _episode_metrics(star: Star, by: Sequence[str]) -> DataFrame:
         "count_if(has_guest_shark) AS guest_shark_deals",
         f"sum(amount * {fan}) AS total_investment",
         "sum(amount) AS total_investment_per_pitch",
-        *[f"sum(if({mark}, {fan}, 0)) AS {name}" for name, mark in MARKS.items()],
+        *[f"sum(if({mark}, coalesce(deal_rows, 1), 0)) AS {name}" for name, mark in MARKS.items()],
         *[f"count_if({mark}) AS {name}_per_pitch" for name, mark in MARKS.items()],
     ]
     return base.groupBy("episode_id", *by).agg(*map(F.expr, aggregates))
 
 
 def _sharks_by_episode(star: Star, by: Sequence[str]) -> DataFrame:
-    """Distinct investors per episode (and pitch-level columns ``by``)."""
+    """Distinct investors per episode (and pitch-level columns ``by``); the facts are joined only for the latter."""
+    if "episode_id" in star.deals.columns and not by:
+        return star.deals.select("episode_id", "shark_id").distinct()
     deals = star.deals.select("pitch_id", "shark_id")
     pitches = star.pitches.select("pitch_id", "episode_id", *by)
     if star.salt:
@@ -175,10 +186,7 @@ def mart_alltime(star: Star, extra: bool = False) -> DataFrame:
     """One row for the whole history."""
     known = star.episodes.join(star.seasons.select("season_id"), "season_id", "left_semi")
     block = metric_block(star, [], known.select("episode_id", "season_id"), star.episodes.select("us_viewership"))
-    return block.select(
-        "total_seasons", "total_episodes", *SHARED, *SHARES, "avg_us_viewership", "pitches_per_episode",
-        "deals_per_episode", "pitches_per_season", "deals_per_season", *(EXTRA if extra else ()),
-    )
+    return block.select(*PUBLISHED["vw_alltime_summary"], *(EXTRA if extra else ()))
 
 
 def season_dates(star: Star) -> DataFrame:
@@ -186,7 +194,7 @@ def season_dates(star: Star) -> DataFrame:
     seasons = star.seasons
     for role in ("start", "end"):
         days = star.calendar.select(F.col("date_id").alias(f"season_{role}_date_id"), F.col("date").alias(f"season_{role}_date"))
-        seasons = lookup(seasons, days, [f"season_{role}_date_id"], "left", star.rows.get("dim_date"))
+        seasons = lookup(seasons, days, [f"season_{role}_date_id"], "left")
     return seasons.select("season_id", "season_label", "season_number", "season_start_date", "season_end_date")
 
 
@@ -194,18 +202,15 @@ def mart_season(star: Star, extra: bool = False) -> DataFrame:
     """One row per season."""
     episodes = star.episodes.select("episode_id", "season_id")
     block = metric_block(star, ["season_id"], episodes, star.episodes.select("season_id", "us_viewership"))
-    return season_dates(star).join(block, "season_id").select(
-        "season_label", "season_number", "season_start_date", "season_end_date", "total_episodes", *SHARED, *SHARES,
-        "avg_us_viewership", "pitches_per_episode", "deals_per_episode", *(EXTRA if extra else ()),
-    )
+    return season_dates(star).join(block, "season_id").select(*PUBLISHED["vw_season_summary"], *(EXTRA if extra else ()))
 
 
 def episode_attributes(star: Star) -> DataFrame:
     """Episodes with their season and air date."""
     days = star.calendar.select(F.col("date_id").alias("air_date_id"), F.col("date").alias("episode_air_date"))
-    episodes = lookup(star.episodes, days, ["air_date_id"], "left", star.rows.get("dim_date"))
+    episodes = lookup(star.episodes, days, ["air_date_id"], "left")
     seasons = star.seasons.select("season_id", "season_number", "season_label")
-    return lookup(episodes, seasons, ["season_id"], "inner", star.rows.get("dim_season")).select(
+    return lookup(episodes, seasons, ["season_id"], "inner").select(
         "episode_id", "season_id", "season_number", "season_label", "episode_in_season_num", "us_viewership", "episode_air_date"
     )
 
@@ -214,10 +219,8 @@ def mart_episode(star: Star, extra: bool = False) -> DataFrame:
     """One row per episode."""
     label = join_text("Season ", F.col("season_number"), ", Episode ", F.col("episode_in_season_num"))
     block = metric_block(star, ["episode_id"])
-    return block.join(episode_attributes(star), "episode_id").select(
-        label.alias("episode_label"), "season_number", "episode_in_season_num", "episode_air_date",
-        *SHARED, *SHARES, "us_viewership", *(EXTRA if extra else ()),
-    )
+    labelled = block.join(episode_attributes(star), "episode_id").withColumn("episode_label", label)
+    return labelled.select(*PUBLISHED["vw_episode_summary"], *(EXTRA if extra else ()))
 
 
 def mart_shark(star: Star) -> DataFrame:
@@ -251,10 +254,8 @@ def grain_mart(star: Star, group_cols: Sequence[str]) -> DataFrame:
     if by:
         if star.businesses is None or not set(by) <= set(star.businesses.columns):
             raise ValueError(f"unknown group columns: {by}")
-        pitches = lookup(
-            star.pitches, star.businesses.select("business_id", *by), ["business_id"], "left", star.rows.get("dim_business")
-        )
-        star = Star(**{**star.__dict__, "pitches": pitches})
+        pitches = lookup(star.pitches, star.businesses.select("business_id", *by), ["business_id"])
+        star = replace(star, pitches=pitches)
     on_episode = [c for c in group_cols if c not in by]
     episodes = attributes.select("episode_id", *[c for c in on_episode if c != "episode_id"])
     viewers = None if by else attributes.select(*group_cols, "us_viewership")
@@ -272,13 +273,40 @@ MARTS = {
 }
 
 
-def register_marts(star: Star) -> None:
-    """The marts as temporary views, computed when they are read."""
-    for name, build in MARTS.items():
-        build(star).createOrReplaceTempView(name)
+def register_marts(warehouse) -> None:
+    """The marts as temporary views, computed when they are read, which follow the loads through this handle."""
+
+    def refresh(newest) -> None:
+        star = star_of(newest)
+        for name, build in MARTS.items():
+            build(star).createOrReplaceTempView(name)
+
+    warehouse.keep_live("marts", refresh)
+
+
+def save_marts(warehouse, database: str = "analytics") -> None:
+    """The marts as tables of the catalog, for readers that should not pay for the aggregation.
+
+    Each is written to a new table first; the published name is a view of it, so
+    that a reader never meets a missing table. They are saved again after every
+    publish through this handle.
+    """
+
+    def refresh(newest) -> None:
+        spark, star = newest.spark, star_of(newest)
+        for name, build in MARTS.items():
+            fresh = f"{database}.{name}_{uuid4().hex[:12]}"
+            build(star).write.saveAsTable(fresh)
+            old = _table_behind(spark, f"{database}.{name}")
+            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {fresh}")
+            if old:
+                spark.sql(f"DROP TABLE IF EXISTS {old}")
+
+    warehouse.keep_live(f"saved marts in {database}", refresh)
 
 
-def save_marts(star: Star, database: str = "analytics") -> None:
-    """The marts as tables of the catalog, for readers that should not pay for the aggregation."""
-    for name, build in MARTS.items():
-        build(star).write.mode("overwrite").saveAsTable(f"{database}.{name}")
+def _table_behind(spark, view: str) -> str | None:
+    if not spark.catalog.tableExists(view):
+        return None
+    text = spark.sql(f"DESCRIBE EXTENDED {view}").filter("col_name = 'View Text'").first()
+    return text.data_type.rsplit(" ", 1)[-1] if text else None

@@ -83,7 +83,31 @@ def main_measures(main_sharks) -> dict[str, dict[str, str]]:
     }
 
 
-# Surrogate keys are 64-bit: 32 bits run out at the sizes this is meant for.
+# The published columns of the marts, in their order.
+_MEASURES = (
+    "total_pitches", "total_deals", "deal_rate", "total_investment", "sharks_in_deals", "has_royalties",
+    "has_advisory_shares", "has_conditions", "main_shark_deal_share", "guest_shark_deal_share",
+)
+PUBLISHED = {
+    "vw_alltime_summary": (
+        "total_seasons", "total_episodes", *_MEASURES, "avg_us_viewership", "pitches_per_episode", "deals_per_episode",
+        "pitches_per_season", "deals_per_season",
+    ),
+    "vw_season_summary": (
+        "season_label", "season_number", "season_start_date", "season_end_date", "total_episodes", *_MEASURES,
+        "avg_us_viewership", "pitches_per_episode", "deals_per_episode",
+    ),
+    "vw_episode_summary": (
+        "episode_label", "season_number", "episode_in_season_num", "episode_air_date", *_MEASURES, "us_viewership",
+    ),
+    "vw_shark_alltime_summary": (
+        "shark_name", "is_main_shark", "total_deals_participated", "avg_investment_amount", "total_investment_amount",
+        "avg_equity_pct_per_deal",
+    ),
+}
+
+# The tables and their columns. Surrogate keys are 64-bit: 32 bits
+# run out at the sizes this is meant for.
 TABLES = {
     "dim_date": CALENDAR_SCHEMA,
     "dim_shark": "shark_id bigint, shark_name string, is_main_shark boolean, import_date timestamp",
@@ -116,6 +140,8 @@ TABLES = {
 # Facts are stored by season, so that a load rewrites the seasons it brings and
 # no others. The column is an address, not a part of the table.
 STORED_BY = {"fact_pitch": "season_id", "fact_deal_shark": "season_id"}
+# Also kept with the deals, so that marts by episode need not join the facts for it.
+CARRIED = {"fact_deal_shark": "episode_id"}
 
 NATURAL_KEYS = {
     "dim_date": ("date",),

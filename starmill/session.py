@@ -76,13 +76,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared folder and read it back.
+def written(df: DataFrame, label: str, path: str | None = None, by: str | None = None) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared folder, in folders by the column ``by``, and read it back.
 
     Cuts the lineage in a way that survives lost executors, keeps column
     pruning for later passes, and pins values that a second run of the plan
     could give differently (partition ids, row positions).
     """
     path = path or scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

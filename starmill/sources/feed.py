@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import NamedTuple
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,12 +112,8 @@ def decode(df: DataFrame, encoding: str) -> DataFrame:
     return df.selectExpr(*[f"translate({quoted(c)}, '{latin}', '{windows}') AS {quoted(c)}" for c in df.columns])
 
 
-# More files than this with records over several lines: all files are read whole.
-MAX_SPANNING_FILES = 1_000
-
-
 def spanning_files(spark: SparkSession, path) -> list[str]:
-    """Files in which a record may run over several lines, at most one more than the limit.
+    """Files in which a record may run over several lines; the driver lists all files of a feed in any case.
 
     The first line of such a record has an odd number of quotes. A file without
     such lines has one record per line and can be split.
@@ -123,7 +121,12 @@ def spanning_files(spark: SparkSession, path) -> list[str]:
     lines = spark.read.text(path)
     quotes = "length(value) - length(replace(value, '\"', ''))"
     found = lines.filter(f"({quotes}) % 2 = 1").select("_metadata.file_path").distinct()
-    return [r.file_path for r in found.limit(MAX_SPANNING_FILES + 1).collect()]
+    return [r.file_path for r in found.collect()]
+
+
+def canonical(uri: str) -> str:
+    """One form for the ways in which Spark spells a file's address."""
+    return re.sub("^file:/+", "file:/", unquote(uri))
 
 
 def csv_options(encoding: str, multi_line: bool) -> dict:
@@ -153,17 +156,17 @@ def read_text(spark: SparkSession, path, spec: FeedSpec, encoding: str = "cp1252
     really may run over a line end are read whole, the others in splits.
     """
 
-    def read(whole_files: bool) -> DataFrame:
-        return spark.read.schema(spec.text_schema).options(**csv_options(encoding, whole_files)).csv(path)
+    def read(paths, whole_files: bool) -> DataFrame:
+        return spark.read.schema(spec.text_schema).options(**csv_options(encoding, whole_files)).csv(paths)
 
     spanning = spanning_files(spark, path) if multi_line is None else []
     if not spanning:
-        raw = read(bool(multi_line))
-    elif len(spanning) > MAX_SPANNING_FILES:
-        raw = read(True)
-    else:
-        is_spanning = F.col("_metadata.file_path").isin(spanning)
-        raw = read(True).filter(is_spanning).union(read(False).filter(~is_spanning))
+        return decode(read(path, bool(multi_line)), encoding)
+    whole = {canonical(f) for f in spanning}
+    others = [f for f in spark.read.text(path).inputFiles() if canonical(f) not in whole]
+    raw = read([unquote(f) for f in spanning], True)
+    if others:
+        raw = raw.union(read([unquote(f) for f in others], False))
     return decode(raw, encoding)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 from datetime import datetime
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -57,15 +58,19 @@ def read_small_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_small_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write under a temporary name, then rename: readers see all of it or nothing."""
-    fs, hadoop_path = _fs(spark, path + ".tmp")
-    stream = fs.create(hadoop_path, True)
+def write_small_text(spark: SparkSession, path: str, text: str, overwrite: bool = False) -> None:
+    """Write a file; without ``overwrite`` only if there is none, which of two writers one is told."""
+    fs, hadoop_path = _fs(spark, path)
+    try:
+        stream = fs.create(hadoop_path, overwrite)
+    except Py4JJavaError as error:
+        if fs.exists(hadoop_path):
+            raise FileExistsError(path) from error
+        raise
     try:
         stream.write(bytearray(text.encode("utf-8")))
     finally:
         stream.close()
-    move(spark, path + ".tmp", path)
 
 
 def archive_name(path: str, at: datetime) -> str:

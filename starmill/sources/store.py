@@ -4,18 +4,22 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.plans.model import STORED_BY, TABLES
+from starmill.plans.model import CARRIED, STORED_BY, TABLES
 from starmill.sources import files
 
-# A load that touches more seasons than this rewrites the whole fact table
-# instead of naming the seasons one by one.
-MAX_PARTS = 10_000
+
+# Spark's readers skip files whose names begin with an underscore.
+COMMITTED, FAILED = "_committed.json", "_failed.txt"
+
+
+class LoadConflict(RuntimeError):
+    """Another load published first; the batch is still staged and can be loaded again."""
 
 
 class Warehouse:
@@ -30,6 +34,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._pinned: dict | None = None
+        self._live: dict[str, Callable[[Warehouse], None]] = {}
 
     # -- set-up ---------------------------------------------------------------
 
@@ -45,25 +51,58 @@ class Warehouse:
 
     # -- snapshots ------------------------------------------------------------
 
+    def _snapshot_names(self) -> list[str]:
+        return [n for n in files.list_names(self.spark, f"{self.root}/snapshots") if n.endswith(".json")]
+
     def snapshot(self) -> dict:
-        names = [n for n in files.list_names(self.spark, f"{self.root}/snapshots") if n.endswith(".json")]
-        if not names:
-            return {"version": 0, "tables": {}}
-        return json.loads(files.read_small_text(self.spark, f"{self.root}/snapshots/{names[-1]}"))
+        """The newest state, or the one this handle is pinned to. A pointer that is just being written is not seen yet."""
+        if self._pinned is not None:
+            return self._pinned
+        for name in reversed(self._snapshot_names()):
+            try:
+                return json.loads(files.read_small_text(self.spark, f"{self.root}/snapshots/{name}"))
+            except ValueError:
+                continue
+        return {"version": 0, "tables": {}}
+
+    def pin(self) -> Warehouse:
+        """A handle that keeps seeing the state of this moment, for queries over several tables and for loads."""
+        pinned = Warehouse(self.spark, self.root)
+        pinned._pinned, pinned._live = self.snapshot(), self._live
+        return pinned
 
     def publish(self, tables: Mapping[str, dict]) -> int:
-        """Make new table states visible; fails if another load got there first."""
-        current = self.snapshot()
-        version = current["version"] + 1
-        state = {"version": version, "tables": {**current["tables"], **tables}}
-        files.write_small_text(self.spark, f"{self.root}/snapshots/{version:010d}.json", json.dumps(state))
+        """Make new table states visible.
+
+        Fails if there is a newer version than the one this handle works on
+        (the pinned one, else the newest): then another load got there first.
+        """
+        base = self.snapshot()
+        version = base["version"] + 1
+        names = self._snapshot_names()
+        if names and int(names[-1].removesuffix(".json")) >= version:
+            raise LoadConflict(f"version {version} was published by another load")
+        state = {"version": version, "tables": {**base["tables"], **tables}}
+        try:
+            files.write_small_text(self.spark, f"{self.root}/snapshots/{version:010d}.json", json.dumps(state))
+        except FileExistsError as error:
+            raise LoadConflict(f"version {version} was published by another load") from error
+        newest = Warehouse(self.spark, self.root)
+        newest._live = self._live
+        for refresh in self._live.values():
+            refresh(newest)
         return version
 
+    def keep_live(self, name: str, refresh: Callable[[Warehouse], None]) -> None:
+        """Run ``refresh`` now and after every publish through this handle or one pinned from it."""
+        self._live[name] = refresh
+        refresh(self)
+
     # -- tables ---------------------------------------------------------------
 
     def schema(self, name: str) -> T.StructType:
-        ddl = TABLES[name] + (f", {STORED_BY[name]} bigint" if name in STORED_BY else "")
-        return T.StructType.fromDDL(ddl)
+        more = [columns[name] for columns in (CARRIED, STORED_BY) if name in columns]
+        return T.StructType.fromDDL(", ".join([TABLES[name], *[f"{c} bigint" for c in more]]))
 
     def rows(self, name: str) -> int:
         return self.snapshot()["tables"].get(name, {}).get("rows", 0)
@@ -72,7 +111,7 @@ class Warehouse:
         return self.snapshot()["tables"].get(name, {}).get("max_key", 0)
 
     def stored(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
-        """The table as stored, with its address column; ``parts`` reads only those seasons."""
+        """The table as stored, with its address and carried columns; ``parts`` reads only those seasons."""
         state = self.snapshot()["tables"].get(name, {})
         return self.read_state(name, state, parts)
 
@@ -86,8 +125,7 @@ class Warehouse:
         return reader.parquet(*[f"{self.root}/dwh/{name}/{f}" for f in folders]).select(schema.fieldNames())
 
     def table(self, name: str) -> DataFrame:
-        df = self.stored(name)
-        return df.drop(STORED_BY[name]) if name in STORED_BY else df
+        return self.stored(name).select(T.StructType.fromDDL(TABLES[name]).fieldNames())
 
     def write(self, name: str, df: DataFrame, key: str, untouched: Mapping[str, dict] | None = None) -> dict:
         """Write a new version and return its state; ``untouched`` folders of older versions stay part of it."""
@@ -128,10 +166,33 @@ class Warehouse:
 
     # -- staging --------------------------------------------------------------
 
+    def batches(self) -> dict[str, dict]:
+        """Staged batches with what their commit marker says; a batch that is still being staged has none."""
+        found = {}
+        for name in files.list_names(self.spark, f"{self.root}/stage/pitch_raw_data"):
+            marker = f"{self.root}/stage/pitch_raw_data/{name}/{COMMITTED}"
+            if name.startswith("batch=") and files.path_exists(self.spark, marker):
+                found[name.split("=", 1)[1]] = json.loads(files.read_small_text(self.spark, marker))
+        return found
+
+    def commit_batch(self, batch: str, import_date: str) -> None:
+        """To be called when staging and quarantine are complete."""
+        marker = {"import_date": import_date}
+        files.write_small_text(self.spark, f"{self.batch_path(batch)}/{COMMITTED}", json.dumps(marker), overwrite=True)
+
     def pending_batches(self) -> list[str]:
-        """Ids of staged batches that no load has consumed, oldest first."""
-        names = files.list_names(self.spark, f"{self.root}/stage/pitch_raw_data")
-        return sorted(n.split("=", 1)[1] for n in names if n.startswith("batch="))
+        """Ids of staged batches that no load has consumed or set aside, by the stamp of their rows."""
+        committed = self.batches()
+        waiting = [b for b in committed if not files.path_exists(self.spark, f"{self.batch_path(b)}/{FAILED}")]
+        return sorted(waiting, key=lambda b: (committed[b]["import_date"], b))
+
+    def failed_batches(self) -> dict[str, str]:
+        """Batches that a load has set aside, with the error."""
+        errors = {b: f"{self.batch_path(b)}/{FAILED}" for b in self.batches()}
+        return {b: files.read_small_text(self.spark, p) for b, p in errors.items() if files.path_exists(self.spark, p)}
+
+    def set_aside(self, batch: str, error: str) -> None:
+        files.write_small_text(self.spark, f"{self.batch_path(batch)}/{FAILED}", error, overwrite=True)
 
     def batch_path(self, batch: str) -> str:
         return f"{self.root}/stage/pitch_raw_data/batch={batch}"
@@ -143,6 +204,40 @@ class Warehouse:
     # -- views ----------------------------------------------------------------
 
     def register_tables(self) -> None:
-        """Every table as a temporary view under its own name."""
+        """Every table as a temporary view under its own name, which follows the loads through this handle."""
+
+        def refresh(newest: Warehouse) -> None:
+            for name in TABLES:
+                newest.table(name).createOrReplaceTempView(name)
+
+        self.keep_live("tables", refresh)
+
+    def register_databases(self, stage_schema: T.StructType | None = None) -> None:
+        """``dwh.<table>``, and ``stage.pitch_raw_data`` for a given layout, as views of the catalog.
+
+        They name the newest folders and are made anew after every publish
+        through this handle, so that every session of the catalog sees a load
+        as soon as its publisher has gone through them.
+        """
+        self.create_databases()
+        self.keep_live("databases", lambda newest: newest._write_views(stage_schema))
+
+    def _write_views(self, stage_schema: T.StructType | None) -> None:
         for name in TABLES:
-            self.table(name).createOrReplaceTempView(name)
+            folders = [f["path"] for f in self.folders(name).values()]
+            self._view(f"dwh.{name}", f"{self.root}/dwh/{name}", folders, T.StructType.fromDDL(TABLES[name]))
+        if stage_schema is not None:
+            base = f"{self.root}/stage/pitch_raw_data"
+            folders = [f"batch={b}/rejected=false" for b in self.pending_batches()]
+            present = [f for f in folders if files.path_exists(self.spark, f"{base}/{f}")]
+            self._view("stage.pitch_raw_data", base, present, stage_schema)
+
+    def _view(self, name: str, base: str, folders: list[str], schema: T.StructType) -> None:
+        columns = ", ".join(f"cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+        if folders:
+            glob = folders[0] if len(folders) == 1 else "{" + ",".join(folders) + "}"
+            text = f"SELECT {columns} FROM parquet.`{base}/{glob}`"
+        else:
+            nothing = ", ".join(f"cast(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            text = f"SELECT {nothing} WHERE false"
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")

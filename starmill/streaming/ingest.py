@@ -21,14 +21,16 @@ def read_feed_stream(
     spec: FeedSpec,
     archive_dir: str | None = None,
     encoding: str = "cp1252",
-    multi_line: bool = True,
+    multi_line: bool = False,
     max_files: int | None = None,
 ) -> DataFrame:
     """Classified rows of every file that appears in ``folder``.
 
     A file is recognised by its name: one that is dropped again under the same
     name is not read again, for that use ``ingest_file``. Files are archived by
-    the source itself, a file at a time after a later run has begun.
+    the source itself, a file at a time after a later run has begun. Records
+    that run over line ends need ``multi_line``, which reads each file in one
+    task; without it, large files are split and such records are quarantined.
     """
     options = csv_options(encoding, multi_line)
     if archive_dir:
@@ -47,7 +49,7 @@ def ingest_stream(
     on_batch: Callable[[DataFrame, int], None],
     archive_dir: str | None = None,
     encoding: str = "cp1252",
-    multi_line: bool = True,
+    multi_line: bool = False,
     max_files: int | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:

@@ -9,6 +9,8 @@ from starmill.plans import load, marts
 from starmill.plans.integrity import integrity_report
 from starmill.plans.model import TABLES, LoadConfig
 from starmill.sources import files
+from starmill.sources.feed import read_text, typed_rows
+from starmill.sources.store import LoadConflict
 from starmill.streaming.ingest import poll_warehouse
 
 CONFIG = LoadConfig(main_sharks=("Ann O'Day", "Bob Ray"))
@@ -168,10 +170,12 @@ def test_a_business_twice_in_an_episode(warehouse, tmp_path, rows):
     load.ingest_file(warehouse, path, None, FIRST, CONFIG)
     with pytest.raises(Exception, match="more than one source row"):
         load.load_warehouse(warehouse, CONFIG)
-    # a failed load shows nothing and keeps its staging
-    assert warehouse.table("dim_business").count() == 0 and len(warehouse.pending_batches()) == 1
+    # a failed load shows nothing and keeps its staging, set aside
+    assert warehouse.table("dim_business").count() == 0 and warehouse.pending_batches() == []
+    (batch, error), = warehouse.failed_batches().items()
+    assert "more than one source row" in error
     latest = LoadConfig(main_sharks=CONFIG.main_sharks, on_duplicate="latest")
-    load.load_warehouse(warehouse, latest)
+    load.load_warehouse(warehouse, latest, batch)
     assert rows(warehouse.table("fact_pitch"), "ask_amount", "pitch_order_in_episode") == [(2.0, 1)]
 
 
@@ -214,10 +218,10 @@ def test_marts_of_an_empty_warehouse(warehouse):
 
 def test_views_and_tables(loaded, spark):
     loaded.register_tables()
-    marts.register_marts(marts.star_of(loaded))
+    marts.register_marts(loaded)
     assert spark.sql("SELECT count(*) FROM vw_episode_summary").first()[0] == 3
     loaded.create_databases()
-    marts.save_marts(marts.star_of(loaded))
+    marts.save_marts(loaded)
     assert spark.sql("SELECT total_pitches FROM analytics.vw_alltime_summary").first()[0] == 4
     assert spark.sql("SELECT count(*) FROM fact_pitch p JOIN dim_business b ON p.business_id = b.business_id").first()[0] == 4
 
@@ -242,3 +246,90 @@ def test_drop_folder(warehouse, tmp_path, rows):
     poll()
     assert warehouse.table("fact_pitch").count() == 3 and warehouse.pending_batches() == []
     assert load.quarantined(warehouse).count() == 1
+
+
+def test_two_files_with_one_stamp(warehouse, tmp_path, rows):
+    for name in ("a", "b"):
+        path = drop(tmp_path / "drop", f"{name}.csv", line(startup_name=f"Business {name}", pitch_number=1))
+        load.ingest_file(warehouse, path, str(tmp_path / "archive"), FIRST, CONFIG)
+    assert len(warehouse.pending_batches()) == 2
+    load.load_warehouse(warehouse, CONFIG)
+    assert rows(warehouse.table("dim_business"), "business_name") == [("Business a",), ("Business b",)]
+
+
+def test_a_load_that_was_overtaken_publishes_nothing(warehouse, tmp_path, rows):
+    first, second = warehouse.pin(), warehouse.pin()
+    first.publish({})
+    with pytest.raises(LoadConflict):
+        second.publish({})
+    # the same through loads: the batch that lost is still there, and can be loaded on top
+    a = load.ingest_file(warehouse, drop(tmp_path / "drop", "a.csv", line(startup_name="A", pitch_number=1)), None, FIRST, CONFIG)
+    b = load.ingest_file(warehouse, drop(tmp_path / "drop", "b.csv", line(startup_name="B", pitch_number=2)), None, SECOND, CONFIG)
+    late = warehouse.pin()
+    load.load_warehouse(warehouse, CONFIG, a)
+    with pytest.raises(LoadConflict):
+        load.load_warehouse(late, CONFIG, b)
+    assert warehouse.pending_batches() == [b]
+    load.load_warehouse(warehouse, CONFIG)
+    assert rows(warehouse.table("dim_business"), "business_name", "business_id") == [("A", 1), ("B", 2)]
+
+
+def test_an_unfinished_batch_is_not_pending(warehouse, tmp_path):
+    files.make_folder(warehouse.spark, warehouse.batch_path("20240101_000000_000000") + "/_temporary/0")
+    assert warehouse.pending_batches() == [] and load.load_warehouse(warehouse, CONFIG) is None
+
+
+def test_batches_are_loaded_by_stamp_and_one_bad_batch_is_no_obstacle(warehouse, tmp_path, rows):
+    def stage(name, at, batch, *lines):
+        path = drop(tmp_path / "drop", name, *lines)
+        text = read_text(warehouse.spark, path, CONFIG.feed)
+        load.stage_rows(warehouse, typed_rows(text, CONFIG.feed), at, batch)
+
+    # a stream's batch of January, a file's batch of March, and a bad one in between
+    stage("old.csv", FIRST, "stream_0001", line(startup_name="Acme", pitch_number=1, industry="old"))
+    stage("bad.csv", SECOND, "bad", *[line(startup_name="Twice", pitch_number=n) for n in (1, 2)])
+    stage("new.csv", THIRD, "20240301", line(startup_name="Acme", pitch_number=1, industry="new"))
+    assert warehouse.pending_batches() == ["stream_0001", "bad", "20240301"]
+    with pytest.raises(load.BatchesFailed, match="bad"):
+        load.load_warehouse(warehouse, CONFIG)
+    assert rows(warehouse.table("dim_business"), "business_name", "industry") == [("Acme", "new")]
+    assert list(warehouse.failed_batches()) == ["bad"]
+
+
+def test_views_follow_the_loads(warehouse, spark, tmp_path):
+    stage_schema = CONFIG.feed.typed_schema
+    warehouse.register_databases(stage_schema)
+    warehouse.register_tables()
+    marts.register_marts(warehouse)
+    marts.save_marts(warehouse)
+    count = lambda table: spark.sql(f"SELECT count(*) FROM {table}").first()[0]
+    assert count("dwh.fact_pitch") == 0 and count("vw_episode_summary") == 0
+    for n, at in enumerate((FIRST, SECOND), 1):
+        path = drop(tmp_path / "drop", f"{n}.csv", line(startup_name=f"B{n}", pitch_number=n, season_number=n))
+        load.ingest_file(warehouse, path, None, at, CONFIG)
+        warehouse.register_databases(stage_schema)
+        assert count("stage.pitch_raw_data") == 1
+        load.load_warehouse(warehouse, CONFIG)
+        warehouse.remove_unused()
+        assert count("dwh.fact_pitch") == count("fact_pitch") == n
+        assert spark.sql("SELECT total_pitches FROM vw_alltime_summary").first()[0] == n
+        assert spark.sql("SELECT total_pitches FROM analytics.vw_alltime_summary").first()[0] == n
+
+
+def test_money_is_not_rounded_before_it_is_added(warehouse, tmp_path):
+    third = line(startup_name="Acme", pitch_number=1, guest_name="A, B, C", guest_investment_amount=100, **DEAL)
+    large = line(startup_name="Beta", pitch_number=2, guest_name="D", guest_investment_amount=2e14, **{**DEAL, "total_deal_amount": "2e14"})
+    load.ingest_file(warehouse, drop(tmp_path / "drop", "m.csv", third, large), None, FIRST, CONFIG)
+    load.load_warehouse(warehouse, CONFIG)
+    star = marts.star_of(warehouse)
+    by_shark = marts.mart_shark(star)
+    assert by_shark.filter("shark_name <> 'D'").agg(F.sum("total_investment_amount")).first()[0] == pytest.approx(100, abs=1e-9)
+    assert by_shark.filter("shark_name = 'D'").first().total_investment_amount == 2e14
+    assert marts.mart_alltime(star, extra=True).first().total_investment_per_pitch == 2e14 + 300
+
+
+def test_season_ranges_read_no_other_season(loaded, capsys):
+    star = marts.in_seasons(marts.star_of(loaded), 2, 2)
+    assert [r.season_number for r in marts.mart_season(star).collect()] == [2]
+    star.pitches.explain("formatted")
+    assert "PartitionFilters: [" in (plan := capsys.readouterr().out) and "season_id" in plan.split("PartitionFilters: [")[1][:80]
