@@ -89,14 +89,19 @@ def link_buckets(
     stars = written(likely(to_least), "star-pairs")
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = written(confirm(first), "links-first")
-    more = _across(stars.join(first, ["a", "b"], "left_anti"), connected_components(links))
-    links = links.unionByName(written(confirm(more), "links-more"))
+    groups = connected_components(links)
+    more = written(_across(stars.join(first, ["a", "b"], "left_anti"), groups), "more-pairs")
+    if not more.isEmpty():
+        links = links.unionByName(written(confirm(more), "links-more"))
+        groups = connected_components(links)
 
     shared = members.join(fitting(buckets.where("n > 2").select("bucket")), "bucket")
-    shared = _grouped(shared, connected_components(links))
+    shared = _grouped(shared, groups)
     mixed = shared.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
     shared = shared.join(fitting(written(mixed, "mixed-buckets")), "bucket")
     nodes = written(shared.groupBy("doc_id", "component").agg(F.collect_set("bucket").alias("buckets")), "mixed-members")
+    if nodes.isEmpty():
+        return written(groups, "components")
     if weigh is not None:
         nodes = written(nodes.join(fitting(written(weigh(nodes.select("doc_id")), "weights")), "doc_id"), "weighed-members")
     each = nodes.withColumn("bucket", F.explode("buckets"))
