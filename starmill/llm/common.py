@@ -30,8 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
+#: Rows to a batch of texts. Spark's own default of ten thousand is meant for narrow rows.
+BATCH_SETTING, DEFAULT_BATCH, TEXT_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once for each application, for workers that don't have it installed."""
+    """Prepares the session for code in Python workers.
+
+    Sends this package to the executors, once for each application, for workers
+    that don't have it installed. Unless the session has a batch size of its own,
+    batches get a thousand rows, which bounds what a worker holds of long texts.
+    """
+    if spark.conf.get(BATCH_SETTING) == DEFAULT_BATCH:
+        spark.conf.set(BATCH_SETTING, TEXT_BATCH)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return

@@ -37,7 +37,7 @@ class ChunkIds(dict):
     run goes through all of it. The first ``limit`` runs and words are kept.
     """
 
-    limit, longest = 400_000, 64
+    limit, longest = 250_000, 64
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
