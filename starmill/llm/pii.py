@@ -397,8 +397,11 @@ def labelled_sample(docs: DataFrame, how: PiiModel) -> list[str]:
     rows = docs.select(text.alias("text")).where(F.col("text").rlike(r"[0-9]\.[0-9]|[0-9]{7}|\+[0-9]|[A-Za-z0-9]@[A-Za-z0-9]"))
     # a text is cut to the surroundings of its first finds: the bound holds for bytes too
     around = F.regexp_extract_all("text", F.lit(r"(?s).{0,60}(?:[0-9]\.[0-9]|[0-9]{7}|\+[0-9]|[A-Za-z0-9]@[A-Za-z0-9]).{0,60}"), F.lit(0))
-    picked = rows.orderBy(F.xxhash64("text"), "text").limit(how.documents).select(F.slice(around, 1, 4).alias("pieces"))
-    return sorted(piece for r in picked.collect() for piece in r[0])
+    # hashes first, so that no task sends texts that aren't picked; equal texts count once
+    hashed = F.xxhash64("text")
+    first = [r[0] for r in rows.select(hashed.alias("hash")).distinct().orderBy("hash").limit(how.documents).collect()]
+    picked = rows.where(hashed.isin(first)).select(hashed.alias("hash"), F.slice(around, 1, 4).alias("pieces")).dropDuplicates(["hash"])
+    return sorted(piece for r in picked.collect() for piece in r.pieces)
 
 
 def learn(docs: DataFrame, how: PiiModel | None = None) -> Tagger:
