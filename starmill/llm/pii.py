@@ -4,8 +4,9 @@ The patterns find what has the exact form of an address or a number. The model
 is trained from those findings and from rewritten forms of them (a telephone
 number without its plus sign, an address with blanks around its @), and adds
 what the patterns miss. It reads overlapping windows. Each is decoded by
-itself; the spans that windows propose are then reconciled over the whole
-text by choosing the set without overlaps that has the highest total score.
+itself; pieces of one span that windows' edges cut are joined, and the spans
+proposed are then reconciled over the whole text by choosing the set without
+overlaps that has the highest total score.
 
 Every kind holds an @ or a digit. That is a hard constraint of the decoder, so
 windows are laid only where a text has one: elsewhere all characters are
@@ -312,8 +313,19 @@ def train(samples: list[str], how: PiiModel) -> Tagger:
     return model
 
 
-def _proposals(tags: np.ndarray, sure: np.ndarray, start: int, size: int, whole: int, least: float) -> list[tuple[int, int, str, float]]:
-    """Spans of one decoded window as (start, end, kind, score); those cut off by the window's edge are left to its neighbour."""
+@dataclass(frozen=True)
+class _Piece:
+    """A span of one decoded window, and whether the window's edge cuts it off."""
+
+    start: int
+    end: int
+    kind: int
+    sure: np.ndarray
+    cut_left: bool
+    cut_right: bool
+
+
+def _pieces(tags: np.ndarray, sure: np.ndarray, start: int, size: int, whole: int) -> list[_Piece]:
     out, i = [], 0
     while i < size:
         if not tags[i]:
@@ -322,13 +334,55 @@ def _proposals(tags: np.ndarray, sure: np.ndarray, start: int, size: int, whole:
         kind, j = (tags[i] - 1) // 2, i + 1
         while j < size and tags[j] == 2 * kind + 2:
             j += 1
-        cut = (i == 0 and start > 0) or (j == size and start + size < whole)
-        if not cut and (mean := float(sure[i:j].mean())) >= least:
-            out.append((start + i, start + j, KINDS[kind], mean * (j - i)))
+        out.append(_Piece(start + i, start + j, int(kind), sure[i:j].copy(), i == 0 and start > 0, j == size and start + size < whole))
         i = j
     return out
 
 
+def _stitched(pieces: list[_Piece], least: float) -> list[tuple[int, int, str, float]]:
+    """Proposals (start, end, kind, score): pieces that no edge cuts, and pieces of one kind that overlap or meet, joined where one is cut towards the other."""
+    runs: list[list[_Piece]] = []
+    for kind in range(len(KINDS)):
+        end = open_end = -1  # of the run, and of its pieces that go on behind their window
+        for p in sorted((p for p in pieces if p.kind == kind), key=lambda p: (p.start, p.end)):
+            if p.start <= (end if p.cut_left else open_end):
+                runs[-1].append(p)
+            else:
+                runs.append([p])
+                end = open_end = -1
+            end = max(end, p.end)
+            open_end = max(open_end, p.end) if p.cut_right else open_end
+    out = []
+    for run in runs:
+        for p in run:
+            if not (p.cut_left or p.cut_right) and (mean := float(p.sure.mean())) >= least:
+                out.append((p.start, p.end, KINDS[p.kind], mean * (p.end - p.start)))
+        if len(run) > 1:
+            start, end = run[0].start, max(p.end for p in run)
+            sure = np.zeros(end - start)
+            for p in run:
+                part = sure[p.start - start : p.end - start]
+                np.maximum(part, p.sure, out=part)
+            if (mean := float(sure.mean())) >= least:
+                out.append((start, end, KINDS[run[0].kind], mean * (end - start)))
+    return out
+
+
+def _missing(pieces: list[_Piece], starts: set[int], upto: int, how: PiiModel, reach: int) -> set[int]:
+    """Starts of up to ``reach`` windows behind each cut that no decoded window looks across."""
+    out, order = set(), sorted(starts)
+    for p in pieces:
+        if p.cut_left:
+            i = int(np.searchsorted(order, p.start))
+            if i == 0 or order[i - 1] + how.window <= p.start:
+                out.update(max(0, p.start - k * how.stride) for k in range(1, reach + 1))
+        if p.cut_right:
+            i = int(np.searchsorted(order, p.end, side="right"))
+            if order[i - 1] + how.window <= p.end:
+                out.update(at for k in range(reach) if (at := p.end - how.window + (k + 1) * how.stride) < upto)
+    return out - starts
+
+
 def reconcile(proposals: list[tuple[int, int, str, float]]) -> list[Span]:
     """The proposals without overlaps that have the highest total score."""
     best = {}
@@ -366,26 +420,43 @@ def plausible(kind: str, value: str) -> bool:
     return 10 <= len(digits) <= 15 and re.fullmatch(r"\+?[0-9 ().-]+", value) is not None and len(re.findall("[0-9]+", value)) > 1
 
 
+def _trimmed(text: str, start: int, end: int) -> tuple[int, int]:
+    while start < end and text[start] in " .-":
+        start += 1
+    while end > start and text[end - 1] in " .-(":
+        end -= 1
+    return start, end
+
+
+def _proposals(texts: list[str], model: Tagger, how: PiiModel, block: int) -> list[list[tuple[int, int, str, float]]]:
+    """Proposals of each text. A span that is cut off where no further window lies gets windows there until it is whole."""
+    starts = [set(window_starts(text, how)) for text in texts]
+    found: list[list[_Piece]] = [[] for _ in texts]
+    places, reach = [(i, at) for i in range(len(texts)) for at in sorted(starts[i])], 1
+    while places:
+        for k in range(0, len(places), block):
+            part = places[k : k + block]
+            tags, sure = model.decode(_coded([texts[i][at : at + how.window] for i, at in part], how.window))
+            for column, (i, at) in enumerate(part):
+                found[i].extend(_pieces(tags[:, column], sure[:, column], at, min(how.window, len(texts[i]) - at), len(texts[i])))
+        more = {i: _missing(found[i], starts[i], len(texts[i]), how, reach) for i in sorted({i for i, _ in places})}
+        places = [(i, at) for i, each in more.items() for at in sorted(each)]
+        for i, each in more.items():
+            starts[i] |= each
+        reach *= 2
+    return [_stitched(pieces, how.least_score) for pieces in found]
+
+
 def find_spans(texts: list[str], model: Tagger, how: PiiModel, block: int = 2048) -> list[list[Span]]:
     """All spans of each text, by kind and start: those of the patterns, and those of the model that overlap none of them."""
-    places = [(i, at) for i, text in enumerate(texts) for at in window_starts(text, how)]
-    proposed: dict[int, list] = {}
-    for k in range(0, len(places), block):
-        part = places[k : k + block]
-        tags, sure = model.decode(_coded([texts[i][at : at + how.window] for i, at in part], how.window))
-        for column, (i, at) in enumerate(part):
-            size = min(how.window, len(texts[i]) - at)
-            proposed.setdefault(i, []).extend(_proposals(tags[:, column], sure[:, column], at, size, len(texts[i]), how.least_score))
     out = []
-    for i, text in enumerate(texts):
+    for text, proposed in zip(texts, _proposals(texts, model, how, block), strict=True):
         spans = base_spans(text)
         taken = sorted((s, e) for _, s, e in spans)
-        for kind, start, end in reconcile(proposed.get(i, [])):
-            while start < end and text[start] in " .-":
-                start += 1
-            while end > start and text[end - 1] in " .-(":
-                end -= 1
-            if plausible(kind, text[start:end]) and not any(s < end and start < e for s, e in taken):
+        # what can't be of its kind takes no place from what can
+        fit = [(s, e, k, v) for start, end, k, v in proposed for s, e in [_trimmed(text, start, end)] if plausible(k, text[s:e])]
+        for kind, start, end in reconcile(fit):
+            if not any(s < end and start < e for s, e in taken):
                 spans.append((kind, start, end))
         out.append(sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
     return out

@@ -146,6 +146,26 @@ def test_reconcile_takes_the_best_set_without_overlaps():
         assert sum(value[s, e] for _, s, e in pii.reconcile(rows)) == pytest.approx(best)
 
 
+class _Marks:
+    """Stands in for the tagger: everything but line feeds and padding is an address."""
+
+    def decode(self, x):
+        inside = (x != 0) & (x != pii._symbol("\n"))
+        tags = np.where(inside, 2, 0)
+        tags[0] = np.where(inside[0], 1, 0)
+        tags[1:] = np.where(inside[1:] & ~inside[:-1], 1, tags[1:])
+        return tags, np.full(x.shape, 0.9)
+
+
+def test_spans_longer_than_the_stride_are_whole_at_every_offset():
+    how = pii.PiiModel()
+    for size in [*range(20, 81), 300]:
+        for local in {3, size // 2, size - 8}:
+            span = "a" * local + " @ " + "b" * (size - local - 5) + ".c"
+            texts = ["\n" * at + span + "\n" * (how.window + 1) for at in range(how.window + 1)]
+            assert pii.find_spans(texts, _Marks(), how) == [[("email", at, at + size)] for at in range(len(texts))], (size, local)
+
+
 def test_pii_report_and_mask(spark):
     df = docs(spark, *ODD_PII, PROSE, LONG + " me@example.com").withColumn("n_chars", F.length("text").cast("long"))
     got = by_id(pii.pii_report(df))
