@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.llm import chat, decontaminate, extract, fingerprint, licenses, neardup, packing, pii, quality, warc
-from starmill.llm.common import table
+from starmill.llm.common import table, written
 from starmill.session import scratch_path
 
 #: File in the folder of public tokenizers.
@@ -67,7 +67,8 @@ def op9_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    prints = written(fingerprint.fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
+    return fingerprint.with_groups(prints)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

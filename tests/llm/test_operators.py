@@ -484,6 +484,54 @@ def test_near_texts(spark):
     assert all(g // 10 == i // 10 for i, g in groups.items())
 
 
+def near_groups(prints):
+    """Brute force: doc_id -> smallest id that near fingerprints reach; one fingerprint to an id."""
+    how, parent = fingerprint.EditEmbedding(), {i: i for i in prints}
+    codes = {i: np.frombuffer(p.encode(), np.uint8) for i, p in prints.items()}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in prints:
+        for j in prints:
+            if i < j and prints[i] and prints[j] and fingerprint.likeness(codes[i], codes[j], how) >= how.near:
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return {i: root(i) for i in prints}
+
+
+def test_near_texts_links_whatever_octaves_agree(spark):
+    rng = random.Random(9)
+    draw = lambda n: [rng.choice("0123456789abcdef") for _ in range(n)]
+    prints = {}
+    for i in range(0, 120, 3):
+        # six whole octaves and an unfinished one: the walk ends where the third octave ahead would be whole
+        first = draw(64 * 6 + rng.choice([1, 40, 63, 63]))
+        second, third = list(first), list(first)
+        for k in range(64 * 4, 64 * 6):
+            if rng.random() < 0.58:
+                second[k] = rng.choice("0123456789abcdef".replace(first[k], ""))
+        for k in range(64 * 5, len(first)):
+            if rng.random() < 0.2:
+                third[k] = rng.choice("0123456789abcdef")
+        prints |= {i: "".join(first), i + 1: "".join(second), i + 2: "".join(third[: len(third) - rng.choice([0, 0, 2])])}
+    prints |= {900: "", 901: "", 902: prints[0], 903: "0", 904: "0"}
+    df = spark.createDataFrame([*prints.items(), (None, prints[0]), (900, "")], "doc_id bigint, fingerprint string")
+    got = fingerprint.near_texts(df).collect()
+    want = near_groups(prints)
+    assert len(got) == len(prints) + 1 and {r.doc_id: r.group_id for r in got} == want
+    assert sum(want[i + 1] == want[i] for i in range(0, 120, 3)) >= 5
+    rows = fingerprint.with_groups(df).collect()
+    assert len(rows) == df.count() and [r.group_id for r in rows if r.doc_id is None] == [None]
+
+
+def test_registered_fingerprints_have_their_groups(spark):
+    rows = QUERIES["op10_fingerprint"](spark, SF_DIR).collect()
+    assert {r.doc_id: r.group_id for r in rows} == near_groups({r.doc_id: r.fingerprint for r in rows})
+
+
 # -- registered queries ------------------------------------------------------
 
 
