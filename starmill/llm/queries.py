@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import chat, decontaminate, extract, fingerprint, licenses, neardup, packing, pii, quality, warc
+from starmill.llm import chat, decontaminate, extract, fingerprint, language, licenses, neardup, packing, pii, quality, warc
 from starmill.llm.common import table, written
 from starmill.session import scratch_path
 
@@ -71,6 +71,10 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_groups(prints)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_chat, op2_pii, op3_licenses, op4_decontaminate, op5_warc, op6_extract, op7_packing, op8_quality, op9_neardup, op10_fingerprint)
+    q.__name__: q for q in (op1_chat, op2_pii, op3_licenses, op4_decontaminate, op5_warc, op6_extract, op7_packing, op8_quality, op9_neardup, op10_fingerprint, op11_language)
 }
