@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm import chat, decontaminate, extract, fingerprint, language, licenses, merkle, neardup, packing, pii, quality, warc
+from starmill.llm import chat, decontaminate, extract, fingerprint, language, licenses, merkle, neardup, packing, pii, quality, warc, whitening
 from starmill.llm.common import table, written
 from starmill.session import scratch_path
 
@@ -79,6 +79,10 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(table(spark, sf_dir, "documents")).drop("source", "tampered", "version")
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    q.__name__: q for q in (op1_chat, op2_pii, op3_licenses, op4_decontaminate, op5_warc, op6_extract, op7_packing, op8_quality, op9_neardup, op10_fingerprint, op11_language, op12_merkle)
+    q.__name__: q for q in (op1_chat, op2_pii, op3_licenses, op4_decontaminate, op5_warc, op6_extract, op7_packing, op8_quality, op9_neardup, op10_fingerprint, op11_language, op12_merkle, op13_whitening)
 }
