@@ -135,3 +135,66 @@ reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JO
 least AS (SELECT a, min(b) AS b FROM reached GROUP BY a)
 SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, coalesce(least(b, doc_id), doc_id) AS component_id, coalesce(least(b, doc_id), doc_id) = doc_id AS kept
 FROM sets LEFT JOIN least ON a = doc_id"""
+
+# -- manifest ------------------------------------------------------------------
+
+#: Levels below and above the subroots that are written out: 16^4 documents to a source, 16^2 sources.
+_BELOW, _ABOVE = 4, 2
+
+
+def _said(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}) || ':' || {value} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_said(f"CAST({c} AS VARCHAR)") for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+# One step for each bit; a byte comes in with the first of its eight.
+_BITS = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: [CAST(ascii(d) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+_STEP = "CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384) ELSE xor(c, x) >> 1 END"
+_CRC = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {_BITS}), lambda c, x: {_STEP}), 4294967295)"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Tables ``<name>0`` (grp, pos, node) up to ``<name><levels>``, and the runs of each level but the last."""
+    parts = []
+    for k in range(levels):
+        run = f"{name}_runs{k} AS (SELECT grp, pos // 16 AS run, list(node ORDER BY pos) AS nodes, any_value(n) AS n FROM (SELECT *, count(*) OVER (PARTITION BY grp) AS n FROM {name}{k}) GROUP BY ALL)"
+        top = f"{name}{k + 1} AS (SELECT grp, run AS pos, CASE WHEN n = 1 THEN nodes[1] ELSE sha256(array_to_string(nodes, '')) END AS node FROM {name}_runs{k})"
+        parts += [run, top]
+    return ",\n".join(parts)
+
+
+def _way(name: str, levels: int, rows: str) -> str:
+    """Tables that add to rows (grp, pos, beside, folded) what stands beside their way, and fold it in, level by level."""
+    parts, before = [], rows
+    for k in range(levels):
+        i = f"(pos // {16**k}) % 16"
+        left, right = f"array_to_string(nodes[1:{i}], '')", f"array_to_string(nodes[{i} + 2:], '')"
+        parts.append(
+            f"{name}_way{k} AS (SELECT w.* REPLACE (beside || {left} || {right} AS beside, CASE WHEN n = 1 THEN folded ELSE sha256({left} || folded || {right}) END AS folded) "
+            f"FROM {before} w JOIN {name}_runs{k} r ON r.grp IS NOT DISTINCT FROM w.grp AND r.run = w.pos // {16 ** (k + 1)})"
+        )
+        before = f"{name}_way{k}"
+    return ",\n".join(parts)
+
+
+_LOWER_TEXT = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_merkle"] = f"""
+WITH leaves AS (SELECT doc_id, source AS grp, {_leaf("text")} AS leaf, CASE WHEN {_CRC} % 5 = 0 THEN {_leaf(_LOWER_TEXT)} END AS tampered FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+t0 AS (SELECT grp, pos, leaf AS node FROM placed),
+{_tree("t", _BELOW)},
+s0 AS (SELECT 0 AS grp, row_number() OVER (ORDER BY grp NULLS FIRST) - 1 AS pos, node, grp AS source FROM t{_BELOW}),
+{_tree("s", _ABOVE)},
+started AS (SELECT grp, pos, doc_id, leaf, '' AS beside, coalesce(tampered, leaf) AS folded FROM placed),
+{_way("t", _BELOW, "started")},
+crossed AS (
+  SELECT s0.grp, s0.pos, w.doc_id, w.leaf, w.beside, w.folded, s0.node AS subroot
+  FROM t_way{_BELOW - 1} w JOIN s0 ON s0.source IS NOT DISTINCT FROM w.grp
+),
+{_way("s", _ABOVE, "crossed")}
+SELECT doc_id, leaf, subroot, root.node AS root, sha256(beside) AS proof_sha256, folded AS folded_root, folded = root.node AS verified
+FROM s_way{_ABOVE - 1}, s{_ABOVE} root"""
