@@ -6,7 +6,7 @@ from starmill.operators.lookup import lookup, lookup_date, lookup_key, salted_jo
 from starmill.operators.reshape import allocate_evenly, latest_per_key, ordinal_within, split_entities, unpivot_measures
 from starmill.operators.upsert import upsert_type1
 from starmill.plans.load import ingest_file, load_warehouse, open_warehouse, populate_calendar
-from starmill.plans.marts import grain_mart, in_seasons, mart_alltime, mart_episode, mart_season, mart_shark, register_marts, save_marts, star_of
+from starmill.plans.marts import grain_mart, in_seasons, mart_alltime, mart_episode, mart_season, mart_shark, star_of
 from starmill.plans.model import LoadConfig, pitch_feed
 from starmill.session import build_session
 from starmill.sources.feed import FeedSpec, Field, read_feed
@@ -42,9 +42,7 @@ __all__ = [
     "poll_warehouse",
     "populate_calendar",
     "read_feed",
-    "register_marts",
     "salted_join",
-    "save_marts",
     "split_entities",
     "star_of",
     "unpivot_measures",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starmill.functions.clean import fold_key
@@ -15,22 +15,25 @@ from starmill.session import written
 
 
 class Upsert(NamedTuple):
-    """``changed``: the source rows with their surrogate key (and extra columns);
-    ``kept``: the target rows no source row matches."""
+    """``found``: the source rows with their surrogate key (and extra columns);
+    ``changed``: those of them that are written, all but those the target has
+    in a newer state; ``kept``: the target rows that stay as they are."""
 
+    found: DataFrame
     changed: DataFrame
     kept: DataFrame
+    last_key: int
 
-    def table(self, stored_by: str | None = None) -> DataFrame:
+    def table(self, stored_by: Sequence[str] = ()) -> DataFrame:
         """The whole new table.
 
-        ``stored_by`` names the column whose values get folders of their own:
-        the changed rows are gathered by it, with large values split over
+        ``stored_by`` names the columns whose values get folders of their own:
+        the changed rows are gathered by them, with large values split over
         several tasks. The kept rows come from such folders already and stay
         where they are.
         """
         changed = self.changed.select(self.kept.columns)
-        return self.kept.unionByName(changed.hint("rebalance", stored_by) if stored_by else changed)
+        return self.kept.unionByName(changed.hint("rebalance", *stored_by) if stored_by else changed)
 
 
 def _folded(df: DataFrame, natural_key: Sequence[str], fold: Sequence[str]) -> Mapping[str, Column]:
@@ -69,6 +72,7 @@ def upsert_type1(
     order_by: Sequence[str] = (),
     stamp_col: str = "import_date",
     start_after: int | None = None,
+    first_col: str | None = None,
 ) -> Upsert:
     """Match ``source`` to ``target`` on the natural key.
 
@@ -77,7 +81,13 @@ def upsert_type1(
     without a source row stays as it is, old stamp included. Key columns in
     ``fold`` are compared without regard to case and trailing blanks; columns
     in ``keep_on_match`` keep the target's value. Columns of the source that
-    the target lacks ride along in ``changed``.
+    the target lacks ride along in ``found`` and ``changed``.
+
+    The last writer is the one with the latest ``stamp``, whenever it comes: a
+    target row whose own stamp is later than the source's stays as it is. With
+    ``first_col``, a column of the target with the stamp that the columns of
+    ``keep_on_match`` are from, those are the first writer's in the same sense.
+    So batches with different stamps give one table in any order.
 
     Because a match overwrites all attributes, only the keys of the target are
     joined to the source, and the target itself is anti-joined. So a source
@@ -90,7 +100,9 @@ def upsert_type1(
     known = target.select(
         *[c.alias(n) for n, c in target_keys.items()],
         F.col(key),
+        F.col(stamp_col).alias("_stamp"),
         *[F.col(c).alias(f"_kept_{c}") for c in keep_on_match],
+        *([F.col(first_col).alias("_first")] if first_col else []),
     )
     wanted = source.select(*[c.alias(n) for n, c in source_keys.items()]).distinct()
     hits = known.join(wanted, folded, "left_semi")
@@ -98,13 +110,30 @@ def upsert_type1(
     src = one_row_per_key(source.withColumns(source_keys), folded, on_duplicate, order_by)
     matched = src.join(hits, folded, "left").withColumn(stamp_col, stamp)
     is_match = F.col(key).isNotNull()
+    names = [key, stamp_col, *source.columns]
+    matched = matched.withColumn("_stale", F.coalesce(F.col("_stamp") > F.col(stamp_col), F.lit(False)))
+    renamed = F.lit(False)
+    if first_col:
+        names.append(first_col)
+        renamed = is_match & F.coalesce(F.col("_first") > F.col(stamp_col), F.lit(True))
+        matched = matched.withColumn(first_col, F.when(is_match & ~renamed, F.col("_first")).otherwise(F.col(stamp_col)))
     for c in keep_on_match:
-        matched = matched.withColumn(c, F.when(is_match, F.col(f"_kept_{c}")).otherwise(F.col(c)))
-    matched = written(matched.select(key, stamp_col, *source.columns, *folded), "matched")
-
-    first_free = max_key(target, key) if start_after is None else start_after
-    numbered = assign_keys(matched.filter(~is_match).drop(key), folded, key, first_free)
-    changed = matched.filter(is_match).unionByName(numbered).select(key, stamp_col, *source.columns)
-
-    untouched = target.withColumns(target_keys).join(matched.select(*folded), folded, "left_anti")
-    return Upsert(changed, untouched.select(*target.columns))
+        matched = matched.withColumn(c, F.when(is_match & ~renamed, F.col(f"_kept_{c}")).otherwise(F.col(c)))
+    matched = matched.select(*names, *folded, "_stale", (renamed & F.col("_stale")).alias("_renamed"))
+    seen = Observation()
+    observed = matched.observe(seen, F.count_if(~is_match).alias("new"), F.count_if("_renamed").alias("renamed"))
+    matched = written(observed, "matched")
+
+    found, last = matched, start_after or 0
+    if seen.get["new"]:
+        last = max_key(target, key) if start_after is None else start_after
+        found = matched.filter(is_match).unionByName(assign_keys(matched.filter(~is_match).drop(key), folded, key, last))
+        last += seen.get["new"]
+    # all that the target has in a newer state is found, but not written
+    replaced = matched.filter(~F.col("_stale")).select(*folded)
+    kept = target.withColumns(target_keys).join(replaced, folded, "left_anti")
+    if first_col and seen.get["renamed"]:
+        first = matched.filter("_renamed").select(*folded, *[F.col(c).alias(f"_first_{c}") for c in (first_col, *keep_on_match)])
+        kept = kept.join(first, folded, "left")
+        kept = kept.withColumns({c: F.coalesce(f"_first_{c}", c) for c in (first_col, *keep_on_match)})
+    return Upsert(found.select(*names), found.filter(~F.col("_stale")).select(*names), kept.select(*target.columns), last)

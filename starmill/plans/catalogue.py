@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from starmill.functions import clean
 from starmill.operators import checks, keys, lookup, reshape
 from starmill.operators.calendar import calendar, missing_days, with_date_attributes
 from starmill.operators.upsert import upsert_type1
-from starmill.plans import load, marts
+from starmill.plans import load, marts, rollup
 from starmill.plans import orders_feed as feed
 from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, main_measures
 from starmill.session import scratch_path, written
@@ -92,6 +93,23 @@ def mart_by_air_month(spark, sf_dir):
     return marts.grain_mart(feed.star(spark, sf_dir), ["air_year", "air_month"])
 
 
+@query
+def mart_season_from_episodes(spark, sf_dir):
+    """The season mart from measures and investor bitmaps by episode, without a distinct count."""
+    return rollup.from_star(feed.star(spark, sf_dir), rollup.season_sql)
+
+
+@query
+def mart_alltime_from_episodes(spark, sf_dir):
+    return rollup.from_star(feed.star(spark, sf_dir), rollup.alltime_sql)
+
+
+@query
+def mart_levels(spark, sf_dir):
+    """Episodes, seasons and the whole from one scan of the measures, by grouping sets."""
+    return rollup.from_star(feed.star(spark, sf_dir), rollup.levels_sql)
+
+
 @query
 def mart_fanout_equiv(spark, sf_dir):
     """Per episode: totals counted per investor row and per pitch, from pre-aggregated deals."""
@@ -602,10 +620,16 @@ def stream_ingest(spark, sf_dir):
     return spark.read.schema(feed.CONFIG.feed.typed_schema).parquet(out).select(*feed.CONFIG.feed.names)
 
 
+def _opened(spark, sf_dir):
+    """An empty warehouse of its own, with the calendar of the orders."""
+    warehouse = load.open_warehouse(spark, scratch_path(spark, "warehouse"), f"q{uuid4().hex[:12]}_")
+    load.populate_calendar(warehouse, *order_years(spark, sf_dir))
+    return warehouse
+
+
 def _loaded(spark, sf_dir):
     """A warehouse loaded in two batches that overlap."""
-    warehouse = load.open_warehouse(spark, scratch_path(spark, "warehouse"))
-    load.populate_calendar(warehouse, *order_years(spark, sf_dir))
+    warehouse = _opened(spark, sf_dir)
     rows = written(feed.staged_rows(spark, sf_dir), "rows")
     load.stage_typed(warehouse, rows.filter(EARLY), OLD)
     load.stage_typed(warehouse, rows.filter(LATE), NEW)
@@ -615,18 +639,52 @@ def _loaded(spark, sf_dir):
 
 @query
 def two_schedules(spark, sf_dir):
-    """A file's batch staged before an older batch of a stream: they are loaded by their stamps, so the file's wins."""
-    warehouse = load.open_warehouse(spark, scratch_path(spark, "warehouse"))
-    load.populate_calendar(warehouse, *order_years(spark, sf_dir))
+    """A file's batch that is loaded before an older batch of a stream: its rows stay, since their stamp is later."""
+    warehouse = _opened(spark, sf_dir)
     rows = written(feed.staged_rows(spark, sf_dir), "rows")
     load.stage_typed(warehouse, rows.filter(LATE).withColumn("industry", F.lit("newer")), NEW)
+    load.load_warehouse(warehouse, feed.CONFIG)
     load.stage_typed(warehouse, rows.withColumn("industry", F.lit("older")), OLD, "stream_0001")
     load.load_warehouse(warehouse, feed.CONFIG)
     business = warehouse.table("dim_business")
     return business.groupBy("industry", F.to_date("import_date").alias("batch_date")).agg(F.count(F.lit(1)).alias("n_businesses"))
 
 
+# Three deliveries: what each holds, and when it was made.
+DELIVERIES = {1: (EARLY, OLD), 2: (LATE, NEW), 3: ("pitch_number % 3 = 0", datetime(2003, 1, 1, 12))}
+
+
+@query
+def batches_in_any_order(spark, sf_dir):
+    """Three overlapping batches loaded as 3, 1, 3, 2: every row comes out as the latest batch that has it left it."""
+    warehouse = _opened(spark, sf_dir)
+    rows = written(feed.staged_rows(spark, sf_dir), "rows")
+    for k in (3, 1, 3, 2):
+        held, at = DELIVERIES[k]
+        changed = {"total_deal_amount": F.col("total_deal_amount") * k, "industry": F.lit(f"of {k}"), "us_viewership": F.lit(float(k))}
+        load.stage_typed(warehouse, rows.filter(held).withColumns(changed), at, f"delivery_{k}")
+        load.load_warehouse(warehouse, feed.CONFIG)
+    part = lambda table, what, value: warehouse.table(table).select(
+        F.lit(table).alias("table_name"), F.to_date("import_date").alias("batch_date"), F.expr(what).alias("state"), F.expr(value).cast(clean.MONEY).alias("value")
+    )
+    cells = part("fact_pitch", "cast(is_deal AS string)", "deal_amount").unionByName(part("fact_deal_shark", "'deal'", "1"))
+    cells = cells.unionByName(part("dim_business", "industry", "1")).unionByName(part("dim_episode", "'viewers'", "us_viewership"))
+    return cells.groupBy("table_name", "batch_date", "state").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("value").cast("double").alias("total"))
+
+
 @query
 def warehouse_load(spark, sf_dir):
     """Staging to star and season mart, with surrogate keys, in two overlapping batches."""
     return marts.mart_season(marts.star_of(_loaded(spark, sf_dir)))
+
+
+@query
+def warehouse_views(spark, sf_dir):
+    """The season view of the catalog after a load of all seasons but one, and then of that one: its aggregates were kept up."""
+    warehouse = _opened(spark, sf_dir)
+    rows = written(feed.staged_rows(spark, sf_dir), "rows")
+    load.stage_typed(warehouse, rows.filter("season_number <> 3"), OLD)
+    load.load_warehouse(warehouse, feed.CONFIG)
+    load.stage_typed(warehouse, rows.filter("season_number = 3"), NEW)
+    load.load_warehouse(warehouse, feed.CONFIG)
+    return spark.sql(f"SELECT * FROM {warehouse.prefix}analytics.vw_season_summary")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Sequence
+from concurrent.futures import Executor, Future, ThreadPoolExecutor
 from contextvars import copy_context
 from datetime import datetime
 from hashlib import sha256
+from re import fullmatch
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,11 +18,13 @@ from starmill.operators.calendar import extend_calendar
 from starmill.operators.lookup import lookup, lookup_date, lookup_key
 from starmill.operators.reshape import entity_names, latest_per_key, ordinal_within, split_entities
 from starmill.operators.upsert import Upsert, upsert_type1
-from starmill.plans.model import FOLDED_KEYS, NATURAL_KEYS, STORED_BY, SURROGATE_KEYS, LoadConfig, main_measures
+from starmill.plans.marts import star_of
+from starmill.plans.model import BUCKETED_BY, CARRIED, FOLDED_KEYS, NATURAL_KEYS, SURROGATE_KEYS, LoadConfig, main_measures
+from starmill.plans.rollup import create_views, renewals
 from starmill.session import scratch_scope, written
 from starmill.sources import files
 from starmill.sources.feed import REJECT_COLUMNS, read_text, stamp, typed_rows
-from starmill.sources.store import LoadConflict, Warehouse
+from starmill.sources.store import Warehouse
 
 # ---------------------------------------------------------------------------
 # feed -> staging
@@ -36,21 +39,38 @@ def batch_id(at: datetime, sources: Sequence[str] = ()) -> str:
 def stage_rows(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str | None = None) -> str:
     """Stage classified feed rows as one batch; staging a batch of the same name again replaces it.
 
-    The feed is parsed once: accepted and rejected rows go to two folders of
-    one write, and the few rejected ones are copied to the quarantine. The
-    batch exists for a load when its commit marker is written, after both.
+    The stamp of a named batch is fixed when it is staged first, so that a
+    repeated micro-batch does not come out as the newest. The feed is parsed
+    once: accepted and rejected rows go to partitions of one write, and the few
+    rejected ones are copied to the quarantine.
     """
+    if batch:
+        at = _first_stamp(warehouse, batch, at)
     batch = batch or batch_id(at)
-    path = warehouse.batch_path(batch)
-    stamped = stamp(rows, at).withColumn("rejected", F.col("reject_reason").isNotNull())
-    stamped.write.mode("overwrite").partitionBy("rejected").parquet(path)
-    staged = warehouse.spark.read.schema(stamped.schema).parquet(path)
-    bad = staged.filter("rejected").select("import_date", *REJECT_COLUMNS)
-    bad.write.mode("overwrite").parquet(f"{warehouse.root}/quarantine/batch={batch}")
-    warehouse.commit_batch(batch, at.isoformat())
+    if not fullmatch(r"[A-Za-z0-9_.-]+", batch):
+        raise ValueError(f"not a name for a batch: {batch}")
+    warehouse.add_columns("pitch_raw_data", rows.schema)
+    warehouse.drop_batch("pitch_raw_data", batch)
+    target = warehouse.stored("pitch_raw_data").schema
+    addresses = {"batch": F.lit(batch), "stamped": F.lit(f"{at:%Y%m%d_%H%M%S_%f}"), "rejected": F.col("reject_reason").isNotNull()}
+    stamped = stamp(rows, at).withColumns(addresses)
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in target if f.name not in stamped.columns}
+    warehouse.replace("pitch_raw_data", stamped.withColumns(lacking))
+    bad = warehouse.stored("pitch_raw_data").filter((F.col("batch") == batch) & F.col("rejected"))
+    warehouse.drop_batch("quarantine", batch)
+    warehouse.replace("quarantine", bad)
     return batch
 
 
+def _first_stamp(warehouse: Warehouse, batch: str, at: datetime) -> datetime:
+    known = warehouse.stored("stamps").filter(F.col("batch") == batch).first()
+    if known:
+        return known["import_date"]
+    fixed = warehouse.spark.range(1).select(F.lit(at).cast("timestamp").alias("import_date"), F.lit(batch).alias("batch"))
+    warehouse.replace("stamps", fixed)
+    return at
+
+
 def stage_typed(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str | None = None) -> str:
     """Stage rows that already have the feed's types."""
     none = F.lit(None).cast("string")
@@ -59,15 +79,42 @@ def stage_typed(warehouse: Warehouse, rows: DataFrame, at: datetime, batch: str
 
 def staged(warehouse: Warehouse, batch: str, config: LoadConfig) -> DataFrame:
     """The accepted rows of a batch."""
-    schema = config.feed.typed_schema.add("import_date", "timestamp").add("rejected", "boolean")
-    rows = warehouse.spark.read.schema(schema).parquet(warehouse.batch_path(batch))
-    return rows.filter(~F.col("rejected")).drop("rejected")
+    rows = warehouse.stored("pitch_raw_data").filter((F.col("batch") == batch) & ~F.col("rejected"))
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in config.feed.typed_schema if f.name not in rows.columns}
+    return rows.withColumns(lacking).select(*config.feed.names, "import_date")
 
 
 def quarantined(warehouse: Warehouse) -> DataFrame:
     """Every rejected row so far, with the reason, the column and the raw line."""
-    schema = "import_date timestamp, reject_reason string, reject_column string, raw_line string, batch string"
-    return warehouse.spark.read.schema(schema).parquet(f"{warehouse.root}/quarantine")
+    return warehouse.stored("quarantine")
+
+
+def staged_batches(warehouse: Warehouse) -> list[str]:
+    """Batches whose staging is complete, by the stamp of their rows."""
+    specs = [dict(p.split("=", 1) for p in path.split("/")) for path in warehouse.partitions("pitch_raw_data")]
+    return [batch for _, batch in sorted({(s["stamped"], s["batch"]) for s in specs})]
+
+
+def failed_batches(warehouse: Warehouse) -> dict[str, str]:
+    """Batches that a load has set aside, with the error."""
+    return {r["batch"]: r["error"] for r in warehouse.stored("failed_batches").collect()}
+
+
+def pending_batches(warehouse: Warehouse) -> list[str]:
+    """Staged batches that no load has consumed or set aside."""
+    failed = failed_batches(warehouse)
+    return [b for b in staged_batches(warehouse) if b not in failed]
+
+
+def _set_aside(warehouse: Warehouse, batch: str, error: str) -> None:
+    row = warehouse.spark.range(1).select(F.lit(error).alias("error"), F.lit(batch).alias("batch"))
+    warehouse.replace("failed_batches", row)
+
+
+def _release(warehouse: Warehouse, batch: str) -> None:
+    """Drop the staged rows of a batch that has been loaded."""
+    warehouse.drop_batch("failed_batches", batch)
+    warehouse.drop_batch("pitch_raw_data", batch)
 
 
 def ingest_file(
@@ -248,136 +295,145 @@ def deal_source(pitches: DataFrame, sharks: DataFrame, config: LoadConfig) -> Da
 # procedures
 
 
-def populate_calendar(warehouse: Warehouse, start_year: int, end_year: int | None = None) -> int:
+def populate_calendar(warehouse: Warehouse, start_year: int, end_year: int | None = None) -> None:
     """Add the days of the given years to the calendar table."""
     wanted = extend_calendar(warehouse.table("dim_date"), start_year, end_year)
-    return warehouse.publish({"dim_date": warehouse.write("dim_date", wanted, "date_id")})
-
-
-class _Load:
-    """One batch: collects new table states, which become visible together."""
-
-    def __init__(self, warehouse: Warehouse, config: LoadConfig, at: datetime):
-        self.warehouse = warehouse
-        self.config = config
-        self.at = at
-        self.states: dict[str, dict] = {}
-
-    def upsert(self, name: str, source: DataFrame, parts: list[int] | None = None, **options) -> Upsert:
-        natural = NATURAL_KEYS[name]
-        result = upsert_type1(
-            self.warehouse.stored(name, parts),
-            source,
-            natural,
-            SURROGATE_KEYS[name],
-            F.lit(self.at).cast("timestamp"),
-            fold=[c for c in natural if c in FOLDED_KEYS],
-            start_after=self.warehouse.max_key(name),
-            **options,
-        )
-        folders = self.warehouse.folders(name)
-        untouched = {} if parts is None else {p: f for p, f in folders.items() if int(p) not in parts}
-        table = result.table(STORED_BY.get(name))
-        self.states[name] = self.warehouse.write(name, table, SURROGATE_KEYS[name], untouched)
-        return result
-
-    def table(self, name: str) -> DataFrame:
-        """The table as it will be after this load, as far as it has come."""
-        if name in self.states:
-            return self.warehouse.read_state(name, self.states[name])
-        return self.warehouse.stored(name)
-
-    def rows(self, name: str) -> int:
-        return self.states[name]["rows"] if name in self.states else self.warehouse.rows(name)
-
-
-def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> int | None:
-    warehouse = warehouse.pin()  # all of a load works on one state, and is published only on top of it
+    warehouse.replace("dim_date", wanted.withColumn("bucket", warehouse.bucket("dim_date", {})).coalesce(1))
+
+
+def _touched(warehouse: Warehouse, name: str, source: DataFrame) -> DataFrame:
+    """The stored rows in the partitions that ``source`` has rows for: as many partitions as it has at most."""
+    if name not in BUCKETED_BY:
+        return warehouse.stored(name)  # one partition
+    addresses = warehouse.addresses(name)
+    found = source.select(*addresses).distinct().collect()
+    wanted = F.lit(False)
+    for values in {tuple(r)[:-1] for r in found}:
+        same = F.col("bucket").isin(sorted(r["bucket"] for r in found if tuple(r)[:-1] == values))
+        for column, value in zip(addresses, values, strict=False):
+            same &= F.col(column) == value
+        wanted |= same
+    return warehouse.stored(name).filter(wanted)
+
+
+def upsert_table(
+    warehouse: Warehouse, name: str, source: DataFrame, at: datetime, pool: Executor | None = None, within: DataFrame | None = None, **options
+) -> tuple[Upsert, Future]:
+    """Upsert into a table of the warehouse; only partitions that hold keys of ``source`` are read and written again.
+
+    With ``pool`` the table is written beside what else goes on there.
+    ``within`` may give rows that are cheaper to read and have all addresses of
+    the source.
+    """
+    natural, key = NATURAL_KEYS[name], SURROGATE_KEYS[name]
+    fold = [c for c in natural if c in FOLDED_KEYS]
+    bucket = warehouse.bucket(name, {c: fold_key(F.col(c)) for c in fold})
+    source = source.withColumn("bucket", bucket)
+    addressed = source if within is None else within.withColumn("bucket", bucket)
+    first = {"first_col": "first_date"} if "first_date" in CARRIED.get(name, "") else {}
+    stamp_at = F.lit(at).cast("timestamp")
+    result = upsert_type1(
+        _touched(warehouse, name, addressed), source, natural, key, stamp_at, fold=fold,
+        start_after=warehouse.max_key(name, key), **first, **options,
+    )
+    warehouse.keep_max_key(name, result.last_key)
+    table = result.table(warehouse.addresses(name))
+    if pool:
+        return result, pool.submit(copy_context().run, warehouse.replace, name, table)
+    warehouse.replace(name, table)
+    done: Future = Future()
+    done.set_result(None)
+    return result, done
+
+
+def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
     stage = staged(warehouse, batch, config)
     at = stage.agg(F.max("import_date")).first()[0]
     if at is None:
-        return None
-    load = _Load(warehouse, config, at)
-    calendar = load.table("dim_date")
+        return False
+    calendar = warehouse.table("dim_date")
 
     def sharks() -> None:
-        load.upsert("dim_shark", shark_source(stage, config))
+        upsert_table(warehouse, "dim_shark", shark_source(stage, config), at)
 
     def businesses() -> None:
-        load.upsert(
-            "dim_business",
-            business_source(stage),
-            keep_on_match=["business_name"],
-            on_duplicate="latest",
-            order_by=["original_air_date", "pitch_number"],
-        )
+        latest = {"on_duplicate": "latest", "order_by": ["original_air_date", "pitch_number"]}
+        upsert_table(warehouse, "dim_business", business_source(stage), at, keep_on_match=["business_name"], **latest)
 
     def seasons_then_episodes() -> None:
-        load.upsert("dim_season", season_source(stage, calendar))
-        source = episode_source(stage, load.table("dim_season"), calendar)
-        load.upsert("dim_episode", source)
+        upsert_table(warehouse, "dim_season", season_source(stage, calendar), at)
+        source = episode_source(stage, warehouse.table("dim_season"), calendar)
+        upsert_table(warehouse, "dim_episode", source, at)
 
     # these do not depend on each other, so their jobs share the cluster
-    with ThreadPoolExecutor() as pool:
-        running = [pool.submit(copy_context().run, each) for each in (sharks, businesses, seasons_then_episodes)]
-    for each in running:
-        each.result()
+    _together(sharks, businesses, seasons_then_episodes)
 
     if config.on_duplicate == "latest":
         business = fold_key(F.col("startup_name"))
         keyed = stage.withColumn("_business", business)
         appearance = ["_business", "season_number", "episode_number"]
         stage = latest_per_key(keyed, appearance, ["original_air_date", "pitch_number"]).drop("_business")
-    episodes = episode_numbers(load.table("dim_episode"), load.table("dim_season"))
-    resolved = resolve_keys(stage, load.table("dim_business"), episodes)
-    resolved = written(resolved, "resolved")
-    # of the batch's seasons, those that are stored already: as many as the snapshot names at most
-    held = [int(p) for name in STORED_BY for p in warehouse.folders(name)]
-    parts = [r[0] for r in resolved.select("season_id").distinct().filter(F.col("season_id").isin(sorted(set(held)))).collect()]
-
-    pitches = load.upsert("fact_pitch", pitch_source(resolved, config), parts).changed
-    deals = deal_source(pitches, load.table("dim_shark"), config)
-    if config.on_duplicate == "latest":
-        load.upsert("fact_deal_shark", deals, parts, on_duplicate="latest", order_by=["investment_amount"])
-    else:
-        load.upsert("fact_deal_shark", deals, parts)
-    return warehouse.publish(load.states)
+    episodes = episode_numbers(warehouse.table("dim_episode"), warehouse.table("dim_season"))
+    resolved = written(resolve_keys(stage, warehouse.table("dim_business"), episodes), "resolved")
+
+    with ThreadPoolExecutor() as pool:
+        pitches, pitches_written = upsert_table(warehouse, "fact_pitch", pitch_source(resolved, config), at, pool)
+        deals = deal_source(pitches.found, warehouse.table("dim_shark"), config)
+        latest = {"on_duplicate": "latest", "order_by": ["investment_amount"]} if config.on_duplicate == "latest" else {}
+        _, deals_written = upsert_table(warehouse, "fact_deal_shark", deals, at, pool, pitches.found, **latest)
+        for each in (pitches_written, deals_written):
+            each.result()
+    _together(*renewals(warehouse, star_of(warehouse), resolved.select("season_id", "episode_id")))
+    return True
+
+
+def _together(*steps: Callable[[], None]) -> None:
+    """Run steps side by side, in the same scratch folder."""
+    with ThreadPoolExecutor() as pool:
+        running = [pool.submit(copy_context().run, each) for each in steps]
+    for each in running:
+        each.result()
 
 
 class BatchesFailed(RuntimeError):
     """Some batches could not be loaded; all others were."""
 
 
-def load_warehouse(warehouse: Warehouse, config: LoadConfig = LoadConfig(), batch: str | None = None) -> int | None:
-    """Load one staged batch, or all pending ones in the order of their stamps; returns the last published version.
+def load_warehouse(warehouse: Warehouse, config: LoadConfig = LoadConfig(), batch: str | None = None) -> list[str]:
+    """Load one staged batch, or all pending ones in the order of their stamps; returns the batches loaded.
 
     Does nothing while nothing is staged or the calendar is empty. Dimensions
-    come before facts, seasons before episodes, pitches before deals. The
-    staged rows are released only when all tables of the load are published;
-    loading the same batch again gives the same tables. A batch that fails is
-    set aside with its error, so that it doesn't hold up the later ones, and
-    reported at the end; naming it loads it again. If another load publishes in
-    the meantime, ``LoadConflict`` is raised and everything is left as it was.
+    come before facts, seasons before episodes, pitches before deals, and the
+    aggregates by episode last. A row that the table has from a batch with a
+    later stamp stays as it is, so batches may come in any order. Staged rows
+    are released only when all tables are written; until then, and after a
+    crash, loading the same batch again gives the same tables. A batch that
+    fails is set aside with its error, so that it doesn't hold up the later
+    ones, and reported at the end; naming it loads it again. While another load
+    is at work, ``LoadConflict`` is raised and everything stays staged.
     """
-    pending = [batch] if batch else warehouse.pending_batches()
-    if not pending or warehouse.rows("dim_date") == 0:
-        return None
-    version, failed = None, {}
-    for each in pending:
-        try:
-            with scratch_scope(warehouse.spark):
-                version = _load_batch(warehouse, each, config) or version
-        except LoadConflict:
-            raise
-        except Exception as error:  # whatever is wrong with a batch, the others are not to blame
-            warehouse.set_aside(each, f"{type(error).__name__}: {error}")
-            failed[each] = error
-            continue
-        warehouse.release(each)
+    pending = [batch] if batch else pending_batches(warehouse)
+    if not pending or warehouse.table("dim_date").isEmpty():
+        return []
+    loaded, failed = [], {}
+    with warehouse.exclusive():
+        for each in pending:
+            try:
+                with scratch_scope(warehouse.spark):
+                    if _load_batch(warehouse, each, config):
+                        loaded.append(each)
+            except Exception as error:  # whatever is wrong with a batch, the others are not to blame
+                _set_aside(warehouse, each, f"{type(error).__name__}: {error}")
+                failed[each] = error
+                continue
+            _release(warehouse, each)
     if failed:
         raise BatchesFailed("; ".join(f"{b}: {e}" for b, e in failed.items())) from next(iter(failed.values()))
-    return version
+    return loaded
 
 
-def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
-    return Warehouse(spark, root).create()
+def open_warehouse(spark: SparkSession, root: str, prefix: str = "", **options) -> Warehouse:
+    """The warehouse in a folder, made if there is none, with its views."""
+    warehouse = Warehouse(spark, root, prefix, **options).create()
+    create_views(warehouse)
+    return warehouse

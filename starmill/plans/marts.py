@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
-from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +40,7 @@ class Star:
 
 
 def star_of(warehouse) -> Star:
-    """The newest state of the tables, all of one snapshot."""
-    warehouse = warehouse.pin()
+    """The tables of a warehouse."""
     return Star(
         pitches=warehouse.stored("fact_pitch"),
         deals=warehouse.stored("fact_deal_shark"),
@@ -81,7 +79,7 @@ MARKS = {
 }
 
 
-def _episode_metrics(star: Star, by: Sequence[str]) -> DataFrame:
+def episode_metrics(star: Star, by: Sequence[str]) -> DataFrame:
     """Additive measures per episode (and pitch-level columns ``by``)."""
     columns = ["pitch_id", "episode_id", "is_deal", "is_royalty_deal", "advisory_shares", "deal_has_conditions"]
     pitches = star.pitches.select(*columns, *by, F.col("deal_amount").cast(MONEY).alias("amount"))
@@ -133,7 +131,7 @@ def metric_block(
     and the whole table is the grouping with no columns.
     """
     measures = [*COUNTS, "total_investment", "total_investment_per_pitch", *FANNED, *[f"{m}_per_pitch" for m in FANNED]]
-    metrics, sharks = _episode_metrics(star, by), _sharks_by_episode(star, by)
+    metrics, sharks = episode_metrics(star, by), _sharks_by_episode(star, by)
     if episodes is not None:
         metrics, sharks = metrics.join(episodes, "episode_id"), sharks.join(episodes, "episode_id")
         sharks = sharks.select(*group_cols, "shark_id").distinct()
@@ -263,50 +261,3 @@ def grain_mart(star: Star, group_cols: Sequence[str]) -> DataFrame:
         *group_cols, "total_episodes", *SHARED, *SHARES, "pitches_per_episode", "deals_per_episode",
         *(() if by else ("avg_us_viewership",)), *EXTRA,
     )
-
-
-MARTS = {
-    "vw_alltime_summary": mart_alltime,
-    "vw_season_summary": mart_season,
-    "vw_episode_summary": mart_episode,
-    "vw_shark_alltime_summary": mart_shark,
-}
-
-
-def register_marts(warehouse) -> None:
-    """The marts as temporary views, computed when they are read, which follow the loads through this handle."""
-
-    def refresh(newest) -> None:
-        star = star_of(newest)
-        for name, build in MARTS.items():
-            build(star).createOrReplaceTempView(name)
-
-    warehouse.keep_live("marts", refresh)
-
-
-def save_marts(warehouse, database: str = "analytics") -> None:
-    """The marts as tables of the catalog, for readers that should not pay for the aggregation.
-
-    Each is written to a new table first; the published name is a view of it, so
-    that a reader never meets a missing table. They are saved again after every
-    publish through this handle.
-    """
-
-    def refresh(newest) -> None:
-        spark, star = newest.spark, star_of(newest)
-        for name, build in MARTS.items():
-            fresh = f"{database}.{name}_{uuid4().hex[:12]}"
-            build(star).write.saveAsTable(fresh)
-            old = _table_behind(spark, f"{database}.{name}")
-            spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {fresh}")
-            if old:
-                spark.sql(f"DROP TABLE IF EXISTS {old}")
-
-    warehouse.keep_live(f"saved marts in {database}", refresh)
-
-
-def _table_behind(spark, view: str) -> str | None:
-    if not spark.catalog.tableExists(view):
-        return None
-    text = spark.sql(f"DESCRIBE EXTENDED {view}").filter("col_name = 'View Text'").first()
-    return text.data_type.rsplit(" ", 1)[-1] if text else None

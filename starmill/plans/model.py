@@ -139,9 +139,35 @@ TABLES = {
 
 # Facts are stored by season, so that a load rewrites the seasons it brings and
 # no others. The column is an address, not a part of the table.
-STORED_BY = {"fact_pitch": "season_id", "fact_deal_shark": "season_id"}
-# Also kept with the deals, so that marts by episode need not join the facts for it.
-CARRIED = {"fact_deal_shark": "episode_id"}
+STORED_BY = {t: "season_id" for t in ("fact_pitch", "fact_deal_shark", "episode_measures", "episode_sharks")}
+# Within that, and where there are no seasons, by a hash of these columns, so
+# that a small batch rewrites the buckets of its keys and no others. Deals go by
+# their pitch: those of one pitch lie together.
+BUCKETED_BY = {"dim_business": ("business_name",), "fact_pitch": ("business_id", "episode_id"), "fact_deal_shark": ("pitch_id",)}
+# Also kept: with the deals their episode, so that marts need not join the facts
+# for it; with a business the stamp of the batch that its name is from.
+CARRIED = {"fact_deal_shark": "episode_id bigint", "dim_business": "first_date timestamp"}
+
+# Staging tables: columns, and the columns they are partitioned by.
+_REJECTED = "import_date timestamp, reject_reason string, reject_column string, raw_line string"
+STAGING = {
+    "pitch_raw_data": (_REJECTED, "batch string, stamped string, rejected boolean"),
+    "quarantine": (_REJECTED, "batch string"),
+    "failed_batches": ("error string", "batch string"),
+    "stamps": ("import_date timestamp", "batch string"),
+}
+
+# The facts by episode, kept up by every load: additive measures, and the
+# investors as bitmaps of 32,768 keys each.
+AGGREGATES = {
+    "episode_measures": (
+        "episode_id bigint, total_pitches bigint, total_deals bigint, main_shark_deals bigint, guest_shark_deals bigint, "
+        "total_investment decimal(38,12), total_investment_per_pitch decimal(38,12), has_royalties bigint, "
+        "has_advisory_shares bigint, has_conditions bigint, has_royalties_per_pitch bigint, "
+        "has_advisory_shares_per_pitch bigint, has_conditions_per_pitch bigint, season_id bigint"
+    ),
+    "episode_sharks": "episode_id bigint, part bigint, bits binary, season_id bigint",
+}
 
 NATURAL_KEYS = {
     "dim_date": ("date",),

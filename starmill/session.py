@@ -16,6 +16,8 @@ SETTINGS = {
     # joins whose hash tables are known to be small need no sort
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # plans of tables are not kept, so that a view shows what another session has loaded
+    "spark.sql.filesourceTableRelationCacheSize": "0",
     "spark.ui.enabled": "false",
     # recording a call site for every column expression makes wide plans slow to build
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import posixpath
-from datetime import datetime
+from datetime import datetime, timedelta
+from time import time
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -73,6 +74,14 @@ def write_small_text(spark: SparkSession, path: str, text: str, overwrite: bool
         stream.close()
 
 
+def age(spark: SparkSession, path: str) -> timedelta | None:
+    """Time since a file was written; None if there is none."""
+    fs, hadoop_path = _fs(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    return timedelta(seconds=time() - fs.getFileStatus(hadoop_path).getModificationTime() / 1000)
+
+
 def archive_name(path: str, at: datetime) -> str:
     stem, suffix = posixpath.splitext(posixpath.basename(path))
     return f"{stem}_{at:%Y%m%d_%H%M%S}{suffix}"

@@ -1,243 +1,152 @@
-"""Warehouse folder: table versions as Parquet, made visible by one small pointer file."""
+"""The warehouse: partitioned tables of Spark's catalog, found again in their folder by another application."""
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.plans.model import CARRIED, STORED_BY, TABLES
+from starmill.plans.model import AGGREGATES, BUCKETED_BY, CARRIED, STAGING, STORED_BY, TABLES
 from starmill.sources import files
 
-
-# Spark's readers skip files whose names begin with an underscore.
-COMMITTED, FAILED = "_committed.json", "_failed.txt"
+BUCKETS = 8
+#: After this time a lock is that of a load that did not live to remove it.
+LOCK = timedelta(hours=12)
 
 
 class LoadConflict(RuntimeError):
-    """Another load published first; the batch is still staged and can be loaded again."""
+    """Another load is at work; the batch is still staged and can be loaded after it."""
 
 
 class Warehouse:
-    """Tables under ``root``.
+    """Databases ``stage``, ``dwh`` and ``analytics``, named with ``prefix`` before that, with tables in folders under ``root``.
 
-    ``dwh/<table>/v=<version>`` holds the data, ``snapshots/<n>.json`` names the
-    folders and row counts that make up the newest state. A load writes all its
-    folders first and then one pointer, so readers see a load as a whole or not
-    at all, and no folder is overwritten while it is being read.
+    Tables are partitioned by season where they have one, and by a hash of
+    their key into ``buckets`` (fixed when the warehouse is made), and written
+    by dynamic partition overwrite: what a batch does not touch is not written.
+    Any session of the catalog reads them by name.
     """
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self._pinned: dict | None = None
-        self._live: dict[str, Callable[[Warehouse], None]] = {}
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", buckets: int = BUCKETS):
+        self.spark, self.root, self.prefix, self.buckets = spark, root.rstrip("/"), prefix, buckets
 
     # -- set-up ---------------------------------------------------------------
 
     def create(self) -> Warehouse:
-        """Make the folders; does nothing where they exist."""
-        for layer in ("stage", "dwh", "analytics", "snapshots", "quarantine"):
-            files.make_folder(self.spark, f"{self.root}/{layer}")
+        """Make what is missing; tables that lie in the folder already are taken into the catalog as they are."""
+        files.make_folder(self.spark, self.root)
+        try:
+            files.write_small_text(self.spark, f"{self.root}/buckets", str(self.buckets))
+        except FileExistsError:
+            self.buckets = int(files.read_small_text(self.spark, f"{self.root}/buckets"))
+        for layer in ("stage", "dwh", "analytics"):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{layer} LOCATION '{self.root}/{layer}'")
+        for name in (*STAGING, *TABLES, *AGGREGATES):
+            self._create_table(name)
         return self
 
-    def create_databases(self) -> None:
-        for layer in ("stage", "dwh", "analytics"):
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-
-    # -- snapshots ------------------------------------------------------------
-
-    def _snapshot_names(self) -> list[str]:
-        return [n for n in files.list_names(self.spark, f"{self.root}/snapshots") if n.endswith(".json")]
-
-    def snapshot(self) -> dict:
-        """The newest state, or the one this handle is pinned to. A pointer that is just being written is not seen yet."""
-        if self._pinned is not None:
-            return self._pinned
-        for name in reversed(self._snapshot_names()):
-            try:
-                return json.loads(files.read_small_text(self.spark, f"{self.root}/snapshots/{name}"))
-            except ValueError:
-                continue
-        return {"version": 0, "tables": {}}
-
-    def pin(self) -> Warehouse:
-        """A handle that keeps seeing the state of this moment, for queries over several tables and for loads."""
-        pinned = Warehouse(self.spark, self.root)
-        pinned._pinned, pinned._live = self.snapshot(), self._live
-        return pinned
-
-    def publish(self, tables: Mapping[str, dict]) -> int:
-        """Make new table states visible.
-
-        Fails if there is a newer version than the one this handle works on
-        (the pinned one, else the newest): then another load got there first.
-        """
-        base = self.snapshot()
-        version = base["version"] + 1
-        names = self._snapshot_names()
-        if names and int(names[-1].removesuffix(".json")) >= version:
-            raise LoadConflict(f"version {version} was published by another load")
-        state = {"version": version, "tables": {**base["tables"], **tables}}
-        try:
-            files.write_small_text(self.spark, f"{self.root}/snapshots/{version:010d}.json", json.dumps(state))
-        except FileExistsError as error:
-            raise LoadConflict(f"version {version} was published by another load") from error
-        newest = Warehouse(self.spark, self.root)
-        newest._live = self._live
-        for refresh in self._live.values():
-            refresh(newest)
-        return version
-
-    def keep_live(self, name: str, refresh: Callable[[Warehouse], None]) -> None:
-        """Run ``refresh`` now and after every publish through this handle or one pinned from it."""
-        self._live[name] = refresh
-        refresh(self)
+    def _create_table(self, name: str) -> None:
+        table, path = self.name(name), self.path(name)
+        if not self.spark.catalog.tableExists(table):
+            there, by = files.path_exists(self.spark, path), ", ".join(self.addresses(name))
+            columns = T.StructType.fromDDL(self.columns(name)).toDDL()
+            options = "OPTIONS (partitionOverwriteMode 'dynamic')"
+            self.spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {options} PARTITIONED BY ({by}) LOCATION '{path}'")
+            if there:
+                self.spark.sql(f"MSCK REPAIR TABLE {table}")
+            self._measure(name)
+        held = self.spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+        if held.split(":", 1)[-1].strip("/") != path.split(":", 1)[-1].strip("/"):
+            raise ValueError(f"{table} belongs to another warehouse, in {held}; give a prefix")
+
+    def name(self, table: str) -> str:
+        """The table's name in the catalog."""
+        return f"{self.prefix}{'stage' if table in STAGING else 'dwh'}.{table}"
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{'stage' if table in STAGING else 'dwh'}/{table}"
+
+    def addresses(self, name: str) -> list[str]:
+        """The columns a table is partitioned by."""
+        if name in STAGING:
+            return [c.split()[0] for c in STAGING[name][1].split(", ")]
+        return [*([STORED_BY[name]] if name in STORED_BY else []), *(["bucket"] if name in TABLES else [])]
+
+    def columns(self, name: str) -> str:
+        if name in STAGING:
+            return ", ".join(STAGING[name])
+        if name in AGGREGATES:
+            return AGGREGATES[name]
+        by = [f"{STORED_BY[name]} bigint"] if name in STORED_BY else []
+        return ", ".join([TABLES[name], *([CARRIED[name]] if name in CARRIED else []), *by, "bucket int"])
 
     # -- tables ---------------------------------------------------------------
 
-    def schema(self, name: str) -> T.StructType:
-        more = [columns[name] for columns in (CARRIED, STORED_BY) if name in columns]
-        return T.StructType.fromDDL(", ".join([TABLES[name], *[f"{c} bigint" for c in more]]))
-
-    def rows(self, name: str) -> int:
-        return self.snapshot()["tables"].get(name, {}).get("rows", 0)
-
-    def max_key(self, name: str) -> int:
-        return self.snapshot()["tables"].get(name, {}).get("max_key", 0)
-
-    def stored(self, name: str, parts: Iterable[int] | None = None) -> DataFrame:
-        """The table as stored, with its address and carried columns; ``parts`` reads only those seasons."""
-        state = self.snapshot()["tables"].get(name, {})
-        return self.read_state(name, state, parts)
-
-    def read_state(self, name: str, state: dict, parts: Iterable[int] | None = None) -> DataFrame:
-        wanted = None if parts is None else {str(p) for p in parts}
-        folders = [f["path"] for p, f in state.get("folders", {}).items() if wanted is None or p in wanted]
-        schema = self.schema(name)
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/dwh/{name}")
-        return reader.parquet(*[f"{self.root}/dwh/{name}/{f}" for f in folders]).select(schema.fieldNames())
+    def stored(self, name: str) -> DataFrame:
+        """The table with its address and carried columns."""
+        return self.spark.table(self.name(name))
 
     def table(self, name: str) -> DataFrame:
         return self.stored(name).select(T.StructType.fromDDL(TABLES[name]).fieldNames())
 
-    def write(self, name: str, df: DataFrame, key: str, untouched: Mapping[str, dict] | None = None) -> dict:
-        """Write a new version and return its state; ``untouched`` folders of older versions stay part of it."""
-        folder = f"v={uuid.uuid4().hex}"
-        by = STORED_BY.get(name)
-        df = df.select(self.schema(name).fieldNames())
-        path = f"{self.root}/dwh/{name}/{folder}"
-        writer = df.write.partitionBy(by) if by else df.write
-        writer.parquet(path)
-        part = F.col(by).cast("string") if by else F.lit("")
-        # one row per stored season, from the key column of what was just written
-        found = self.spark.read.schema(df.schema).parquet(path).groupBy(part.alias("part"))
-        sizes = found.agg(F.count(F.lit(1)).alias("rows"), F.max(key).alias("max_key")).collect()
-        if by:
-            written = {r["part"]: {"path": f"{folder}/{by}={r['part']}", "rows": r["rows"]} for r in sizes}
-        else:
-            written = {"": {"path": folder, "rows": sum(r["rows"] for r in sizes)}}
-        folders = {**(untouched or {}), **written}
-        return {
-            "folders": folders,
-            "rows": sum(f["rows"] for f in folders.values()),
-            "max_key": max([self.max_key(name), *[r["max_key"] for r in sizes]]),
-        }
-
-    def folders(self, name: str) -> dict[str, dict]:
-        return dict(self.snapshot()["tables"].get(name, {}).get("folders", {}))
-
-    def remove_unused(self) -> list[str]:
-        """Delete folders that the newest snapshot does not name; not while older readers or a load are at work."""
-        removed = []
-        for name in TABLES:
-            used = {f["path"].split("/")[0] for f in self.folders(name).values()}
-            for folder in files.list_names(self.spark, f"{self.root}/dwh/{name}"):
-                if folder.startswith("v=") and folder not in used:
-                    files.remove_folder(self.spark, f"{self.root}/dwh/{name}/{folder}")
-                    removed.append(f"{name}/{folder}")
-        return removed
-
-    # -- staging --------------------------------------------------------------
-
-    def batches(self) -> dict[str, dict]:
-        """Staged batches with what their commit marker says; a batch that is still being staged has none."""
-        found = {}
-        for name in files.list_names(self.spark, f"{self.root}/stage/pitch_raw_data"):
-            marker = f"{self.root}/stage/pitch_raw_data/{name}/{COMMITTED}"
-            if name.startswith("batch=") and files.path_exists(self.spark, marker):
-                found[name.split("=", 1)[1]] = json.loads(files.read_small_text(self.spark, marker))
-        return found
-
-    def commit_batch(self, batch: str, import_date: str) -> None:
-        """To be called when staging and quarantine are complete."""
-        marker = {"import_date": import_date}
-        files.write_small_text(self.spark, f"{self.batch_path(batch)}/{COMMITTED}", json.dumps(marker), overwrite=True)
-
-    def pending_batches(self) -> list[str]:
-        """Ids of staged batches that no load has consumed or set aside, by the stamp of their rows."""
-        committed = self.batches()
-        waiting = [b for b in committed if not files.path_exists(self.spark, f"{self.batch_path(b)}/{FAILED}")]
-        return sorted(waiting, key=lambda b: (committed[b]["import_date"], b))
-
-    def failed_batches(self) -> dict[str, str]:
-        """Batches that a load has set aside, with the error."""
-        errors = {b: f"{self.batch_path(b)}/{FAILED}" for b in self.batches()}
-        return {b: files.read_small_text(self.spark, p) for b, p in errors.items() if files.path_exists(self.spark, p)}
-
-    def set_aside(self, batch: str, error: str) -> None:
-        files.write_small_text(self.spark, f"{self.batch_path(batch)}/{FAILED}", error, overwrite=True)
-
-    def batch_path(self, batch: str) -> str:
-        return f"{self.root}/stage/pitch_raw_data/batch={batch}"
-
-    def release(self, batch: str) -> None:
-        """Drop the staged rows of a batch that has been loaded."""
-        files.remove_folder(self.spark, self.batch_path(batch))
-
-    # -- views ----------------------------------------------------------------
-
-    def register_tables(self) -> None:
-        """Every table as a temporary view under its own name, which follows the loads through this handle."""
-
-        def refresh(newest: Warehouse) -> None:
-            for name in TABLES:
-                newest.table(name).createOrReplaceTempView(name)
-
-        self.keep_live("tables", refresh)
-
-    def register_databases(self, stage_schema: T.StructType | None = None) -> None:
-        """``dwh.<table>``, and ``stage.pitch_raw_data`` for a given layout, as views of the catalog.
-
-        They name the newest folders and are made anew after every publish
-        through this handle, so that every session of the catalog sees a load
-        as soon as its publisher has gone through them.
-        """
-        self.create_databases()
-        self.keep_live("databases", lambda newest: newest._write_views(stage_schema))
-
-    def _write_views(self, stage_schema: T.StructType | None) -> None:
-        for name in TABLES:
-            folders = [f["path"] for f in self.folders(name).values()]
-            self._view(f"dwh.{name}", f"{self.root}/dwh/{name}", folders, T.StructType.fromDDL(TABLES[name]))
-        if stage_schema is not None:
-            base = f"{self.root}/stage/pitch_raw_data"
-            folders = [f"batch={b}/rejected=false" for b in self.pending_batches()]
-            present = [f for f in folders if files.path_exists(self.spark, f"{base}/{f}")]
-            self._view("stage.pitch_raw_data", base, present, stage_schema)
-
-    def _view(self, name: str, base: str, folders: list[str], schema: T.StructType) -> None:
-        columns = ", ".join(f"cast(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-        if folders:
-            glob = folders[0] if len(folders) == 1 else "{" + ",".join(folders) + "}"
-            text = f"SELECT {columns} FROM parquet.`{base}/{glob}`"
-        else:
-            nothing = ", ".join(f"cast(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-            text = f"SELECT {nothing} WHERE false"
-        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+    def bucket(self, name: str, folded: Mapping[str, Column]) -> Column:
+        """The bucket of a row; ``folded`` has the key columns in the form in which they are compared."""
+        keys = BUCKETED_BY.get(name)
+        return F.pmod(F.xxhash64(*[folded.get(k, F.col(k)) for k in keys]), F.lit(self.buckets)).cast("int") if keys else F.lit(0)
+
+    def replace(self, name: str, rows: DataFrame) -> None:
+        """Write whole partitions; those that ``rows`` has no row of stay as they are. ``rows`` may be read from the table itself."""
+        rows.select(self.stored(name).columns).write.insertInto(self.name(name), overwrite=True)
+        self._measure(name)
+
+    def _measure(self, name: str) -> None:
+        """Tell the planner the size of a table; of one it knows nothing about it thinks that it is endless."""
+        if name not in STAGING:
+            self.spark.sql(f"ANALYZE TABLE {self.name(name)} COMPUTE STATISTICS NOSCAN")
+
+    def add_columns(self, name: str, schema: T.StructType) -> None:
+        """Widen a table by the columns it lacks."""
+        lacking = [T.StructField(f.name, f.dataType) for f in schema if f.name not in self.stored(name).columns]
+        if lacking:
+            self.spark.sql(f"ALTER TABLE {self.name(name)} ADD COLUMNS ({T.StructType(lacking).toDDL()})")
+
+    def drop_batch(self, name: str, batch: str) -> None:
+        """Drop what a staging table holds of a batch."""
+        for path in self.partitions(name):
+            spec = dict(p.split("=", 1) for p in path.split("/"))
+            if spec["batch"] == batch:
+                values = ", ".join(f"{k}='{v}'" for k, v in spec.items())
+                self.spark.sql(f"ALTER TABLE {self.name(name)} DROP IF EXISTS PARTITION ({values})")
+        files.remove_folder(self.spark, f"{self.path(name)}/batch={batch}")
+
+    def partitions(self, name: str) -> list[str]:
+        return [r["partition"] for r in self.spark.sql(f"SHOW PARTITIONS {self.name(name)}").collect()]
+
+    def max_key(self, name: str, key: str) -> int:
+        """The last key given out, from the table's properties; another application's tables are asked once."""
+        found = {r["key"]: r["value"] for r in self.spark.sql(f"SHOW TBLPROPERTIES {self.name(name)}").collect()}
+        return int(found.get("starmill.max_key") or self.stored(name).agg(F.max(key)).first()[0] or 0)
+
+    def keep_max_key(self, name: str, value: int) -> None:
+        """To be called before rows with these keys are written: after a crash numbers may be missing, but none is given twice."""
+        self.spark.sql(f"ALTER TABLE {self.name(name)} SET TBLPROPERTIES ('starmill.max_key' = '{value}')")
+
+    @contextmanager
+    def exclusive(self) -> Iterator[None]:
+        """One load at a time."""
+        path = f"{self.root}/load.lock"
+        age = files.age(self.spark, path)
+        if age is not None and age > LOCK:
+            files.remove_folder(self.spark, path)
+        try:
+            files.write_small_text(self.spark, path, datetime.now().isoformat())
+        except FileExistsError as error:
+            raise LoadConflict(f"another load holds {path}") from error
+        try:
+            yield
+        finally:
+            files.remove_folder(self.spark, path)

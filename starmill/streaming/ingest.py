@@ -77,8 +77,9 @@ def poll_warehouse(
     """Stage, and unless ``load`` is off load, every micro-batch of a drop folder.
 
     The staged batch is named by the stream and the micro-batch number, so a
-    repeated micro-batch replaces its own staging, and the upsert by natural
-    key makes the repeated load have no further effect.
+    repeated micro-batch replaces its own staging and keeps the stamp of its
+    first, and the upsert by natural key makes the repeated load have no further
+    effect. Batches of other schedules may be loaded before or after it.
     """
     stream = f"stream_{crc32(checkpoint.encode()):08x}"
 
