@@ -90,13 +90,16 @@ def grams_of(word: str, n: int) -> list[str]:
 
 def _count_grams(batches: Iterator[pa.RecordBatch], longest: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counted: dict[tuple[str, str], int] = {}
+        by_lang: dict[str, dict[str, int]] = {}
         for lang, word, n in zip(*[batch.column(c).to_pylist() for c in ("lang", "token", "n")], strict=True):
+            counted = by_lang.setdefault(lang, {})
             for size in range(1, longest + 1):
                 for gram in grams_of(word, size):
-                    counted[lang, gram] = counted.get((lang, gram), 0) + n
-        rows = [(lang, gram, n) for (lang, gram), n in counted.items() if gram != " "]
-        yield pa.record_batch([pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.int64()))], names=["lang", "token", "n"])
+                    counted[gram] = counted.get(gram, 0) + n
+        for lang, counted in by_lang.items():
+            counted.pop(" ", None)
+            columns = [pa.array([lang] * len(counted), pa.string()), pa.array(list(counted), pa.string()), pa.array(list(counted.values()), pa.int64())]
+            yield pa.record_batch(columns, names=["lang", "token", "n"])
 
 
 _COUNTS = "lang string, token string, n long"
@@ -152,13 +155,25 @@ class _Costs:
         self.unseen: dict[str, int] = {}
         self.costs = [self.model.costs]
 
-    def unseen_cost(self, word: str) -> np.ndarray:
-        """Mean over the longest n-grams of which one at least is known."""
+    def longest_grams(self, word: str) -> list[int]:
+        """Rows of the longest n-grams of a word of which one at least is known."""
+        get = self.model.rows.get
         for size in range(min(self.how.longest, len(word) + 2), 0, -1):
-            at = [i for i in map(self.model.rows.get, ("\0" + g for g in grams_of(word, size))) if i is not None]
+            at = [i for i in map(get, ["\0" + g for g in grams_of(word, size)]) if i is not None]
             if at:
-                return self.model.costs[at].mean(axis=0)
-        return np.full(len(self.model.languages), self.how.penalty, np.float32)
+                return at
+        return []
+
+    def unseen_costs(self, words: list[str]) -> np.ndarray:
+        """Costs of words by their n-grams, one after the other; nothing known of a word is the penalty everywhere."""
+        found = [self.longest_grams(word) for word in words]
+        sizes = np.array([len(f) for f in found])
+        out = np.full((len(words), len(self.model.languages)), self.how.penalty, np.float32)
+        some = sizes > 0
+        if some.any():
+            starts = np.cumsum(sizes[some]) - sizes[some]
+            out[some] = np.add.reduceat(self.model.costs[np.array([i for f in found for i in f])], starts) / sizes[some][:, None]
+        return out
 
     def numbers(self, words: list[str]) -> np.ndarray:
         """Numbers of words that are all different."""
@@ -172,10 +187,10 @@ class _Costs:
                 at = unseen.get(word)
                 if at is None:
                     at = unseen[word] = after + len(more)
-                    more.append(self.unseen_cost(word))
+                    more.append(word)
             out[i] = at
         if more:
-            self.costs.append(np.array(more, np.float32))
+            self.costs.append(self.unseen_costs(more))
         return out
 
     def of(self, at: np.ndarray) -> np.ndarray:
