@@ -79,9 +79,11 @@ def link_buckets(
     them apart. A link inside a component can't change it, so that the buckets
     compared further are those of three nodes or more that still lie in several
     components, and the pairs those between them. Which is every pair that can
-    matter, without a cap. ``weigh`` may give columns for those nodes (doc_id)
-    from which ``can_link`` tells that a pair can't be a link; it gets the
-    aliases of the two sides.
+    matter, without a cap. Before that, such a bucket's nodes are compared once
+    more with one of them, picked by hash, so that components with many links
+    between them are joined by few. ``weigh`` may give columns for those nodes
+    (doc_id) from which ``can_link`` tells that a pair can't be a link; it gets
+    the aliases of the two sides. What it lets through is all that is listed.
     """
     buckets = members.groupBy("bucket").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"), F.count(F.lit(1)).alias("n"))
     buckets = written(buckets.where("least < most").select("bucket", "least", "n"), "buckets")
@@ -96,9 +98,18 @@ def link_buckets(
         groups = connected_components(links)
 
     shared = members.join(fitting(buckets.where("n > 2").select("bucket")), "bucket")
-    shared = _grouped(shared, groups)
-    mixed = shared.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    shared = shared.join(fitting(written(mixed, "mixed-buckets")), "bucket")
+    shared = written(_mixed(shared, groups), "mixed-buckets")
+    hub = F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", "bucket")).alias("hub")
+    apart = F.col("hub.component") != F.col("component")
+    hubs = shared.join(shared.groupBy("bucket").agg(hub), "bucket").where(apart)
+    to_hub = hubs.select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b")).distinct()
+    more = written(confirm(written(likely(to_hub.join(stars, ["a", "b"], "left_anti")), "hub-pairs")), "links-hubs")
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        groups = connected_components(links)
+        # a component's name is one of its nodes, so it is what has to be looked up
+        joined = fitting(written(groups.select(F.col("node").alias("component"), F.col("component").alias("into")), "joined-components"))
+        shared = _in_mixed_buckets(shared.join(joined, "component", "left").select("bucket", "doc_id", F.coalesce("into", "component").alias("component")))
     nodes = written(shared.groupBy("doc_id", "component").agg(F.collect_set("bucket").alias("buckets")), "mixed-members")
     if nodes.isEmpty():
         return written(groups, "components")
@@ -124,6 +135,12 @@ def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     return both.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
 
 
-def _grouped(members: DataFrame, groups: DataFrame) -> DataFrame:
+def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """The members (doc_id, bucket, component) of buckets that lie in several components."""
     ends = fitting(written(groups.withColumnRenamed("node", "doc_id"), "groups"))
-    return members.join(ends, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    return _in_mixed_buckets(members.join(ends, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")))
+
+
+def _in_mixed_buckets(named: DataFrame) -> DataFrame:
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
+    return named.join(fitting(written(mixed, "mixed-bucket-ids")), "bucket")

@@ -33,6 +33,8 @@ class MinHash:
     percent: int = 75
     bands: int = 72
     rows: int = 6
+    #: Bits of the sketch from which it is told that two sets differ in too much.
+    sketch: int = 4096
     #: Pairs whose signatures put their similarity lower are not looked at further: nearly five deviations below 0.75.
     least_agreement: float = 0.64
     seed: int = 20240229
@@ -165,31 +167,54 @@ def _linked(pairs: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
     return map_arrow(both.select("a", "text_a", "text_b", "b"), check, "u long, v long").distinct()
 
 
+def odd_sketch(shingles: np.ndarray, bits: int) -> np.ndarray:
+    """One bit for each of ``bits`` places: whether an odd number of hashes fall on it.
+
+    Two sketches differ in as many bits as the sets have hashes that only one
+    of them holds, less two for every two of those that meet in one place: in
+    no more than the sets differ in.
+    """
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).view(np.int64)
+
+
 def _common_shingles(ids: DataFrame, docs: DataFrame, how: MinHash) -> DataFrame:
-    """doc_id, size, common: shingles of each of these documents, and those of them that another one has too."""
+    """doc_id, size, common, sketch: shingles of each of these documents, those of them that another one has too, and a sketch of them.
+
+    An id that has several rows has no sketch.
+    """
     ids = fitting(written(ids, "compared-ids"))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")).join(ids, "doc_id", "left_semi")
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), how.shingle, hashes).view(np.int64) for t in batch.column("text")]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+            sets = [shingle_set(t.as_py(), how.shingle, hashes) for t in batch.column("text")]
+            lists = [[odd_sketch(s, how.sketch) for s in sets], [s.view(np.int64) for s in sets]]
+            yield pa.record_batch([batch.column("doc_id"), *[pa.array(x, pa.list_(pa.int64())) for x in lists]], names=["doc_id", "sketch", "shingles"])
 
-    each = written(map_arrow(texts, spell, "doc_id long, shingles array<long>"), "shingle-sets").select("doc_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
+    sets = written(map_arrow(texts, spell, "doc_id long, sketch array<long>, shingles array<long>"), "shingle-sets")
+    each = sets.select("doc_id", F.size("shingles").alias("size"), F.explode("shingles").alias("shingle"))
     several = each.groupBy("shingle").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high").select("shingle")
-    return each.join(several, "shingle").groupBy("doc_id").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("common"))
+    common = each.join(several, "shingle").groupBy("doc_id").agg(F.max("size").alias("size"), F.count(F.lit(1)).alias("common"))
+    sketches = sets.groupBy("doc_id").agg(F.when(F.count(F.lit(1)) == 1, F.first("sketch")).alias("sketch"))
+    return common.join(sketches, "doc_id")
 
 
 def _may_link(x: str, y: str, how: MinHash) -> Column:
-    """Sizes, what the sets can share at most, and signatures allow a link.
+    """Sizes, what the sets can share at most, signatures, and what they differ in at least allow a link.
 
     Two sets share no more than either has in common with any other; a link of
-    sets a and b shares percent / (100 + percent) of a + b at least.
+    sets a and b shares percent / (100 + percent) of a + b at least, and so
+    differs in (100 - percent) / (100 + percent) of it at most.
     """
     size_x, size_y, most = F.col(f"{x}.size"), F.col(f"{y}.size"), F.least(F.col(f"{x}.common"), F.col(f"{y}.common"))
     enough = (100 + how.percent) * most >= how.percent * (size_x + size_y)
-    return _near_in_size(size_x, size_y, how) & enough & (_agreement(F.col(f"{x}.marks"), F.col(f"{y}.marks"), how) >= how.least_agreement)
+    alike = _agreement(F.col(f"{x}.marks"), F.col(f"{y}.marks"), how) >= how.least_agreement
+    bits = F.zip_with(F.col(f"{x}.sketch"), F.col(f"{y}.sketch"), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.coalesce(F.aggregate(bits, F.lit(0), lambda n, b: n + b), F.lit(0))  # without a sketch nothing is known
+    close = (100 + how.percent) * differ <= (100 - how.percent) * (size_x + size_y)
+    return _near_in_size(size_x, size_y, how) & enough & alike & close
 
 
 def near_duplicates(docs: DataFrame, how: MinHash | None = None) -> DataFrame:
