@@ -17,7 +17,7 @@ from hashlib import sha256
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.common import fitting, map_arrow, row_key, ship, text_of, written
@@ -254,6 +254,43 @@ def bands_of(fingerprint: bytes, how: EditEmbedding) -> np.ndarray:
     return hashed.view(np.int64)
 
 
+_PACKED = "doc_id long, samples array<long>, others array<long>, weights array<double>, weight double"
+
+
+def _packed(batches: Iterator[pa.RecordBatch], how: EditEmbedding) -> Iterator[pa.RecordBatch]:
+    """Fingerprints as longs of sixteen samples, filled up with zeros (``samples``) or ones (``others``), the weight of a sample of each long, and the sum of all.
+
+    All samples of a long have one weight, since an octave holds a multiple of sixteen.
+    """
+    weights = _tables(how)[2]
+    for batch in batches:
+        columns: list[list] = [[], [], [], []]
+        for text in batch.column("fingerprint"):
+            digits = text.as_py()
+            n = -(-len(digits) // 16)
+            for column, filling in zip(columns, "0f", strict=False):
+                column.append(np.frombuffer(bytes.fromhex(digits.ljust(16 * n, filling)), ">i8").astype(np.int64))
+            columns[2].append(weights[: 16 * n : 16])
+            columns[3].append(float(weights[: len(digits)].sum()))
+        kinds = pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64()), pa.float64()
+        yield pa.record_batch([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]], names=["doc_id", "samples", "others", "weights", "weight"])
+
+
+def _may_be_near(x: str, y: str, how: EditEmbedding) -> Column:
+    """Whether the likeness of two packed fingerprints is ``how.near``, but for rounding."""
+
+    def agreeing(a: Column, b: Column) -> Column:
+        other = a.bitwiseXOR(b)
+        other = other.bitwiseOR(F.shiftrightunsigned(other, 1))
+        other = other.bitwiseOR(F.shiftrightunsigned(other, 2)).bitwiseAND(F.lit(0x1111111111111111))
+        return F.coalesce(16 - F.bit_count(other), F.lit(0))  # beyond the end of one
+
+    counts = F.zip_with(F.col(f"{x}.samples"), F.col(f"{y}.others"), agreeing)
+    valued = F.zip_with(counts, F.col(f"{x}.weights"), lambda n, w: F.coalesce(n * w, F.lit(0.0)))
+    agreed = F.aggregate(valued, F.lit(0.0), lambda total, v: total + v)
+    return agreed >= (how.near * 15 / 16 + 1 / 16 - 1e-9) * F.greatest(f"{x}.weight", f"{y}.weight")
+
+
 def with_groups(prints: DataFrame, how: EditEmbedding | None = None) -> DataFrame:
     """The rows of ``prints`` (doc_id, fingerprint and others) with ``group_id``: the smallest id that near fingerprints reach.
 
@@ -285,7 +322,13 @@ def with_groups(prints: DataFrame, how: EditEmbedding | None = None) -> DataFram
 
         return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "print_a", "print_b"), check, "a long, b long")
 
-    components = link_buckets(members, alike, lambda pairs: pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    def weigh(ids: DataFrame) -> DataFrame:
+        named = same_print.select("doc_id", "fingerprint").join(ids, "doc_id", "left_semi")
+        return map_arrow(named, lambda batches: _packed(batches, how), _PACKED)
+
+    same = lambda pairs: pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    sieve = (weigh, lambda x, y: _may_be_near(x, y, how)) if how.samples % 16 == 0 else ()
+    components = link_buckets(members, alike, same, *sieve)
     ends = fitting(components.select(F.col("node").alias("doc_id"), "component"))
     # a fingerprint that is neither shared nor near another is the group of its own id
     groups = same_print.join(ends, "doc_id", "left").where("n > 1 or component is not null").select(F.col("fingerprint").alias("of"), F.coalesce("component", "doc_id").alias("group_id"))

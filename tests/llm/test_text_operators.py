@@ -34,7 +34,7 @@ def by_id(df, key="doc_id"):
 
 @pytest.fixture(scope="module")
 def tables(spark):
-    return {t: spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark", "pages", "conversations", "labels")}
+    return {t: spark.read.parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark", "pages", "conversations", "labels", "embeddings")}
 
 
 @pytest.fixture(scope="module")
@@ -539,12 +539,12 @@ def test_registered_fingerprints_have_their_groups(spark):
 def test_query_runs_over_its_whole_table(spark, tables, name):
     df = QUERIES[name](spark, SF_DIR)
     rows = df.toPandas()
-    source = {"op1_chat": "conversations", "op5_warc": "pages", "op6_extract": "pages"}.get(name, "documents")
-    key = {"conversations": "conv_id", "pages": "page_id", "documents": "doc_id"}[source]
+    source = {"op1_chat": "conversations", "op5_warc": "pages", "op6_extract": "pages", "op13_whitening": "embeddings"}.get(name, "documents")
+    key = {"conversations": "conv_id", "pages": "page_id", "documents": "doc_id", "embeddings": "vec_id"}[source]
     ids = {r[0] for r in tables[source].select(key).distinct().collect()} | ({-7} if name == "op1_chat" else set())
     assert set(rows[key]) == ids
     if name != "op7_packing":
-        assert len(rows) == len(ids)
+        assert len(rows) == len(ids) * (8 if name == "op13_whitening" else 1)
 
 
 def test_queries_against_brute_force(spark, tables, texts):
