@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.clean import default_when, fold_key, percent_to_fraction
 from starmill.operators.calendar import extend_calendar
+from starmill.operators.checks import duplicate_keys
 from starmill.operators.lookup import lookup, lookup_date, lookup_key
 from starmill.operators.reshape import entity_names, latest_per_key, ordinal_within, split_entities
 from starmill.operators.upsert import Upsert, upsert_type1
@@ -351,6 +352,8 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
     at = stage.agg(F.max("import_date")).first()[0]
     if at is None:
         return False
+    if config.on_duplicate == "error":
+        _refuse_duplicates(stage)
     calendar = warehouse.table("dim_date")
 
     def sharks() -> None:
@@ -387,6 +390,14 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
     return True
 
 
+def _refuse_duplicates(stage: DataFrame) -> None:
+    """A business twice in an episode fails the load before a table is written."""
+    appearance = ["startup_name", "season_number", "episode_number"]
+    twice = duplicate_keys(stage, appearance, ["startup_name"]).first()
+    if twice:
+        raise ValueError(f"more than one source row for key {twice.asDict()}")
+
+
 def _together(*steps: Callable[[], None]) -> None:
     """Run steps side by side, in the same scratch folder."""
     with ThreadPoolExecutor() as pool:
