@@ -13,6 +13,7 @@ between as quarantined.
 from __future__ import annotations
 
 import base64
+import contextlib
 import hashlib
 import re
 import zlib
@@ -28,6 +29,7 @@ from starmill.llm.common import fitting, map_arrow, written
 MAGIC, VERSION = b"\x1f\x8b\x08", b"WARC/1."
 #: An empty gzip member (fixed bytes of the format), as the characters of the same numbers.
 EMPTY_MEMBER = (b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\x03\x03\x00" + b"\x00" * 8).decode("latin-1")
+CUT_OFF = "gzip member cut off"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -95,8 +97,9 @@ class Found:
 
 def _record(data: bytes, at: int) -> tuple[Found | None, int, str]:
     """The record at ``at`` and where it ends, or none and why not."""
-    head_end = data.find(b"\r\n\r\n", at, at + (1 << 20))
-    if not data.startswith(VERSION, at) or head_end < 0:
+    # headers end anywhere: another version line among them has no colon and is refused as one
+    head_end = data.find(b"\r\n\r\n", at) if data.startswith(VERSION, at) else -1
+    if head_end < 0:
         return None, at, "no version line or headers"
     headers = {}
     for line in data[at:head_end].split(b"\r\n")[1:]:
@@ -121,60 +124,98 @@ def _record(data: bytes, at: int) -> tuple[Found | None, int, str]:
     return Found(at, end + 4 - at, headers, payload, http), end + 4, ""
 
 
-def _member(data: bytes, at: int) -> tuple[bytes | None, int, str]:
+def _member(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` holds, where it ends, and what is wrong with it; a broken one gives what stands before the fault."""
     unpacker, view, p = zlib.decompressobj(31), memoryview(data), at
     parts = []
-    try:
-        while not unpacker.eof and p < len(data):
+    while not unpacker.eof and p < len(data):
+        before = unpacker.copy()
+        try:
             parts.append(unpacker.decompress(view[p : p + 65536]))
-            p += 65536
-    except zlib.error as error:
-        return None, at, f"gzip: {error}"
+        except zlib.error as error:
+            # an error takes the whole call's output with it, so the call is repeated byte by byte
+            with contextlib.suppress(zlib.error):
+                for i in range(p, min(p + 65536, len(data))):
+                    parts.append(before.decompress(view[i : i + 1]))
+            return b"".join(parts), at, f"gzip: {error}"
+        p += 65536
     if not unpacker.eof:
-        return None, at, "gzip member cut off"
+        return b"".join(parts), at, CUT_OFF
     return b"".join(parts), min(p, len(data)) - len(unpacker.unused_data), ""
 
 
-_NEXT = re.compile(re.escape(MAGIC) + rb"|(?<=\n)" + re.escape(VERSION))
+_LINE = re.compile(rb"(?<=\n)" + re.escape(VERSION))
+_NEXT = re.compile(re.escape(MAGIC) + rb"|" + _LINE.pattern)
 
 
-def read_archive(data: bytes) -> Iterator[Found]:
-    """Records of an archive in order, plain or gzipped or both, and the gaps between those that could be read."""
+def _salvaged(plain: bytes, proved: bool) -> Iterator[Found]:
+    """Records of a member's bytes, and a gap for every stretch that holds none; ``proved`` takes records with a block digest only."""
     at, gap, why = 0, None, ""
+    while at < len(plain):
+        record, end, reason = _record(plain, at)
+        if record is not None and proved and "warc-block-digest" not in record.headers:
+            record, reason = None, "no digest in a broken member"
+        if record is not None:
+            if gap is not None:
+                yield Found(gap, at - gap, reason=why)
+                gap = None
+            yield record
+            at = end
+            continue
+        if gap is None:
+            gap, why = at, reason
+        following = _LINE.search(plain, at + 1)
+        at = following.start() if following else len(plain)
+    if gap is not None:
+        yield Found(gap, at - gap, reason=why)
+
 
-    def quarantined() -> Found:
-        return Found(gap, at - gap, reason=why)
+def read_archive(data: bytes) -> Iterator[Found]:
+    """Records of an archive in order, plain or gzipped or both, and the gaps between those that could be read.
 
+    A member that fails its checks gives the records that their own digests
+    prove, unless all agree with theirs and the fault is in a header, and is a
+    gap as a whole; so does one that is cut off. In a sound member a bad record
+    is a gap with the member's place, and its place among the unpacked bytes in
+    the reason.
+    """
+    at, gap, why = 0, None, ""
     while at < len(data):
         found, end, reason = [], at, "neither a member nor a record"
         if data.startswith(MAGIC, at):
             plain, end, reason = _member(data, at)
-            inner = 0
-            while plain is not None and inner < len(plain):
-                record, inner, reason = _record(plain, inner)
-                if record is None:
-                    plain = None
-                else:
-                    record.offset, record.length = at, end - at
-                    found.append(record)
-            ok = plain is not None
+            found = list(_salvaged(plain, proved=bool(reason)))
+            if reason:
+                # digests don't cover headers: where every record agrees, the fault is in one of those
+                found = [r for r in found if not r.reason] if any(r.reason for r in found) or reason == CUT_OFF else []
+                if found:
+                    reason += f" after {len(found)} record{'s' * (len(found) > 1)}"
+            else:
+                for r in found:
+                    if r.reason:
+                        r.reason += f", bytes {r.offset} to {r.offset + r.length} of the member"
+            for r in found:
+                r.offset, r.length = at, max(end - at, 0)
         else:
             record, end, reason = _record(data, at)
-            ok = record is not None
             found = [record] if record else []
-        if ok:
+        if not reason:
             if gap is not None:
-                yield quarantined()
+                yield Found(gap, at - gap, reason=why)
                 gap = None
             yield from found
             at = end
             continue
+        if found and gap is not None:
+            yield Found(gap, at - gap, reason=why)
+            gap = None
+        yield from found
         if gap is None:
             gap, why = at, reason
         following = _NEXT.search(data, at + 1)
         at = following.start() if following else len(data)
     if gap is not None:
-        yield quarantined()
+        yield Found(gap, at - gap, reason=why)
 
 
 _ROWS = "file string, offset long, length long, reason string, record_type string, page_id long, url string, refers_to long, payload_bytes long, payload_digest string, payload binary"

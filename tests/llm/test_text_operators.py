@@ -291,6 +291,30 @@ def test_salvage(packed):
     assert [r.reason is not None for r in warc.read_archive(b"nothing here")] == [True]
 
 
+def test_salvage_inside_members(spark, tmp_path):
+    records = [warc.record_bytes(i, f"http://x/{i}", random.Random(i).randbytes(3000), None, "2024-01-01T00:00:00Z") for i in range(5)]
+    ids = lambda data: [int(re.search(r"[0-9]+", r.headers["warc-record-id"])[0]) for r in warc.read_archive(data) if not r.reason]
+    broken = bytearray(records[2])
+    broken[-100] ^= 255
+    # a bad record in a sound member, and the member after it
+    data = warc.member(b"".join([*records[:2], bytes(broken), *records[3:]])) + warc.member(records[0])
+    assert ids(data) == [0, 1, 3, 4, 0]
+    (gap,) = [r for r in warc.read_archive(data) if r.reason]
+    place = sum(map(len, records[:2]))
+    assert gap.offset == 0 and gap.reason == f"block digest differs, bytes {place} to {place + len(broken)} of the member"
+    # a member cut off, and one with a changed byte near its end: what stands before is read
+    whole = warc.member(b"".join(records))
+    cut = whole[: len(whole) * 7 // 10]
+    assert ids(cut) == [0, 1, 2] and [(r.offset, r.length) for r in warc.read_archive(cut) if r.reason] == [(0, len(cut))]
+    at = len(whole) - 500
+    damaged = whole[:at] + bytes([whole[at] ^ 255]) + whole[at + 1 :] + warc.member(records[1])
+    assert ids(damaged) == [0, 1, 2, 3, 1]
+    # headers of any length
+    df = spark.createDataFrame([(1, "http://x/" + "u" * 1_200_000, "a"), (2, "http://y", "b")], "page_id bigint, url string, html string")
+    warc.write_archives(df, str(tmp_path / "w"))
+    assert {(r.page_id, len(r.url), r.reason) for r in warc.read_archives(spark, str(tmp_path / "w")).collect()} == {(1, 1_200_009, None), (2, 8, None)}
+
+
 # -- extraction --------------------------------------------------------------
 
 PAGES = {
