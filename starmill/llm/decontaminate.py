@@ -6,13 +6,16 @@ in the corpus, and for every window of an item fetches the lists of its rarest
 terms. A posting at p of the term at place q of an item says that the item
 would begin at p - q; lists shifted by their places are intersected on that
 beginning. What is left is compared word by word, again from the postings.
+
+A proximity match needs the rarest terms of a window only near where they
+would stand: their beginnings may differ by the slop.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.llm.common import fitting, lower_ascii, row_key, same, text_of, words_of, written
@@ -20,7 +23,7 @@ from starmill.llm.common import fitting, lower_ascii, row_key, same, text_of, wo
 
 @dataclass
 class PositionalIndex:
-    """``postings``: doc_id, key, at, term. ``documents``: doc_id, key of every row, words or not."""
+    """``postings``: doc_id, key, at, term, n_words (of the document). ``documents``: doc_id, key of every row, words or not."""
 
     postings: DataFrame
     documents: DataFrame
@@ -34,7 +37,8 @@ def build_index(docs: DataFrame) -> PositionalIndex:
     """
     text = text_of()
     docs = docs.select("doc_id", row_key(text).alias("key"), text.alias("text"))
-    postings = docs.select("doc_id", "key", F.posexplode(words_of(lower_ascii(F.col("text")))).alias("at", "term"))
+    words = docs.select("doc_id", "key", words_of(lower_ascii(F.col("text"))).alias("words"))
+    postings = words.select("doc_id", "key", F.size("words").alias("n_words"), F.posexplode("words").alias("at", "term"))
     return PositionalIndex(written(postings, "postings"), docs.select("doc_id", "key"))
 
 
@@ -61,16 +65,16 @@ def _rarest(index: PositionalIndex, units: DataFrame, rarest: int) -> tuple[Data
     return words, written(windows.select("unit", F.slice(order, 1, rarest)["place"].alias("places")), "rarest-places")
 
 
-def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: int = 2, slop: int = 20) -> tuple[DataFrame, DataFrame]:
+def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: int = 3, slop: int = 20) -> tuple[DataFrame, DataFrame]:
     """Phrase matches and proximity matches of the windows of ``items`` (item_id, text).
 
-    Phrase: doc_id, key, unit, item, positions - the words of the document that
-    stand in an occurrence of a window. Proximity: doc_id, key, unit, item - all
-    rarest words of some window stand within ``slop`` words of where they would
-    in a phrase. An item of fewer words than ``length`` is one window; one
+    Phrase: doc_id, key, unit, item, begins, positions - the words of the
+    document that stand in an occurrence of a window, where the item would begin
+    at ``begins``. Proximity: doc_id, key, unit, item - the ``rarest`` rarest
+    words of some window, or all of a shorter one, stand so that the beginnings
+    they speak for differ by ``slop`` at most. An item of fewer words than ``length`` is one window; one
     without words matches nothing. Items with one id and different texts are
     units of their own, repeated ones are one unit; a null id is a null item.
-    Proximity matches are computed only if they are used.
     """
     units = written(_units(items, length), "units")
     words, windows = _rarest(index, units, rarest)
@@ -93,39 +97,36 @@ def search(index: PositionalIndex, items: DataFrame, length: int = 10, rarest: i
     runs = agreed.groupBy("doc_id", "key", "unit", "begins", "size").agg(F.array_sort(F.collect_set("place")).alias("places"))
     # places are sorted and distinct: a window begins where the list's entry size - 1 further on is size - 1 larger
     runs = runs.withColumn("windows", F.expr("filter(places, (p, i) -> get(places, i + size - 1) = p + size - 1)")).where(F.size("windows") > 0)
-    covered = F.expr("flatten(transform(windows, w -> sequence(w + begins, w + begins + size - 1)))")
-    phrases = runs.groupBy("doc_id", "key", "unit").agg(F.array_distinct(F.flatten(F.collect_list(covered))).alias("positions"))
+    covered = F.expr("array_distinct(flatten(transform(windows, w -> sequence(w + begins, w + begins + size - 1))))")
+    phrases = runs.select("doc_id", "key", "unit", "begins", covered.alias("positions"))
 
-    # beginnings that differ by slop at most: each counts in its own stretch and in the one before
-    stretch = F.floor(F.col("begins") / slop)
-    near = lists.withColumn("stretch", F.explode(F.array(stretch, stretch - 1))).groupBy("doc_id", "key", "unit", "stretch").agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
+    # a frame holds the beginnings from one to slop further on, each once, so it never has more than slop + 1 rows
+    ahead = Window.partitionBy("doc_id", "key", "unit").orderBy("begins").rangeBetween(0, slop)
+    near = lists.withColumn("found", F.array_distinct(F.flatten(F.collect_list("found").over(ahead))))
     near = near.join(needed, "unit").where(whole).select("doc_id", "key", "unit").distinct()
     ids = fitting(units.select("unit", "item"))
-    return phrases.join(ids, "unit"), near.join(ids, "unit")
+    return written(phrases.join(ids, "unit"), "phrases"), near.join(ids, "unit")
 
 
-def contamination(docs: DataFrame, items: DataFrame, length: int = 10, proximity: bool = False) -> DataFrame:
-    """One row per row of ``docs``: doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, and with ``proximity`` n_near_items.
+def contamination(docs: DataFrame, items: DataFrame, length: int = 10, slop: int = 20) -> DataFrame:
+    """One row per row of ``docs``: doc_id, key, n_words, n_hit, n_items, items_sha256, contaminated, n_near_items.
 
-    Null and empty texts have no words and no hits. Items with a null id hit
-    words, but are not counted or named. Other columns are left out.
+    ``n_near_items`` counts the items with a proximity match within ``slop``,
+    those with a phrase match among them. Null and empty texts have no words and
+    no hits. Items with a null id hit words, but are not counted or named. Other
+    columns are left out.
     """
     index = build_index(docs)
-    phrases, near = search(index, items, length)
-    sizes = index.postings.groupBy("doc_id", "key").agg((F.max("at") + 1).cast("long").alias("n_words"))
+    phrases, near = search(index, items, length, slop=slop)
+    sizes = index.postings.where("at = 0").groupBy("doc_id", "key").agg(F.max("n_words").cast("long").alias("n_words"))
+    hits = phrases.select("doc_id", "key", F.explode("positions").alias("position")).distinct().groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_hit"))
     ids: Column = F.array_join(F.sort_array(F.collect_set("item")), ",")
-    found = phrases.groupBy("doc_id", "key").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("positions")))).cast("long").alias("n_hit"),
-        F.size(F.collect_set("item")).cast("long").alias("n_items"),
-        F.sha2(ids, 256).alias("items_sha256"),
-    )
-    parts = [sizes, found]
-    if proximity:
-        parts.append(near.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("n_near_items")))
-    every = index.documents
-    out = every
-    for part in parts:
-        out = out.join(part, same(every, part, "doc_id", "key"), "left").drop(part["doc_id"]).drop(part["key"])
+    named = phrases.groupBy("doc_id", "key").agg(F.size(F.collect_set("item")).cast("long").alias("n_items"), F.sha2(ids, 256).alias("items_sha256"))
+    close = near.groupBy("doc_id", "key").agg(F.size(F.collect_set("item")).cast("long").alias("n_near_items"))
+    out = index.documents
+    for part in (sizes, hits, named, close):
+        part = part.withColumnsRenamed({"doc_id": "part_id", "key": "part_key"})
+        out = out.join(part, F.col("doc_id").eqNullSafe(F.col("part_id")) & (F.col("key") == F.col("part_key")), "left").drop("part_id", "part_key")
     zero = F.lit(0).cast("long")
     return out.select(
         "doc_id",
@@ -135,12 +136,13 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = 10, proximity
         F.coalesce("n_items", zero).alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         (F.coalesce("n_hit", zero) > 0).alias("contaminated"),
-        *([F.coalesce("n_near_items", zero).alias("n_near_items")] if proximity else []),
+        F.coalesce("n_near_items", zero).alias("n_near_items"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a window of ``items``, with all their columns."""
-    bad = contamination(docs, items, length).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key"))
+    phrases, _ = search(build_index(docs), items, length)
+    bad = phrases.select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key"))
     bad = fitting(written(bad.distinct(), "contaminated"))
     return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (row_key(text_of()) == F.col("bad_key")), "left_anti")

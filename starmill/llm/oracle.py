@@ -96,10 +96,29 @@ doc_windows AS (
 ),
 hits AS (SELECT doc_id, item, v.s AS s, d.n FROM doc_windows d JOIN item_windows i ON i.n = d.n AND i.words = v.words),
 places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
-named AS (SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hits GROUP BY doc_id)
+named AS (SELECT doc_id, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256 FROM hits GROUP BY doc_id),
+postings AS (SELECT doc_id, generate_subscripts(w, 1) - 1 AS at, unnest(w) AS term FROM docs),
+units AS (SELECT row_number() OVER () AS unit, item, w, n FROM (SELECT DISTINCT item, w, n FROM items)),
+unit_words AS (SELECT unit, generate_subscripts(w, 1) - 1 AS place, unnest(w) AS term FROM units),
+frequencies AS (SELECT term, count(*) AS f FROM postings WHERE term IN (SELECT term FROM unit_words) GROUP BY term),
+starts AS (SELECT unit, n, unnest(range(0, len(w) - n + 1)) AS s FROM units),
+ranked AS (
+  SELECT s.unit, s.s, u.place, u.term, min(coalesce(f, 0)) OVER (PARTITION BY s.unit, s.s) AS least,
+    row_number() OVER (PARTITION BY s.unit, s.s ORDER BY coalesce(f, 0), u.place) AS r
+  FROM starts s JOIN unit_words u ON u.unit = s.unit AND u.place >= s.s AND u.place < s.s + s.n LEFT JOIN frequencies f ON f.term = u.term
+),
+needs AS (SELECT DISTINCT unit, list(place ORDER BY place) AS places FROM ranked WHERE least > 0 AND r <= 3 GROUP BY unit, s),
+wanted AS (SELECT DISTINCT unit, place, term FROM ranked WHERE least > 0 AND r <= 3),
+beginnings AS (SELECT p.doc_id, w.unit, p.at - w.place AS b, w.place FROM postings p JOIN wanted w ON w.term = p.term),
+frames AS (SELECT doc_id, unit, list(place) OVER (PARTITION BY doc_id, unit ORDER BY b RANGE BETWEEN CURRENT ROW AND 20 FOLLOWING) AS found FROM beginnings),
+close AS (
+  SELECT doc_id, count(DISTINCT u.item) AS n_near_items
+  FROM (SELECT DISTINCT doc_id, unit, list_sort(list_distinct(found)) AS found FROM frames) f JOIN needs n ON n.unit = f.unit AND list_has_all(f.found, n.places) JOIN units u ON u.unit = f.unit
+  GROUP BY doc_id
+)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN named i ON i.doc_id = d.doc_id"""
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
+FROM docs d LEFT JOIN places p ON p.doc_id = d.doc_id LEFT JOIN named i ON i.doc_id = d.doc_id LEFT JOIN close c ON c.doc_id = d.doc_id"""
 
 # -- WARC --------------------------------------------------------------------
 

@@ -6,7 +6,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -85,6 +85,31 @@ def contamination(texts, items, length=10):
     return out
 
 
+def near_items(texts, items, length=10, rarest=3, slop=20):
+    """Items of which some window's rarest words stand in a text so that the beginnings they speak for differ by ``slop`` at most."""
+    counts = Counter(w for t in texts for w in words(t))
+    needs = defaultdict(set)
+    for item, text in items:
+        w = words(text)
+        n = min(len(w), length)
+        for i in range(len(w) - n + 1 if n else 0):
+            if all(counts[w[j]] for j in range(i, i + n)):
+                needs[item, tuple(w)].add(tuple(sorted(range(i, i + n), key=lambda j: (counts[w[j]], j))[:rarest]))
+    out = []
+    for text in texts:
+        at = defaultdict(list)
+        for p, w in enumerate(words(text)):
+            at[w].append(p)
+        found = set()
+        for (item, w), places in needs.items():
+            for need in places:
+                firsts = {p - j for j in need for p in at[w[j]]}
+                if any(all(any(b <= p - j <= b + slop for p in at[w[j]]) for j in need) for b in firsts):
+                    found.add(item)
+        out.append(len({str(x) for x in found if x is not None}))
+    return out
+
+
 def payload(html):
     data = (html or "").encode()
     return len(data), base64.b32encode(hashlib.sha1(data).digest()).decode()
