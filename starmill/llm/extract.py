@@ -3,10 +3,16 @@
 A page's text blocks are grouped by their path of block-level tags from the
 root. A path's ratio is its text length per block, another its punctuation per
 block; each is smoothed over the page's blocks in order, and both are fused
-into one weight. Blocks whose weight passes a threshold set from the spread of
-the weights are content. The main region is the element that holds most of
-them; short blocks in it are kept with it. Elements that by their tag, class,
-id or role are navigation, adverts, notices, forms or comments take no part.
+into one weight, together with the path's ratios before smoothing. Blocks whose
+weight passes a threshold, set from the mean weight of the page's text, are
+content, and so is what stands in one element with them, such as headings and
+short paragraphs. Article and main elements are content as a whole.
+
+Elements that are navigation, headers, footers, sidebars, forms or dialogs by
+their tag take no part. Words of class, id and role attributes that say so are
+evidence against an element: it is left out unless no article stands free of
+such marks and it holds more than half of the page's weighted text, as a wrapper
+does; reader comments are left out unless there is nothing else.
 """
 
 from __future__ import annotations
@@ -41,44 +47,72 @@ _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr",
 _REGIONS = ("article", "main")
 
 
+#: Those of them that mark what readers wrote, and words around them that say something else.
+COMMENTS = frozenset("comment comments reply replies disqus respond discussion".split())
+_BEFORE, _AFTER = frozenset("no has with without".split()), frozenset("open closed enabled disabled".split())
+#: Elements of running text: what holds them is one piece of content with them.
+_RUNNING = frozenset("p li dt dd ul ol dl blockquote h1 h2 h3 h4 h5 h6 hgroup table caption thead tbody tfoot tr td th figure figcaption pre details summary address".split())
+
+
+@dataclass
+class Element:
+    parent: int
+    tag: str
+    #: Number of its path: the same for all elements with the same tags from the root.
+    path: int
+    cut: bool
+    mark: str
+
+
 @dataclass
 class Block:
     text: str
-    #: Names of the block-level elements from the root, and their numbers on the page.
-    path: tuple[str, ...]
-    nodes: tuple[int, ...]
+    #: Number of its element on the page, and of the element's path.
+    node: int
+    path: int
 
 
-def _marked(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-    if tag in ASIDE:
-        return True
-    if tag in ("html", "body", "article", "main"):
-        # a page or an article is not dropped for a class of its theme, unless it is a comment
-        return tag in ("article", "main") and any(k in ("class", "id") and {"comment", "comments", "reply"} & set(re.split(r"[^a-z0-9]+", (v or "").lower())) for k, v in attributes)
+def _mark(tag: str, attributes: list[tuple[str, str | None]]) -> str:
+    """What an element's attributes say against it: "comment", "mark" or nothing."""
+    if tag in ("html", "body"):
+        return ""
+    words = set()
     for key, value in attributes:
-        if key in ("class", "id", "role") and MARKS & set(re.split(r"[^a-z0-9]+", (value or "").lower())):
-            return True
-        if key == "hidden" or (key == "aria-hidden" and value == "true"):
-            return True
-    return False
+        if key in ("class", "id", "role"):
+            for name in (value or "").lower().split():
+                parts = [x for x in re.split(r"[^a-z0-9]+", name) if x]
+                if parts and not (len(parts) > 1 and (parts[0] in _BEFORE or parts[-1] in _AFTER)):
+                    words.update(parts)
+    if words & COMMENTS:
+        return "comment"
+    # an article is left out for being a comment only
+    return "mark" if words & MARKS and tag not in _REGIONS else ""
+
+
+def _hidden(attributes: list[tuple[str, str | None]]) -> bool:
+    return any(key == "hidden" or (key == "aria-hidden" and value == "true") for key, value in attributes)
 
 
 class _Blocks(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
-        self.open: list[tuple[str, int, bool]] = []  # tag, number, left out
+        self.elements = [Element(-1, "", 0, False, "")]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.open = [0]  # numbers of the open elements, the page itself first
+        self.held: Counter = Counter()  # open elements by tag
         self.words: list[str] = []
-        self.count = 0
 
     def flush(self) -> None:
         text = " ".join("".join(self.words).split())
         self.words = []
-        if text and not (self.open and self.open[-1][2]):
-            self.blocks.append(Block(text, tuple(t for t, _, _ in self.open), tuple(n for _, n, _ in self.open)))
+        node = self.open[-1]
+        if text and not self.elements[node].cut:
+            self.blocks.append(Block(text, node, self.elements[node].path))
 
     def handle_starttag(self, tag: str, attributes: list) -> None:
-        if tag in INLINE and not _marked(tag, attributes):
+        mark, hidden = _mark(tag, attributes), tag not in ("html", "body") and _hidden(attributes)
+        if tag in INLINE and not mark and not hidden:
             if tag == "br":
                 self.words.append(" ")
             return
@@ -88,32 +122,39 @@ class _Blocks(HTMLParser):
             return
         self.flush()
         closes = _SIBLINGS.get(tag, ()) + (("p",) if tag in _ENDS_P else ())
-        if closes:
+        if any(self.held[t] for t in closes):
             self._close(lambda t: t in closes, within=tag in _SIBLINGS)
-        out = bool(self.open and self.open[-1][2]) or tag in SILENT or _marked(tag, attributes)
-        self.count += 1
-        self.open.append((tag, self.count, out))
+        parent = self.elements[self.open[-1]]
+        path = self.paths.setdefault((parent.path, tag), len(self.paths) + 1)
+        self.elements.append(Element(self.open[-1], tag, path, parent.cut or hidden or tag in SILENT or tag in ASIDE, mark))
+        self.open.append(len(self.elements) - 1)
+        self.held[tag] += 1
 
     def handle_startendtag(self, tag: str, attributes: list) -> None:
         self.handle_starttag(tag, attributes)
 
+    def _leave(self, i: int) -> None:
+        self.flush()
+        for node in self.open[i:]:
+            self.held[self.elements[node].tag] -= 1
+        del self.open[i:]
+
     def _close(self, fits, within: bool = False) -> None:  # type: ignore[no-untyped-def]
         """Closes the innermost fitting element, unless a container stands between."""
-        for i in range(len(self.open) - 1, -1, -1):
-            if fits(self.open[i][0]):
-                self.flush()
-                del self.open[i:]
+        for i in range(len(self.open) - 1, 0, -1):
+            tag = self.elements[self.open[i]].tag
+            if fits(tag):
+                self._leave(i)
                 return
-            if self.open[i][0] in ("ul", "ol", "dl", "table") if within else self.open[i][0] in ("table", "td", "th", "button", "object"):
+            if tag in ("ul", "ol", "dl", "table") if within else tag in ("table", "td", "th", "button", "object"):
                 return
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in VOID:
+        if tag in VOID or not self.held[tag]:
             return
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                self.flush()
-                del self.open[i:]
+        for i in range(len(self.open) - 1, 0, -1):
+            if self.elements[self.open[i]].tag == tag:
+                self._leave(i)
                 return
 
     def handle_data(self, data: str) -> None:
@@ -124,11 +165,12 @@ class _Blocks(HTMLParser):
         self.flush()
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str) -> tuple[list[Block], list[Element]]:
+    """Text blocks in page order, and all elements by number; a parent comes before its children."""
     parser = _Blocks()
     parser.feed(html)
     parser.close()
-    return parser.blocks
+    return parser.blocks, parser.elements
 
 
 def _smoothed(x: np.ndarray, reach: int = 2) -> np.ndarray:
@@ -141,45 +183,73 @@ _MARKS = re.compile(r"[^\w\s]")
 
 
 def path_weights(blocks: list[Block]) -> np.ndarray:
-    """Fused weight of every block: smoothed text per block of its path times smoothed punctuation per block."""
+    """Fused weight of every block: text per block of its path times punctuation per block, before and after smoothing."""
     text, marks, nodes = Counter(), Counter(), Counter()
     for b in blocks:
         text[b.path] += len(b.text)
         marks[b.path] += len(_MARKS.findall(b.text))
         nodes[b.path] += 1
-    ratio = _smoothed(np.array([text[b.path] / nodes[b.path] for b in blocks]))
-    dots = _smoothed(np.array([marks[b.path] / nodes[b.path] for b in blocks]))
-    return ratio * (1 + dots)
+    ratio = np.array([text[b.path] / nodes[b.path] for b in blocks])
+    dots = np.array([marks[b.path] / nodes[b.path] for b in blocks])
+    return np.sqrt(ratio * (1 + dots) * _smoothed(ratio) * (1 + _smoothed(dots)))
+
+
+def _left_out(blocks: list[Block], elements: list[Element]) -> list[bool]:
+    """For every element, whether it or one around it is marked and no wrapper of the page's text.
+
+    Where an article with text stands free of marks, nothing marked is a wrapper.
+    """
+    held = [0.0] * len(elements)
+    for b, weight in zip(blocks, path_weights(blocks), strict=True):
+        held[b.node] += float(weight) * len(b.text)
+    for node in range(len(elements) - 1, 0, -1):
+        held[elements[node].parent] += held[node]
+    under = [False] * len(elements)  # marked, or in something marked
+    for node, e in enumerate(elements[1:], 1):
+        under[node] = under[e.parent] or bool(e.mark)
+    if any(e.tag in _REGIONS and held[node] and not under[node] for node, e in enumerate(elements)):
+        return under
+    out = [False] * len(elements)
+    for node, e in enumerate(elements[1:], 1):
+        enough = 1 - 1e-9 if e.mark == "comment" else 0.5
+        out[node] = out[e.parent] or (bool(e.mark) and held[node] <= enough * held[0])
+    return out
 
 
 def main_text(html: str, spread: float = 0.5) -> str:
-    """Blocks of the main region in page order, two line feeds between them; empty if a page has no text."""
-    blocks = blocks_of(html)
+    """Blocks of content in page order, two line feeds between them; empty if a page has no text.
+
+    ``spread`` is the share of the text's mean weight that a block must reach.
+    """
+    blocks, elements = blocks_of(html)
+    if not blocks:
+        return ""
+    out = _left_out(blocks, elements)
+    blocks = [b for b in blocks if not out[b.node]]
     if not blocks:
         return ""
-    weights = path_weights(blocks)
-    content = weights >= min(spread * weights.std(), weights.max())
-    # text of content by element; the region is an article or else the deepest element that holds nearly all of it
-    held: Counter = Counter()
-    depth, names = {}, {}
+    weights, sizes = path_weights(blocks), np.array([len(b.text) for b in blocks])
+    content = weights >= spread * (weights * sizes).sum() / sizes.sum()
+    kept = [e.tag in _REGIONS for e in elements]
     for b, chosen in zip(blocks, content, strict=True):
-        for d, (node, name) in enumerate(zip(b.nodes, b.path, strict=True)):
-            depth[node], names[node] = d, name
-            held[node] += len(b.text) if chosen else 0
-    total = sum(len(b.text) for b, chosen in zip(blocks, content, strict=True) if chosen)
-    regions = [n for n, name in names.items() if name in _REGIONS and held[n] >= 0.3 * total]
-    if regions:
-        # outermost regions; a page may have several articles
-        inner = {n for b in blocks for i, n in enumerate(b.nodes) if n in regions and any(m in regions for m in b.nodes[:i])}
-        kept = set(regions) - inner
-    else:
-        wide = [n for n in held if held[n] >= 0.75 * total and names[n] not in ("p", "li", "blockquote", "h1", "h2", "h3")]
-        kept = {max(wide, key=lambda n: depth[n])} if wide else None
-    return "\n\n".join(b.text for b in blocks if kept is None or kept & set(b.nodes))
+        if chosen:
+            node = b.node
+            while elements[node].tag in _RUNNING:
+                node = elements[node].parent
+            # beside an article, a block is kept for itself; text that lies bare in the page takes its neighbours along
+            kept[node if elements[node].tag not in ("", "html", "body") or not any(kept) else b.node] = True
+    for node, e in enumerate(elements[1:], 1):
+        kept[node] = kept[node] or kept[e.parent]
+    return "\n\n".join(b.text for b in blocks if kept[b.node])
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars. Null html is empty; other columns are left out."""
+    """One row per page: page_id, url, text, n_chars.
+
+    Null html, an empty page and a page without text give an empty text.
+    Repeated rows each give theirs; an empty table gives none. Whole pages are
+    read, however long or deep. Other columns are left out.
+    """
     thin = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

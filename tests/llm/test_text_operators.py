@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import brute
@@ -360,6 +361,48 @@ def test_main_text(spark):
     assert extract.main_text("<div>" * 3000 + "deep") == "deep" and extract.main_text("<" * 5000).strip("<") == ""
 
 
+TEXT = "Some prose, with commas, that goes on for a while. It has full stops, too; and more."
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "has-sidebar", "content-sidebar-wrap", "post no-comments", "with-header", "search-results", "comments-open"])
+@pytest.mark.parametrize("inner", [f"<article><p>{TEXT}</p></article>", f"<p>{TEXT}</p>"])
+def test_wrappers_with_marked_names_keep_their_text(name, inner):
+    side = "<div class='sidebar'>See also</div>"
+    assert extract.main_text(f"<body><div class='{name}'>{side}{inner}</div></body>") == TEXT
+    assert extract.main_text(f"<body><div id=top>Home | Us</div><div class='{name}'>{inner}{side}</div></body>") == TEXT
+
+
+def test_all_content_elements_are_kept():
+    parts = [f"{i}. {TEXT}" for i in range(4)]
+    articles = "<article>" + "".join(f"<p>{t}" for t in parts[:3]) + f"</article><article><p>{parts[3]}</article>"
+    assert extract.main_text(f"<body>{articles}</body>") == "\n\n".join(parts)
+    divs = "<div>" + "".join(f"<p>{t}</p>" for t in parts[:3]) + f"</div><div><h2>Last</h2><p>{parts[3]}</p></div>"
+    page = f"<body><div><a href=/>Home</a> | <a href=/x>X</a></div><div>{divs}</div><div>(c) us</div></body>"
+    assert extract.main_text(page) == "\n\n".join([*parts[:3], "Last", parts[3]])
+    # an advert that outweighs a short article, and comments that outweigh all
+    assert extract.main_text(f"<body><div class=ad>{TEXT * 5}</div><article><p>Short.</article></body>") == "Short."
+    assert extract.main_text(f"<body><div><p>{TEXT}</div><div id=comments><p>{TEXT * 5}</div></body>") == TEXT
+
+
+def test_weights_select(monkeypatch):
+    """Pages without article elements: weights drawn at random give other texts on most of them."""
+    rng = random.Random(5)
+    pages = []
+    for _ in range(40):
+        short = ["".join(f"<div><a href=/>{rng.choice(['Home', 'Top 10', 'All of it'])}</a></div>" for _ in range(rng.randint(1, 4))) for _ in range(2)]
+        pages.append((f"<body><div>{short[0]}</div><div><div><h1>Title</h1>" + "".join(f"<p>{TEXT * rng.randint(1, 4)}</p>" for _ in range(rng.randint(2, 6))) + f"</div></div><div>{short[1]}</div></body>"))
+    texts = [extract.main_text(p) for p in pages]
+    assert all(t.startswith("Title\n\nSome") and t.endswith("more.") for t in texts)
+    monkeypatch.setattr(extract, "path_weights", lambda blocks: np.array([rng.random() for _ in blocks]))
+    assert sum(extract.main_text(p) != t for p, t in zip(pages, texts, strict=True)) > 30
+
+
+def test_very_deep_pages():
+    began = time.perf_counter()
+    assert extract.main_text("<div>" * 20_000 + "deep" + "</div>" * 20_000) == "deep"
+    assert time.perf_counter() - began < 2
+
+
 # -- packing -----------------------------------------------------------------
 
 
