@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starmill.llm.common import map_arrow, written
+from starmill.llm.common import fitting, map_arrow, written
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, part int, place long"
 
@@ -137,9 +137,12 @@ def pack(docs: DataFrame, tokenizer_path: str, longest: int = 2048, end: int = 1
         raise ValueError(f"not a power of two: {longest}")
     thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     pieces = written(map_arrow(thin, lambda batches: _pieces(batches, tokenizer_path, longest, end), PIECES), "pieces")
-    # one row per task and length: at most twelve for each task of the write
-    shares = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
-    order = W.orderBy(F.desc("length"), "part").rowsBetween(W.unboundedPreceding, -1)
-    first = shares.select("length", "part", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("first"))
-    out = pieces.join(F.broadcast(first), ["length", "part"])
+    # one row per task and length; the tasks are added up within each length, and the few lengths among each other
+    shares = written(pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")), "shares")
+    before = W.unboundedPreceding, -1
+    longer = shares.groupBy("length").agg(F.sum("n").alias("n")).select("length", F.coalesce(F.sum("n").over(W.orderBy(F.desc("length")).rowsBetween(*before)), F.lit(0)).alias("longer"))
+    earlier = F.coalesce(F.sum("n").over(W.partitionBy("length").orderBy("part").rowsBetween(*before)), F.lit(0))
+    first = shares.select("length", "part", earlier.alias("earlier")).join(F.broadcast(longer), "length")  # a row for each power of two up to the longest
+    first = fitting(written(first.select("length", "part", (F.col("longer") + F.col("earlier")).alias("first")), "first-sequences"))
+    out = pieces.join(first, ["length", "part"])
     return out.select("doc_id", "start", "length", "ids", "doc_tokens", (F.col("first") + F.col("place")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
