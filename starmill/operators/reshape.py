@@ -14,8 +14,9 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     """The row with the greatest ``order_by`` values per key; NULL is the smallest value.
 
     A ``max`` over one struct instead of a ranking window: each task keeps one
-    row per key before the shuffle, so a key with very many rows costs nothing
-    extra. The remaining columns break ties, which makes the result definite.
+    row per key before the shuffle, so no task gets all rows of a key. Structs
+    can't be kept in a hash aggregation, so each task sorts its rows by key
+    first. The remaining columns break ties, which makes the result definite.
     """
     rest = [c for c in df.columns if c not in keys and c not in order_by]
     best = F.max(F.struct(*order_by, *rest)).alias("_best")
