@@ -56,11 +56,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pitch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged columns that come from orders alone, with the source keys."""
+def pitch_columns(orders: DataFrame, *others: str) -> DataFrame:
+    """Staged columns that come from ``numbered_orders`` alone, with the source keys and the columns ``others``."""
     key, deal = F.col("o_orderkey"), F.col("o_orderstatus") != "O"
     year, month = F.year("day"), F.month("day")
-    return numbered_orders(spark, sf_dir).select(
+    return orders.select(
         key,
         "o_custkey",
         (year - 1994).alias("season_number"),
@@ -77,37 +77,47 @@ def pitch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(deal & (key % 11 == 0), F.lit(2.5)).alias("advisory_shares_equity"),
         F.lit(None).cast("double").alias("loan"),
         F.when(deal & (key % 7 == 0), F.lit(True)).alias("deal_has_conditions"),
+        *others,
     )
 
 
+def pitch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitch_columns(numbered_orders(spark, sf_dir))
+
+
 def line_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per order: amount and equity of each main investor, and of the guests together."""
-    lines = read(spark, sf_dir, "lineitem")
-    group = F.col("l_suppkey") % 10
+    """Per order: amount and equity of each main investor, and of the guests together.
+
+    The lines are dealt out by order as they are, four numbers each, and added up
+    by order and investor where they arrive: a row of sums for all investors is
+    ten times as wide as a line, and a task that reads lines in no order would
+    send one for nearly each of them.
+    """
+    lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    group, guest = F.col("l_suppkey") % 10, min(GUESTS)
+    # a guest is one bit of a number: a hash aggregation can't hold texts
+    bit = F.when(group >= guest, F.call_function("shiftleft", F.lit(1), group.cast("int"))).otherwise(F.lit(0))
+    dealt = lines.repartition("l_orderkey").select("l_orderkey", F.when(group >= guest, guest).otherwise(group).alias("investor"), bit.alias("guests"), "l_extendedprice", "l_quantity")
+    total = lambda value: F.sum(F.col(value).cast(MONEY)).cast("double")
+    sums = dealt.groupBy("l_orderkey", "investor").agg(
+        total("l_extendedprice").alias("amount"), total("l_quantity").alias("equity"), F.bit_or("guests").alias("guests")
+    )
     columns: list[Column] = []
-
-    def total(mine: Column, value: str, name: str) -> Column:
-        return F.sum(F.when(mine, F.col(value).cast(MONEY))).cast("double").alias(name)
-
-    for i, _ in enumerate(INVESTORS):
-        columns.append(total(group == i, "l_extendedprice", f"investor_{i}_investment_amount"))
-        columns.append(total(group == i, "l_quantity", f"investor_{i}_investment_equity"))
-    guest = group >= min(GUESTS)
-    columns.append(total(guest, "l_extendedprice", "guest_investment_amount"))
-    columns.append(total(guest, "l_quantity", "guest_investment_equity"))
-    # flags, not names, in the aggregation: a hash aggregation can't hold texts
-    columns += [F.max(group == i).alias(f"has_{i}") for i in GUESTS]
-    per_order = lines.groupBy("l_orderkey").agg(*columns)
-    texts = [F.when(F.col(f"has_{i}"), F.lit(f"Guest {i}")) for i in GUESTS]
+    for i, investor in enumerate([*[f"investor_{i}" for i, _ in enumerate(INVESTORS)], "guest"]):
+        for what in ("amount", "equity"):
+            columns.append(F.max(F.when(F.col("investor") == i, F.col(what))).alias(f"{investor}_investment_{what}"))
+    per_order = sums.groupBy("l_orderkey").agg(*columns, F.bit_or("guests").alias("guests"))
+    texts = [F.when(F.col("guests").bitwiseAND(F.lit(1 << i)) != 0, F.lit(f"Guest {i}")) for i in GUESTS]
     names = F.nullif(F.concat_ws(", and ", *texts), F.lit(""))
-    return per_order.withColumn("guest_name", names).drop(*[f"has_{i}" for i in GUESTS])
+    return per_order.withColumn("guest_name", names).drop("guests")
 
 
 def invested_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pitch_rows`` with the investor columns, which are empty where there was no deal."""
-    pitches, measures = pitch_rows(spark, sf_dir), line_measures(spark, sf_dir)
-    on = (pitches["o_orderkey"] == measures["l_orderkey"]) & pitches["got_deal"]
-    return pitches.join(measures, on, "left").drop("l_orderkey")
+    # the order's own few columns are dealt out, and what comes from them is made after the join
+    orders, measures = numbered_orders(spark, sf_dir), line_measures(spark, sf_dir)
+    on = (orders["o_orderkey"] == measures["l_orderkey"]) & (orders["o_orderstatus"] != "O")
+    return pitch_columns(orders.join(measures, on, "left"), *[c for c in measures.columns if c != "l_orderkey"])
 
 
 def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -218,9 +228,9 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
 def build_star(spark: SparkSession, sf_dir: str) -> Star:
     keyed = written(with_keys(invested_rows(spark, sf_dir)), "pitches")
-    # by season, as in a warehouse
-    pitches = written(pitch_fact(keyed).hint("rebalance", "season_id"), "pitch-fact", by="season_id")
-    deals = written(deal_fact(keyed).hint("rebalance", "season_id"), "deals", by="season_id")
+    # by season, as in a warehouse; each task writes its rows of a season, so no row is shuffled for that
+    pitches = written(pitch_fact(keyed), "pitch-fact", by="season_id")
+    deals = written(deal_fact(keyed), "deals", by="season_id")
     episodes = written(episode_dim(keyed), "episodes")
     seasons = written(season_dim(keyed), "seasons")
     first, last = keyed.agg(F.min(F.year("season_start")), F.max(F.year("season_end"))).first()
