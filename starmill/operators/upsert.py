@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.clean import fold_key
 from starmill.operators.keys import assign_keys, max_key
+from starmill.operators.lookup import broadcast_limit, estimated_bytes
 from starmill.operators.reshape import latest_per_key
 from starmill.session import written
 
@@ -104,8 +105,10 @@ def upsert_type1(
         *[F.col(c).alias(f"_kept_{c}") for c in keep_on_match],
         *([F.col(first_col).alias("_first")] if first_col else []),
     )
-    wanted = source.select(*[c.alias(n) for n, c in source_keys.items()]).distinct()
-    hits = known.join(wanted, folded, "left_semi")
+    wanted = source.select(*[c.alias(n) for n, c in source_keys.items()])
+    # a source that is broadcast leaves few keys of the target; one that is not would only be shuffled once more
+    small = estimated_bytes(wanted) <= broadcast_limit(wanted)
+    hits = known.join(wanted.distinct(), folded, "left_semi") if small else known
 
     src = one_row_per_key(source.withColumns(source_keys), folded, on_duplicate, order_by)
     matched = src.join(hits, folded, "left").withColumn(stamp_col, stamp)

@@ -374,9 +374,9 @@ def upsert_pitch(spark, sf_dir):
 
 @query
 def upsert_deal(spark, sf_dir):
-    star = feed.star(spark, sf_dir)
-    season = star.pitches.select("pitch_id", F.expr(f"episode_id DIV {feed.SEASON} AS season_number"))
-    rows = star.deals.join(season, "pitch_id").withColumn("k", F.col("pitch_id") * 10 + F.col("shark_id"))
+    # a deal has the episode of its pitch, so the facts need not be joined for the season
+    deals = feed.star(spark, sf_dir).deals.withColumn("season_number", F.expr(f"episode_id DIV {feed.SEASON}"))
+    rows = deals.withColumn("k", F.col("pitch_id") * 10 + F.col("shark_id"))
     amount, equity = F.col("investment_amount"), F.col("investment_equity_pct")
     old = {"investment_amount": amount, "investment_equity_pct": equity}
     new = {"investment_amount": amount * 2, "investment_equity_pct": F.lit(None).cast("double")}

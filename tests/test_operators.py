@@ -156,6 +156,27 @@ def test_upsert_of_a_small_source(spark, rows):
     assert rows(result.table(), "id", "attribute") == [(1, "x"), (2, "b"), (3, "z"), (4, "n")]
 
 
+def test_a_source_too_large_to_broadcast_is_dealt_out_once(spark, rows, monkeypatch):
+    """Its keys were also dealt out on their own, to thin out the target's."""
+    import starmill.operators.upsert as module
+
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        return written(df, label)
+
+    monkeypatch.setattr(module, "written", seen)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = upsert(spark, [("beta", "b", 1), ("new", "n", 2)])
+        assert rows(result.table(), "id", "attribute") == [(1, "x"), (2, "b"), (3, "z"), (4, "n")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert plans["matched"].count("Exchange") == 2
+
+
 def test_upsert_duplicates(spark, rows):
     twice = [("new", "first", 1), ("NEW", "second", 2)]
     with pytest.raises(Exception, match="more than one source row"):
