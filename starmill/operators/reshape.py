@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,38 +26,29 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return picked.select([F.col(c) if c in keys else F.col(f"_best.{c}").alias(c) for c in df.columns])
 
 
-def _same_parent(left: DataFrame, right: DataFrame, columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
-
-
 def ordinal_within(df: DataFrame, parent: Sequence[str], order_by: Sequence[str], name: str) -> DataFrame:
     """Position 1, 2, ... of each row within its parent, for parents of any size.
 
-    The rows are range-partitioned by parent and order, so a large parent lies
-    in several neighbouring partitions. Each task numbers its own stretch, and
-    what the earlier partitions hold of the same parent is added. Only the
-    first parent of a partition can have such rows, so there is at most one
-    offset per partition.
+    The rows are range-partitioned and sorted by parent and order, so a large
+    parent lies in several neighbouring partitions, and written once with their
+    partition and place in it. Where a parent begins in a partition, and what
+    the earlier ones hold of it, is one row for each of its stretches; the rows
+    themselves are not dealt out again.
     """
-    spread = df.repartitionByRange(*parent, *order_by).withColumn("_part", F.spark_partition_id())
-    placed = written(spread, "ordinal")
+    spread = df.repartitionByRange(*parent, *order_by).sortWithinPartitions(*parent, *order_by)
+    placed = written(spread.withColumns({"_part": F.spark_partition_id(), "_place": F.monotonically_increasing_id()}), "ordinal")
     stretch = [*parent, "_part"]
-    in_stretch = F.row_number().over(Window.partitionBy(*stretch).orderBy(*order_by))
     earlier = Window.partitionBy(*parent).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    begins = (
         placed.groupBy(*stretch)
-        .count()
-        .withColumn("_before", F.sum("count").over(earlier))
-        .filter(F.col("_before") > 0)
-        .select(*stretch, "_before")
+        .agg(F.min("_place").alias("_begin"), F.count(F.lit(1)).alias("_n"))
+        .withColumn("_shift", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_begin") + 1)
+        .select(*[F.col(c).alias(f"_of_{c}") for c in stretch], "_shift")
     )
-    numbered = placed.withColumn("_local", in_stretch)
-    joined = numbered.join(F.broadcast(offsets), _same_parent(numbered, offsets, stretch), "left")
-    ordinal = (numbered["_local"] + F.coalesce(offsets["_before"], F.lit(0))).cast("int").alias(name)
-    return joined.select(*[numbered[c] for c in df.columns], ordinal)
+    begins = written(begins, "ordinal-begins")  # so that its size is known, and few are broadcast
+    own = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in stretch]
+    joined = placed.join(begins, reduce(and_, own))
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("int").alias(name))
 
 
 def unpivot_measures(

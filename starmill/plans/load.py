@@ -380,7 +380,7 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
     resolved = written(resolve_keys(stage, warehouse.table("dim_business"), episodes), "resolved")
 
     with ThreadPoolExecutor() as pool:
-        pitches, pitches_written = upsert_table(warehouse, "fact_pitch", pitch_source(resolved, config), at, pool)
+        pitches, pitches_written = upsert_table(warehouse, "fact_pitch", pitch_source(resolved, config), at, pool, resolved)
         deals = deal_source(pitches.found, warehouse.table("dim_shark"), config)
         latest = {"on_duplicate": "latest", "order_by": ["investment_amount"]} if config.on_duplicate == "latest" else {}
         _, deals_written = upsert_table(warehouse, "fact_deal_shark", deals, at, pool, pitches.found, **latest)
