@@ -34,26 +34,27 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return pairs.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct()
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of the edges (u, v), u > v, has one edge to a smaller node and none to a larger one, or only the latter."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("smaller"), F.lit(0).alias("larger"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("smaller"), F.lit(1).alias("larger")))
+    ends = ends.groupBy("node").agg(F.sum("smaller").alias("smaller"), F.max("larger").alias("larger"))
+    return ends.where("smaller + larger > 1").isEmpty()
 
 
 def connected_components(links: DataFrame, longest: int = 100) -> DataFrame:
     """node, component (its smallest node) for every node of ``links`` (u, v); links to oneself say nothing.
 
     Each round is written to the shared folder, so that no round repeats the
-    ones before it. The rounds needed grow with the logarithm of the nodes.
+    ones before it. The rounds needed grow with the logarithm of the nodes;
+    links that are stars need none.
     """
-    edges = written(links.select("u", "v").where(F.col("u") != F.col("v")).distinct(), "links")
-    before = _mark(edges)
+    edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where(F.col("u") != F.col("v"))
+    edges = written(edges.distinct(), "links")
     for _ in range(longest):
-        if not before[0]:
+        if _are_stars(edges):
             break
         edges = written(_small_star(_large_star(edges)), "stars")
-        after = _mark(edges)
-        if after == before:
-            break
-        before = after
     else:
         raise RuntimeError(f"no stars after {longest} rounds")
     ends = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
@@ -61,6 +62,22 @@ def connected_components(links: DataFrame, longest: int = 100) -> DataFrame:
     return ends.unionByName(roots)
 
 
+def with_links(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """``groups`` (node, component) once they are joined by ``links`` (u, v) as well.
+
+    The links between components are what goes through the rounds, however
+    large the components are: a component's name is its smallest node, and that
+    of joined ones the smallest of their names.
+    """
+    named = fitting(written(groups, "groups"))
+    side = lambda x: named.select(F.col("node").alias(x), F.col("component").alias(f"of_{x}"))
+    between = links.join(side("u"), "u", "left").join(side("v"), "v", "left")
+    between = between.select(F.coalesce("of_u", "u").alias("u"), F.coalesce("of_v", "v").alias("v"))
+    joined = fitting(written(connected_components(between), "joined-components"))
+    into = joined.select(F.col("node").alias("component"), F.col("component").alias("into"))
+    before = named.join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+    # a node that has been alone so far is its own name
+    return written(before.unionByName(joined.join(named.select("node"), "node", "left_anti").select("node", "component")), "groups-joined")
 
 
 def link_buckets(
@@ -90,12 +107,10 @@ def link_buckets(
     to_least = members.join(fitting(buckets), "bucket").where("doc_id > least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
     stars = written(likely(to_least), "star-pairs")
     first = stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = written(confirm(first), "links-first")
-    groups = connected_components(links)
+    groups = connected_components(written(confirm(first), "links-first"))
     more = written(_across(stars.join(first, ["a", "b"], "left_anti"), groups), "more-pairs")
     if not more.isEmpty():
-        links = links.unionByName(written(confirm(more), "links-more"))
-        groups = connected_components(links)
+        groups = with_links(groups, written(confirm(more), "links-more"))
 
     shared = members.join(fitting(buckets.where("n > 2").select("bucket")), "bucket")
     shared = written(_mixed(shared, groups), "mixed-buckets")
@@ -105,11 +120,12 @@ def link_buckets(
     to_hub = hubs.select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b")).distinct()
     more = written(confirm(written(likely(to_hub.join(stars, ["a", "b"], "left_anti")), "hub-pairs")), "links-hubs")
     if not more.isEmpty():
-        links = links.unionByName(more)
-        groups = connected_components(links)
-        # a component's name is one of its nodes, so it is what has to be looked up
+        groups = with_links(groups, more)
+        # a component's name is one of its nodes, so it is what has to be looked up: once for a bucket, and for members only where a bucket is still mixed
         joined = fitting(written(groups.select(F.col("node").alias("component"), F.col("component").alias("into")), "joined-components"))
-        shared = _in_mixed_buckets(shared.join(joined, "component", "left").select("bucket", "doc_id", F.coalesce("into", "component").alias("component")))
+        renamed = lambda df, *columns: df.join(joined, "component", "left").select(*columns, F.coalesce("into", "component").alias("component"))
+        still = renamed(shared.select("bucket", "component").distinct(), "bucket")
+        shared = renamed(shared.join(_mixed_ids(still), "bucket"), "bucket", "doc_id")
     nodes = written(shared.groupBy("doc_id", "component").agg(F.collect_set("bucket").alias("buckets")), "mixed-members")
     if nodes.isEmpty():
         return written(groups, "components")
@@ -124,7 +140,7 @@ def link_buckets(
     rest = each.alias("x").join(each.alias("y"), apart).select(F.col("x.doc_id").alias("a"), F.col("y.doc_id").alias("b"))
     rest = rest.join(stars, ["a", "b"], "left_anti")
     last = written(confirm(written(likely(rest), "rest-pairs")), "links-last")
-    return written(connected_components(links.unionByName(last)), "components")
+    return with_links(groups, last)
 
 
 def _across(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -141,6 +157,11 @@ def _mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
     return _in_mixed_buckets(members.join(ends, "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")))
 
 
-def _in_mixed_buckets(named: DataFrame) -> DataFrame:
+def _mixed_ids(named: DataFrame) -> DataFrame:
+    """The buckets of (bucket, component) that lie in several components."""
     mixed = named.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    return named.join(fitting(written(mixed, "mixed-bucket-ids")), "bucket")
+    return fitting(written(mixed, "mixed-bucket-ids"))
+
+
+def _in_mixed_buckets(named: DataFrame) -> DataFrame:
+    return named.join(_mixed_ids(named), "bucket")

@@ -78,13 +78,27 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Queries inside the block remove their shuffle files when they end, and not when the driver's memory is next cleaned."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def written(df: DataFrame, label: str, path: str | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder, in folders by the column ``by``, and read it back.
 
     Cuts the lineage in a way that survives lost executors, keeps column
     pruning for later passes, and pins values that a second run of the plan
-    could give differently (partition ids, row positions).
+    could give differently (partition ids, row positions). The shuffles behind
+    it are of no more use once it is written, and their files go at once.
     """
     path = path or scratch_path(df.sparkSession, label)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

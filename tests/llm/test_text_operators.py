@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmill.llm import chat, decontaminate, extract, fingerprint, graph, licenses, neardup, packing, pii, quality, warc
+from starmill.llm.common import written
 from starmill.llm.queries import QUERIES, tokenizer_path
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -520,6 +521,41 @@ def test_connected_components(spark):
     assert got == {x: root(x) for x in parent}
 
 
+def test_links_that_are_stars_need_no_round(spark, monkeypatch):
+    """Groups of near copies are stars from the start: their links were gone through again after every step."""
+    rounds = []
+    large_star = graph._large_star
+    monkeypatch.setattr(graph, "_large_star", lambda edges: rounds.append(edges.count()) or large_star(edges))
+    frame = lambda links: spark.createDataFrame(links, "u bigint, v bigint")
+    found = lambda df: {r.node: r.component for r in df.collect()}
+    stars = graph.connected_components(frame([(0, i) for i in range(1, 200)] + [(i, 300) for i in range(300, 400)]))
+    assert found(stars) == {i: 0 if i < 200 else 300 for i in [*range(200), *range(300, 400)]} and not rounds
+    # two components, nodes that were alone and a link inside a component
+    joined = graph.with_links(stars, frame([(150, 399), (1, 2), (500, 399), (700, 600), (650, 700)]))
+    assert found(joined) == {i: 0 for i in [*range(200), *range(300, 400), 500]} | {600: 600, 650: 600, 700: 600}
+    assert sum(rounds) < 20
+    assert found(graph.with_links(stars, frame([(1, 1)]))) == found(stars)
+    assert found(graph.with_links(stars.limit(0), frame([(2, 1), (2, 3)]))) == {1: 1, 2: 1, 3: 1}
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    """They stayed until the driver's memory was cleaned, and counted with those of the next steps."""
+
+    def held():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().iterator()
+        found = set()
+        while blocks.hasNext():
+            found.add(blocks.next().toString())
+        return {b for b in found if b.startswith("shuffle_")}
+
+    before = held()
+    written(spark.range(1000).repartition(4).groupBy("id").count(), "counts")
+    until = time.time() + 10
+    while held() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not held() - before
+
+
 # -- fingerprints ------------------------------------------------------------
 
 
