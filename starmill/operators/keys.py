@@ -44,3 +44,23 @@ def assign_keys(new_rows: DataFrame, natural_key: Sequence[str], key: str, start
         .join(shift, "_part")
         .select((F.col("_before") + position + 1).alias(key), *new_rows.columns)
     )
+
+
+def number_placed(placed: DataFrame, key: str, start_after: int = 0) -> tuple[DataFrame, int]:
+    """Number the rows of a written table that have a ``_place``, ``start_after + 1, ...``; the others keep their ``key``.
+
+    ``_place`` is partition and position, as by ``monotonically_increasing_id()``
+    evaluated for these rows alone. Also returns the last number. Only one
+    number for each partition passes through the driver.
+    """
+    part, position = F.shiftright("_place", POSITION_BITS), F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    ends = placed.filter("_place IS NOT NULL").groupBy(part.alias("_part")).agg((F.max(position) + 1).alias("n")).collect()
+    offsets, last = [], start_after
+    for row in sorted(ends, key=lambda r: r["_part"]):
+        offsets.append((row["_part"], last))
+        last += row["n"]
+    if not offsets:
+        return placed, last
+    shift = F.broadcast(placed.sparkSession.createDataFrame(offsets, "_part bigint, _before bigint"))
+    numbered = placed.withColumn("_part", part).join(shift, "_part", "left")
+    return numbered.withColumn(key, F.coalesce(F.col("_before") + position + 1, F.col(key))).select(*placed.columns), last

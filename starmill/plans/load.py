@@ -202,6 +202,15 @@ def episode_numbers(episodes: DataFrame, seasons: DataFrame) -> DataFrame:
     return numbered.select("season_number", F.col("episode_in_season_num").alias("episode_number"), "episode_id", "season_id")
 
 
+def appearance_columns(config: LoadConfig) -> list[str]:
+    """The staged columns that the facts and their keys come from."""
+    return [
+        "season_number", "episode_number", "pitch_number", "startup_name", "original_ask_amount", "original_offered_equity",
+        "valuation_requested", "got_deal", "number_of_sharks_in_deal", "total_deal_amount", "total_deal_equity", "deal_valuation",
+        "royalty_deal", "loan", "advisory_shares_equity", "deal_has_conditions", *deal_columns(config),
+    ]
+
+
 def resolve_keys(stage: DataFrame, businesses: DataFrame, episodes: DataFrame) -> DataFrame:
     """Attach business, episode and season keys; 0 where the dimension has no row."""
     folded = businesses.select(fold_key(F.col("business_name")).alias("_business"), "business_id")
@@ -335,7 +344,7 @@ def upsert_table(
     stamp_at = F.lit(at).cast("timestamp")
     result = upsert_type1(
         _touched(warehouse, name, addressed), source, natural, key, stamp_at, fold=fold,
-        start_after=warehouse.max_key(name, key), **first, **options,
+        start_after=warehouse.max_key(name, key), stored_by=warehouse.addresses(name), **first, **options,
     )
     warehouse.keep_max_key(name, result.last_key)
     table = result.table(warehouse.addresses(name))
@@ -377,6 +386,7 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
         appearance = ["_business", "season_number", "episode_number"]
         stage = latest_per_key(keyed, appearance, ["original_air_date", "pitch_number"]).drop("_business")
     episodes = episode_numbers(warehouse.table("dim_episode"), warehouse.table("dim_season"))
+    stage = stage.select(*appearance_columns(config))  # other columns would be dealt out with them
     resolved = written(resolve_keys(stage, warehouse.table("dim_business"), episodes), "resolved")
 
     with ThreadPoolExecutor() as pool:

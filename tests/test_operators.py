@@ -186,6 +186,45 @@ def test_a_source_too_large_to_broadcast_is_dealt_out_once(spark, rows, monkeypa
     assert plans["matched"].count("Exchange") == 2
 
 
+def test_a_source_as_large_as_the_table_is_merged_in_one_shuffle(spark, rows, monkeypatch):
+    """The table's rows went through an anti-join, and new rows were dealt out once more for their keys and once for their folders."""
+    import starmill.operators.upsert as module
+
+    plans = {}
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, label)
+
+    stamps = {0: OLD, 1: datetime(2022, 1, 1), 2: None}
+    held = [(i + 1, f"Name {i}", f"a{i}", stamps[i % 2], stamps[i // 2 % 3], i % 3) for i in range(60)]
+    given = [(f"NAME {i} ", f"b{i}", i, i % 3) for i in range(40, 110)]
+    table = spark.createDataFrame(held, "id bigint, name string, attribute string, import_date timestamp, first_date timestamp, place int").repartition(5)
+    source = spark.createDataFrame(given, "name string, attribute string, seen int, place int").repartition(4)
+    options = {"fold": ["name"], "keep_on_match": ["name"], "first_col": "first_date"}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        plain = upsert_type1(table, source, ["name"], "id", F.lit(NEW).cast("timestamp"), **options)
+        monkeypatch.setattr(module, "written", seen)
+        merged = upsert_type1(table, source, ["name"], "id", F.lit(NEW).cast("timestamp"), stored_by=["place"], **options)
+        assert list(plans) == ["matched"] and plans["matched"].count("Exchange rangepartitioning") == 1 and "Join" not in plans["matched"]
+        new = lambda df: rows(df.withColumn("id", F.when(F.col("id") <= 60, F.col("id"))))
+        for part in ("found", "changed", "kept"):
+            assert new(getattr(merged, part)) == new(getattr(plain, part)), part
+        assert new(merged.table(["place"])) == new(plain.table(["place"]))
+        assert sorted(r.id for r in merged.table().collect()) == list(range(1, 111)) and merged.last_key == plain.last_key == 110
+        numbered = merged.table().filter("id > 60").select("place", F.lower(F.rtrim("name")), "id")
+        assert sorted(numbered.collect()) == sorted(numbered.collect(), key=lambda r: r.id)  # by folder, then by key
+        with pytest.raises(Exception, match="more than one source row"):
+            upsert_type1(table, source.union(source.limit(1)), ["name"], "id", F.lit(NEW).cast("timestamp"), stored_by=["place"], **options)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_upsert_duplicates(spark, rows):
     twice = [("new", "first", 1), ("NEW", "second", 2)]
     with pytest.raises(Exception, match="more than one source row"):

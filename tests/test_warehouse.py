@@ -220,6 +220,42 @@ def test_batches_in_any_order_give_the_same_tables(spark, tmp_path):
     assert len(first["pitch"]) == 4 and len(first["deal"]) == 4
 
 
+def test_large_batches_give_the_same_tables_in_few_files(spark, tmp_path, monkeypatch):
+    """Batches too large to broadcast: rows that stay came out of an anti-join in as many files of a folder as there were tasks."""
+    def rows_of(n, numbers):
+        return [line(startup_name=f"Firm {i}", pitch_number=i, episode_number=i % 7, industry=f"of {n}", season_number=1 + i % 2,
+                     guest_name=f"Guest {i % 5}", guest_investment_amount=i + n, **DEAL) for i in numbers]
+
+    batches = {1: rows_of(1, range(60)), 2: rows_of(2, range(30, 90)), 3: rows_of(3, range(0, 90, 3))}
+
+    def state(folder):
+        warehouse = opened(spark, folder, buckets=2)
+        for k, at in ((3, THIRD), (1, FIRST), (2, SECOND)):
+            text = read_text(spark, drop(folder / "drop", f"{k}.csv", *batches[k]), CONFIG.feed)
+            load.stage_rows(warehouse, typed_rows(text, CONFIG.feed), at, f"batch_{k}")
+            load.load_warehouse(warehouse, CONFIG)
+        facts = warehouse.table("fact_pitch").join(warehouse.table("dim_business").select("business_id", "business_name"), "business_id")
+        deals = warehouse.table("fact_deal_shark").drop("import_date").join(facts, "pitch_id").join(warehouse.table("dim_shark").select("shark_id", "shark_name"), "shark_id")
+        ids = [warehouse.table(t).select(k).orderBy(k).collect() for t, k in (("fact_pitch", "pitch_id"), ("fact_deal_shark", "deal_shark_id"), ("dim_business", "business_id"))]
+        assert all(len(each) == len(set(each)) for each in ids)
+        keys = ["business_id", "episode_id", "season_id", "pitch_id", "shark_id", "deal_shark_id"]
+        plain = {n: sorted(map(repr, df.drop(*keys).collect())) for n, df in (("pitch", facts), ("deal", deals), ("business", warehouse.table("dim_business")))}
+        return plain, max(len(list(f.glob("*.parquet"))) for f in Path(warehouse.path("fact_pitch")).glob("season_id=*/bucket=*"))
+
+    small, _ = state(tmp_path / "small")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.files.openCostInBytes": "0"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        large, files_of_a_folder = state(tmp_path / "large")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert large == small
+    assert files_of_a_folder <= 4, files_of_a_folder
+
+
 def test_a_repeated_micro_batch_keeps_its_stamp(warehouse, tmp_path):
     text = read_text(warehouse.spark, drop(tmp_path / "drop", "a.csv", line(startup_name="Acme", pitch_number=1)), CONFIG.feed)
     for at in (FIRST, SECOND):
