@@ -385,15 +385,17 @@ def _load_batch(warehouse: Warehouse, batch: str, config: LoadConfig) -> bool:
         keyed = stage.withColumn("_business", business)
         appearance = ["_business", "season_number", "episode_number"]
         stage = latest_per_key(keyed, appearance, ["original_air_date", "pitch_number"]).drop("_business")
-    episodes = episode_numbers(warehouse.table("dim_episode"), warehouse.table("dim_season"))
+    # written, so that its size is known: of a join the planner takes the product of both sizes
+    episodes = written(episode_numbers(warehouse.table("dim_episode"), warehouse.table("dim_season")), "episode-numbers")
     stage = stage.select(*appearance_columns(config))  # other columns would be dealt out with them
     resolved = written(resolve_keys(stage, warehouse.table("dim_business"), episodes), "resolved")
 
     with ThreadPoolExecutor() as pool:
         pitches, pitches_written = upsert_table(warehouse, "fact_pitch", pitch_source(resolved, config), at, pool, resolved)
-        deals = deal_source(pitches.found, warehouse.table("dim_shark"), config)
+        # written, since names are split and looked up for each of the passes over them
+        deals = written(deal_source(pitches.found, warehouse.table("dim_shark"), config), "deals")
         latest = {"on_duplicate": "latest", "order_by": ["investment_amount"]} if config.on_duplicate == "latest" else {}
-        _, deals_written = upsert_table(warehouse, "fact_deal_shark", deals, at, pool, pitches.found, **latest)
+        _, deals_written = upsert_table(warehouse, "fact_deal_shark", deals, at, pool, **latest)
         for each in (pitches_written, deals_written):
             each.result()
     _together(*renewals(warehouse, star_of(warehouse), resolved.select("season_id", "episode_id")))

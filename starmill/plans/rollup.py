@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from starmill.functions.clean import FRACTION, exact_sum, ratio
 from starmill.plans.marts import COUNTS, FANNED, SHARED, SHARES, Star, episode_metrics
 from starmill.plans.model import PUBLISHED
+from starmill.session import written
 
 _SUMMED = (*COUNTS, *FANNED, *[f"{m}_per_pitch" for m in FANNED])
 _MONEY = ("total_investment", "total_investment_per_pitch")
@@ -28,7 +29,9 @@ def episode_measures(star: Star) -> DataFrame:
 def episode_sharks(star: Star) -> DataFrame:
     """The investors of each episode as bitmaps: a row for every 32,768 keys of which one is there."""
     number, place = F.bitmap_bucket_number("shark_id"), F.bitmap_bit_position("shark_id")
-    deals = star.deals.select("episode_id", number.alias("part"), place.alias("place"))
+    # by a hash aggregation first, since one with bitmaps turns to sorting all rows
+    pairs = star.deals.select("episode_id", "shark_id").distinct()
+    deals = pairs.select("episode_id", number.alias("part"), place.alias("place"))
     return deals.groupBy("episode_id", "part").agg(F.bitmap_construct_agg("place").alias("bits"))
 
 
@@ -163,11 +166,11 @@ def create_views(warehouse) -> None:
 
 def renewals(warehouse, star: Star, touched: DataFrame) -> list[Callable[[], None]]:
     """The steps that compute the aggregates of the episodes in ``touched`` (season_id, episode_id) anew; of the facts only their seasons are read."""
-    seasons = [r[0] for r in touched.select("season_id").distinct().collect()]  # as many as the batch has
-    ids = touched.select("episode_id").distinct()
+    of = written(touched.select("episode_id", "season_id").distinct(), "touched")  # read by all of the joins below
+    seasons = [r[0] for r in of.select("season_id").distinct().collect()]  # as many as the batch has
+    ids = of.select("episode_id")
     only = lambda df: df.filter(F.col("season_id").isin(seasons)).join(ids, "episode_id", "left_semi")
     part = Star(only(star.pitches), only(star.deals), star.sharks, star.episodes, star.seasons, star.calendar)
-    of = touched.select("episode_id", "season_id").distinct()
 
     def renew(name: str, fresh: DataFrame) -> None:
         stored = warehouse.stored(name)
